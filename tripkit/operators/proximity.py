@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -69,8 +68,9 @@ def within_distance(
         gap = F.timestamp_diff("MICROSECOND", F.col(time.place_time), F.col(time.point_time))
         tests.append(F.abs(gap) <= F.lit(time.span))
     if salts > 1:
-        left_keys.append(F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("_cs"))
-        right = right.withColumn("_gs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        # A hash of the row, so that a task that is run again salts its rows in the same way.
+        left_keys.append(F.pmod(F.xxhash64("*"), F.lit(salts)).alias("_cs"))
+        right = right.withColumn("_gs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
         pairs.append(("_cs", "_gs"))
     left = points.select("*", *left_keys)
     condition = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in pairs] + tests)
@@ -102,12 +102,38 @@ def spacetime_join(
     return joined.where(gap.isNull() | (gap <= F.lit(time.span)))
 
 
-def _extent(places: DataFrame) -> tuple[float, float, float] | None:
-    """South-west corner and side of the square around all places (one aggregated row)."""
-    row = places.agg(F.min("_x"), F.min("_y"), F.max("_x"), F.max("_y")).first()
-    if row[0] is None:
+# The pyramid search below works on squares of side ``resolution * 2**k``.
+_STEP = 4  # levels between two rounds of the search: a node has at most 4**_STEP children
+_TOP_LEVEL = 24
+_ROOT_NODES = 64  # largest number of nodes the first round may start from
+_LEAF_PLACES = 32  # wanted number of places in a last-level node
+
+
+def _levels(located: DataFrame) -> list[int] | None:
+    """Levels to search, coarse to fine; None without places, empty for a handful of places.
+
+    One job over the places returns two numbers per candidate level: the most nodes and the
+    most places per node (of one time slice). The first level is the finest with few nodes,
+    the last one the coarsest whose nodes hold few places.
+    """
+    candidates = list(range(0, _TOP_LEVEL + 1, _STEP))
+    level = F.explode(F.array(*[F.lit(k) for k in candidates])).alias("_k")
+    shifted = located.select("_s", "_ix", "_iy", level).select(
+        "_k", "_s", F.expr("shiftright(_ix, _k)").alias("_ix"), F.expr("shiftright(_iy, _k)").alias("_iy")
+    )
+    nodes = shifted.groupBy("_k", "_s", "_ix", "_iy").agg(F.count(F.lit(1)).alias("_n"))
+    slices = nodes.groupBy("_k", "_s").agg(
+        F.count(F.lit(1)).alias("_nodes"), F.max("_n").alias("_most"), F.sum("_n").alias("_all")
+    )
+    rows = slices.groupBy("_k").agg(F.max("_nodes"), F.max("_most"), F.max("_all")).collect()  # <= 7 rows
+    if not rows:
         return None
-    return row[0], row[1], max(row[2] - row[0], row[3] - row[1])
+    if rows[0][3] <= _ROOT_NODES:
+        return []
+    by_level = {row[0]: row for row in rows}
+    root = next((k for k in candidates if by_level[k][1] <= _ROOT_NODES), _TOP_LEVEL)
+    leaf = next((k for k in reversed(candidates) if by_level[k][2] <= _LEAF_PLACES), 0)
+    return list(range(root, min(leaf, root) - 1, -_STEP))
 
 
 def _gap(low: Column, value: Column, high: Column) -> Column:
@@ -115,8 +141,20 @@ def _gap(low: Column, value: Column, high: Column) -> Column:
     return F.greatest(low - value, value - high, F.lit(0.0))
 
 
-def _inside(q_time: str, place_time: Column, span: int) -> Column:
-    return F.abs(F.col(q_time) - place_time) <= F.lit(span)
+def _squared(x: Column, y: Column) -> Column:
+    dx, dy = F.col("_qx") - x, F.col("_qy") - y
+    return dx * dx + dy * dy
+
+
+def _nodes(located: DataFrame, level: int) -> DataFrame:
+    """Bounding box and two sample places (earliest, latest) of each node of a level."""
+    place = F.struct("_t", "_x", "_y")
+    return located.groupBy(
+        F.col("_s").alias("_ps"), F.shiftright("_ix", level).alias("_nx"), F.shiftright("_iy", level).alias("_ny")
+    ).agg(
+        F.min("_x").alias("_x1"), F.max("_x").alias("_x2"), F.min("_y").alias("_y1"), F.max("_y").alias("_y2"),
+        F.min(place).alias("_first"), F.max(place).alias("_last"),
+    )
 
 
 def nearest_place(
@@ -129,152 +167,104 @@ def nearest_place(
     carry: dict[str, str],
     distance: str,
     time: TimeWindow | None = None,
-    resolution: float = 10.0,
-    bits_per_step: int = 4,
+    resolution: float = 1.0,
 ) -> DataFrame:
     """The exactly nearest place of every point; equal distances go to the smallest id.
 
     ``carry`` maps place columns to their name in the result. Points without usable
     coordinates, or without any place inside the time window, get nulls.
 
-    A search over a pyramid of grids, written as a few joins. Each pyramid node knows the
-    bounding box of its places and one of them as a sample. From the coarsest level down,
-    each point keeps only nodes whose box is not farther than the best sample seen, so a
-    handful of nodes per point survive; on the last level the places inside them are
-    compared. Work per point depends on depth, not on the number of places. Points at the
-    same position, and places at the same position, are searched once.
+    A search over a pyramid of grids, written as a few joins. Each node of the pyramid knows
+    the bounding box of its places and a sample of them. From the coarsest level down, each
+    point keeps only nodes whose box is not farther than the best sample seen, so a handful
+    of nodes per point survive; on the last level the places inside them are compared. Work
+    per point depends on depth, not on the number of places, and dense spots get a deeper
+    pyramid. Points at the same position, and places at the same position, are searched once.
 
-    With a time window, places are also split into time slices of a quarter window. A node
-    keeps its earliest and latest place as samples; a slice crosses at most one edge of the
-    window, so these two tell exactly whether the node holds any place inside it.
+    With a time window, places are also split into time slices of a quarter window. A slice
+    crosses at most one edge of the window, so the earliest and the latest place of a node
+    tell exactly whether it holds any place inside the window.
     """
     (px, py), (qx, qy) = point, place
     rest = [name for name in carry if name != place_id]
     payload = F.struct(F.col(place_id).alias("_id"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(rest)])
+    outputs = {carry[c]: (places.schema[c].dataType, f"_c{i}") for i, c in enumerate(rest)}
+    if place_id in carry:
+        outputs[carry[place_id]] = (places.schema[place_id].dataType, "_id")
     span = time.span if time else 0
-    slice_us = max(span // 4, 1)
+    slice_us = F.lit(max(span // 4, 1))
     place_time = micros(F.col(time.place_time)) if time else F.lit(0).cast("bigint")
     located = (
         places.where(usable_point(F.col(qx), F.col(qy)) & place_time.isNotNull())
+        .groupBy(F.col(qx).cast("double").alias("_x"), F.col(qy).cast("double").alias("_y"), place_time.alias("_t"))
+        .agg(F.min(payload).alias("_p"))
         .select(
-            F.col(qx).cast("double").alias("_x"), F.col(qy).cast("double").alias("_y"),
-            place_time.alias("_t"), payload.alias("_p"),
+            "_x", "_y", "_t", "_p",
+            F.floor(F.col("_t") / slice_us).alias("_s"),
+            grid_index(F.col("_x"), resolution).alias("_ix"), grid_index(F.col("_y"), resolution).alias("_iy"),
         )
-        .groupBy("_x", "_y", "_t")
-        .agg(F.min("_p").alias("_p"))
     )
-    id_type = places.schema[place_id].dataType
-    outputs = {carry[c]: (places.schema[c].dataType, f"_c{i}") for i, c in enumerate(rest)}
-    if place_id in carry:
-        outputs[carry[place_id]] = (id_type, "_id")
-
-    extent = _extent(located)
-    if extent is None:
-        return points.withColumns(
-            {
-                distance: F.lit(None).cast("double"),
-                **{name: F.lit(None).cast(kind) for name, (kind, _) in outputs.items()},
-            }
-        )
-    x0, y0, side = extent
-    steps = max(1, math.ceil(math.log2(max(side / resolution, 2.0)) / bits_per_step))
-    bits = steps * bits_per_step
-    leaf = max(side, resolution) * (1 + 1e-9) / 2**bits
-    located = located.withColumns(
-        {
-            "_s": F.floor(F.col("_t") / F.lit(slice_us)).cast("bigint"),
-            "_ix": grid_index(F.col("_x") - F.lit(x0), leaf),
-            "_iy": grid_index(F.col("_y") - F.lit(y0), leaf),
-        }
-    )
-
-    # One frame of nodes per level, each aggregated from the level below it.
-    levels = []
-    below = located.select(
-        "_s", "_ix", "_iy",
-        F.col("_x").alias("_x1"), F.col("_x").alias("_x2"), F.col("_y").alias("_y1"), F.col("_y").alias("_y2"),
-        F.struct("_t", "_x", "_y").alias("_first"), F.struct("_t", "_x", "_y").alias("_last"),
-    )
-    for step in range(steps):
-        shift = 0 if step == 0 else bits_per_step
-        below = (
-            below.withColumns({"_ix": F.shiftright("_ix", shift), "_iy": F.shiftright("_iy", shift)})
-            .groupBy("_s", "_ix", "_iy")
-            .agg(
-                F.min("_x1").alias("_x1"), F.max("_x2").alias("_x2"),
-                F.min("_y1").alias("_y1"), F.max("_y2").alias("_y2"),
-                F.min("_first").alias("_first"), F.max("_last").alias("_last"),
-            )
-        )
-        levels.insert(0, below)
+    levels = _levels(located)
+    if levels is None:
+        nulls = {name: F.lit(None).cast(kind) for name, (kind, _) in outputs.items()}
+        return points.withColumns({distance: F.lit(None).cast("double"), **nulls})
 
     query = ["_qx", "_qy", "_qt"]
+    present = usable_point(F.col(px), F.col(py))
     point_time = micros(F.col(time.point_time)) if time else F.lit(0).cast("bigint")
-    keyed = points.withColumns(
-        {
-            "_qx": F.when(usable_point(F.col(px), F.col(py)), F.col(px).cast("double")),
-            "_qy": F.when(usable_point(F.col(px), F.col(py)), F.col(py).cast("double")),
-            "_qt": point_time,
-        }
+    keyed = points.select(
+        "*",
+        F.when(present, F.col(px).cast("double")).alias("_qx"), F.when(present, F.col(py).cast("double")).alias("_qy"),
+        point_time.alias("_qt"),
     )
     frontier = keyed.select(*query).where(F.col("_qx").isNotNull() & F.col("_qt").isNotNull()).distinct()
-    if time:
-        first_slice = F.floor((F.col("_qt") - F.lit(span)) / F.lit(slice_us))
-        last_slice = F.floor((F.col("_qt") + F.lit(span)) / F.lit(slice_us))
-        frontier = frontier.withColumn("_s", F.explode(F.sequence(first_slice, last_slice)))
-    else:
-        frontier = frontier.withColumn("_s", F.lit(0).cast("bigint"))
-    frontier = frontier.withColumns({"_ix": F.lit(0).cast("bigint"), "_iy": F.lit(0).cast("bigint")})
-
-    def squared(x: Column, y: Column) -> Column:
-        dx, dy = F.col("_qx") - x, F.col("_qy") - y
-        return dx * dx + dy * dy
-
-    def sample_distance(name: str) -> Column:
-        found = squared(F.col(name)["_x"], F.col(name)["_y"])
-        return F.when(_inside("_qt", F.col(name)["_t"], span), found) if time else found
-
-    for depth, nodes in enumerate(levels, start=1):
-        children = nodes.withColumns(
-            {"_pix": F.shiftright("_ix", bits_per_step), "_piy": F.shiftright("_iy", bits_per_step)}
-        ).withColumnRenamed("_s", "_ps")
-        if not time and depth * bits_per_step * 2 <= 16:
-            children = F.broadcast(children)  # at most 2**16 nodes of fixed width
-        parents = frontier.select(*query, "_s", F.col("_ix").alias("_fx"), F.col("_iy").alias("_fy"))
-        reached = parents.join(
-            children,
-            (F.col("_s") == F.col("_ps")) & (F.col("_fx") == F.col("_pix")) & (F.col("_fy") == F.col("_piy")),
-        )
-        near_x = _gap(F.col("_x1"), F.col("_qx"), F.col("_x2"))
-        near_y = _gap(F.col("_y1"), F.col("_qy"), F.col("_y2"))
-        scored = reached.select(
-            *query, "_s", "_ix", "_iy",
-            (near_x * near_x + near_y * near_y).alias("_near"),
-            F.least(sample_distance("_first"), sample_distance("_last")).alias("_sample"),
+    low, high = F.floor((F.col("_qt") - span) / slice_us), F.floor((F.col("_qt") + span) / slice_us)
+    frontier = frontier.select(*query, F.explode(F.sequence(low, high)).alias("_s"))
+
+    def in_window(t: Column) -> Column:
+        return F.abs(F.col("_qt") - t) <= F.lit(span)
+
+    def sample(name: str) -> Column:
+        s = F.col(name)
+        return F.when(in_window(s["_t"]), _squared(s["_x"], s["_y"]))
+
+    parent = None
+    for level in levels:
+        nodes = _nodes(located, level)
+        match = F.col("_s") == F.col("_ps")
+        if parent is None:
+            nodes = nodes if time else F.broadcast(nodes)  # at most _ROOT_NODES rows, as counted
+        else:
+            match &= F.col("_fx") == F.shiftright("_nx", _STEP)
+            match &= F.col("_fy") == F.shiftright("_ny", _STEP)
+        gap_x = _gap(F.col("_x1"), F.col("_qx"), F.col("_x2"))
+        gap_y = _gap(F.col("_y1"), F.col("_qy"), F.col("_y2"))
+        scored = frontier.join(nodes, match).select(
+            *query, "_s", F.col("_nx").alias("_fx"), F.col("_ny").alias("_fy"),
+            (gap_x * gap_x + gap_y * gap_y).alias("_near"),
+            F.least(sample("_first"), sample("_last")).alias("_sample"),
         ).where(F.col("_sample").isNotNull())
-        best = F.min("_sample").over(Window.partitionBy(*query))
-        frontier = scored.withColumn("_best", best).where(F.col("_near") <= F.col("_best"))
-
-    leaves = located.select(
-        F.col("_s").alias("_ps"), F.col("_ix").alias("_pix"), F.col("_iy").alias("_piy"), "_x", "_y", "_t", "_p"
-    )
-    candidates = frontier.select(*query, "_s", "_ix", "_iy", "_best").join(
-        leaves,
-        (F.col("_s") == F.col("_ps")) & (F.col("_ix") == F.col("_pix")) & (F.col("_iy") == F.col("_piy"))
-        & (squared(F.col("_x"), F.col("_y")) <= F.col("_best"))
-        & (_inside("_qt", F.col("_t"), span) if time else F.lit(True)),
-    )
-    found = candidates.groupBy(*query).agg(
-        F.min(F.struct(squared(F.col("_x"), F.col("_y")).alias("_d2"), F.col("_p").alias("_p"))).alias("_hit")
-    ).withColumnsRenamed({name: f"_k{name}" for name in query})
+        frontier = scored.select(
+            *query, "_s", "_fx", "_fy", "_near", F.min("_sample").over(Window.partitionBy(*query)).alias("_best")
+        ).where(F.col("_near") <= F.col("_best"))
+        parent = level
+
+    leaves = located.select(F.col("_s").alias("_ps"), "_ix", "_iy", "_x", "_y", "_t", "_p")
+    match = (F.col("_s") == F.col("_ps")) & in_window(F.col("_t"))
+    if levels:
+        match &= F.col("_fx") == F.shiftright("_ix", levels[-1])
+        match &= F.col("_fy") == F.shiftright("_iy", levels[-1])
+        match &= _squared(F.col("_x"), F.col("_y")) <= F.col("_best")
+    elif not time:
+        leaves = F.broadcast(leaves)  # at most _ROOT_NODES places, as counted
+    hit = F.min(F.struct(_squared(F.col("_x"), F.col("_y")).alias("_d2"), "_p")).alias("_hit")
+    found = frontier.join(leaves, match).groupBy(*query).agg(hit).withColumnsRenamed({n: f"_k{n}" for n in query})
     same = reduce(lambda a, b: a & b, [F.col(name) == F.col(f"_k{name}") for name in query])
-    joined = keyed.join(found, same, "left")
-    return joined.withColumns(
-        {
-            distance: F.sqrt(F.col("_hit")["_d2"]),
-            **{name: F.col("_hit")["_p"][source] for name, (_, source) in outputs.items()},
-        }
-    ).drop(*query, *[f"_k{name}" for name in query], "_hit")
+    return keyed.join(found, same, "left").select(
+        *[F.col(f"`{name}`") for name in points.columns],
+        F.sqrt(F.col("_hit")["_d2"]).alias(distance),
+        *[F.col("_hit")["_p"][source].alias(name) for name, (_, source) in outputs.items()],
+    )
 
 
 def closest_event(
@@ -285,14 +275,13 @@ def closest_event(
     point: tuple[str, str],
     place: tuple[str, str],
     event_id: str,
-    resolution: float = 10.0,
 ) -> DataFrame:
     """The spatially closest event inside a time window: its id, distance and signed hours."""
     found = nearest_place(
         points, events,
         point=point, place=place, place_id=event_id,
         carry={event_id: "closest_event_id", time.place_time: "_event_time"},
-        distance="closest_event_distance", time=time, resolution=resolution,
+        distance="closest_event_distance", time=time,
     )
     hours = hours_between(F.col(time.point_time), F.col("_event_time"))
     return found.withColumn("closest_event_time_diff", hours).drop("_event_time")

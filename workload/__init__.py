@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["exploration"]
+_MODULES = ["exploration", "cleaning", "enrichment"]
 
 
 def catalog():
