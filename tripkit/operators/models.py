@@ -1,13 +1,20 @@
-"""Service-type classifiers on Spark ML: hashed design vectors, linear and tree models, evaluation."""
+"""Service-type classifiers on Spark ML: hashed design vectors, linear and tree models, evaluation.
+
+Several classes are handled one against the rest: one binary Spark ML model per class. Their
+probabilities are combined with column expressions, so scoring stays inside the JVM.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, OneVsRest
+from dataclasses import dataclass
+
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tripkit.operators.features import CATEGORICAL, CLASSES, HASH_SLOTS, NUMERIC
 from tripkit.operators.metrics import classification_metrics, log_loss
@@ -15,58 +22,70 @@ from tripkit.operators.metrics import classification_metrics, log_loss
 HASHED_LABEL = "Borough categories (hashed total)"
 
 
-def with_class_id(df: DataFrame, classes: list[str] = CLASSES, label: str = "service") -> DataFrame:
-    """Numeric ``label`` by position in ``classes``; rows of other classes are dropped."""
-    position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
-    return df.where(F.col(label).isin(*classes)).withColumn("label", position.cast("double"))
-
-
-def design_stages(slots: int = HASH_SLOTS) -> list:
-    """Scaled numeric columns followed by ``slots`` hashed category slots."""
+def design(slots: int = HASH_SLOTS) -> Pipeline:
+    """Scaled numeric columns followed by ``slots`` hashed category slots, as ``features``."""
     hasher = FeatureHasher(inputCols=CATEGORICAL, categoricalCols=CATEGORICAL, outputCol="_hashed", numFeatures=slots)
-    return [hasher, VectorAssembler(inputCols=[*NUMERIC, "_hashed"], outputCol="features")]
+    return Pipeline(stages=[hasher, VectorAssembler(inputCols=[*NUMERIC, "_hashed"], outputCol="features")])
 
 
-def linear_model(epochs: int = 100, l1_ratio: float = 0.15, strength: float = 1e-4):
-    """One logistic regression per class with an elastic-net penalty."""
-    base = LogisticRegression(
-        maxIter=epochs, elasticNetParam=l1_ratio, regParam=strength, standardization=False
-    )
-    return OneVsRest(classifier=base, featuresCol="features", labelCol="label", rawPredictionCol="raw")
+def linear_model(epochs: int = 100, l1_ratio: float = 0.15, strength: float = 1e-4) -> LogisticRegression:
+    """Logistic regression with an elastic-net penalty."""
+    return LogisticRegression(maxIter=epochs, elasticNetParam=l1_ratio, regParam=strength, standardization=False)
 
 
-def tree_model(rounds: int = 50, depth: int = 6, step: float = 0.1, subsample: float = 0.8, seed: int = 42):
-    """Boosted trees, one ensemble per class."""
-    base = GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=subsample,
-        featureSubsetStrategy="0.8", seed=seed,
+def tree_model(rounds: int = 50, depth: int = 6, step: float = 0.1, subsample: float = 0.8, seed: int = 42) -> GBTClassifier:
+    """Boosted trees."""
+    return GBTClassifier(
+        maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy="0.8", seed=seed
     )
-    return OneVsRest(classifier=base, featuresCol="features", labelCol="label", rawPredictionCol="raw")
-
-
-def fit(train: DataFrame, model, slots: int = HASH_SLOTS) -> PipelineModel:
-    """Train on a scaled feature frame with a ``service`` column."""
-    return Pipeline(stages=[*design_stages(slots), model]).fit(with_class_id(train))
-
-
-def _class_probabilities(raw: Column, classes: list[str], trees: bool) -> list[Column]:
-    """Per-class margins to probabilities that sum to one."""
-    margins = vector_to_array(raw)
-    factor = -2.0 if trees else -1.0
-    each = [1.0 / (1.0 + F.exp(F.lit(factor) * F.get(margins, F.lit(i)))) for i in range(len(classes))]
-    total = sum(each[1:], each[0])
-    return [p / F.nullif(total, F.lit(0.0)) for p in each]
 
 
-def score(model: PipelineModel, valid: DataFrame, classes: list[str] = CLASSES) -> DataFrame:
-    """Validation rows with predicted service and one probability column per class."""
-    trees = isinstance(model.stages[-1].models[0], GBTClassificationModel)
-    scored = model.transform(with_class_id(valid))
-    named = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
-    shares = _class_probabilities(F.col("raw"), classes, trees)
-    return scored.select(
-        F.col("service"), named.alias("prediction"), *[p.alias(f"p_{c}") for p, c in zip(shares, classes)]
+@dataclass
+class ServiceModel:
+    """A design transformation and one binary model per class."""
+
+    design: PipelineModel
+    models: dict[str, Model]
+
+    @property
+    def classes(self) -> list[str]:
+        return list(self.models)
+
+    @property
+    def trees(self) -> bool:
+        return isinstance(next(iter(self.models.values())), GBTClassificationModel)
+
+
+def fit(
+    train: DataFrame, estimator: Estimator, slots: int = HASH_SLOTS, classes: list[str] = CLASSES, label: str = "service"
+) -> ServiceModel:
+    """Train on a scaled feature frame. The vectors are kept between passes, spilling to disk."""
+    shaped = design(slots).fit(train)
+    vectors = shaped.transform(train.where(F.col(label).isin(*classes))).select(label, "features")
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    models = {}
+    for name in classes:
+        binary = vectors.withColumn("_is", (F.col(label) == name).cast("double"))
+        models[name] = estimator.copy({estimator.labelCol: "_is"}).fit(binary)
+    vectors.unpersist()
+    return ServiceModel(shaped, models)
+
+
+def score(model: ServiceModel, valid: DataFrame, label: str = "service") -> DataFrame:
+    """Validation rows of known classes: predicted class and one probability per class."""
+    df = model.design.transform(valid.where(F.col(label).isin(*model.classes)))
+    for i, one in enumerate(model.models.values()):
+        named = one.copy({one.probabilityCol: f"_p{i}", one.rawPredictionCol: f"_r{i}", one.predictionCol: f"_h{i}"})
+        df = named.transform(df)
+    each = [F.get(vector_to_array(f"_p{i}"), F.lit(1)) for i in range(len(model.models))]
+    total = F.nullif(sum(each[1:], each[0]), F.lit(0.0))
+    even = F.lit(1.0 / len(each))
+    shares = df.select(label, *[F.coalesce(p / total, even).alias(f"p_{c}") for p, c in zip(each, model.classes)])
+    # Highest probability; equal ones go to the class listed first.
+    ranked = F.array_max(
+        F.array(*[F.struct(F.col(f"p_{c}").alias("p"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(model.classes)])
     )
+    return shares.withColumn("prediction", ranked["c"])
 
 
 def true_class_probability(classes: list[str] = CLASSES, label: str = "service") -> Column:
@@ -75,20 +94,20 @@ def true_class_probability(classes: list[str] = CLASSES, label: str = "service")
 
 
 def evaluate(scored: DataFrame, classes: list[str] = CLASSES, label: str = "service") -> DataFrame:
-    """One row: macro accuracy, macro F1, raw accuracy, error rate, log loss."""
+    """One row: macro accuracy, macro F1, raw accuracy, error rate, log loss, rows."""
     metrics = classification_metrics(scored, classes, label, "prediction").withColumn("_one", F.lit(1))
     loss = log_loss(scored.where(F.col(label).isin(*classes)), true_class_probability(classes, label))
     loss = F.broadcast(loss.withColumn("_one", F.lit(1)))  # a single row
     return metrics.join(loss, "_one").drop("_one")
 
 
-def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
+def feature_importance(model: ServiceModel) -> list[tuple[str, float]]:
     """Importance per numeric feature and of all hashed slots together, largest first.
 
     Linear models: length of the coefficient vector over the classes. Trees: mean gain.
     """
-    parts = model.stages[-1].models
-    if isinstance(parts[0], GBTClassificationModel):
+    parts = list(model.models.values())
+    if model.trees:
         weights = sum(m.featureImportances.toArray() for m in parts) / len(parts)
     else:
         weights = sum(m.coefficients.toArray() ** 2 for m in parts) ** 0.5

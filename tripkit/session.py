@@ -19,6 +19,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Settings that only a new session can take.
+START_SETTINGS = {
+    # Skips recording a call site for every column expression built from Python.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
@@ -30,7 +36,7 @@ def build_session(app_name: str = "tripkit", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **conf}.items():
+    for key, value in {**RUNTIME_SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return apply_settings(builder.getOrCreate())
 

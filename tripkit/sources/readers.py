@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,14 +196,15 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("Event Name", moment("Start Date/Time"), moment("End Date/Time"), "Police Precinct")
 
 
-def read_json_results(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
-    """Result documents by path; missing ones are skipped."""
-    from pyspark.errors import AnalysisException
+def read_json_results(spark: SparkSession, paths: list[str], whole_files: bool = False) -> dict[str, DataFrame]:
+    """Stored results by path; missing ones are skipped.
 
+    Rows are one JSON object per line; with ``whole_files`` each file is one document.
+    """
     found = {}
     for path in paths:
         try:
-            found[path] = spark.read.option("multiLine", True).json(path)
+            found[path] = spark.read.option("multiLine", whole_files).json(path)
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise

@@ -103,11 +103,11 @@ def sequential_kmeans(
 
     def update(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         flat = state.get[0] if state.exists else None
-        centres = [list(row) for row in np.reshape(flat, (-1, 3))] if flat else [list(row) for row in start]
+        centres = [list(flat[i : i + 3]) for i in range(0, len(flat), 3)] if flat else [list(row) for row in start]
         seen = int(state.get[1]) if state.exists else 0
         rows = pd.concat(list(batches)).sort_values(order, kind="stable")
         out = []
-        for one_lat, one_lon in zip(rows[lat].to_numpy(), rows[lon].to_numpy()):
+        for one_lat, one_lon in zip(rows[lat].tolist(), rows[lon].tolist()):
             cluster = sequential_step(centres, one_lat, one_lon)
             seen += 1
             out.append((group[0], seen, cluster, centres[cluster][0], centres[cluster][1]))

@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fields of a trip message and of the two result messages.
-TRIP_MESSAGE = T.StructType.fromDDL(
-    "pickup_datetime timestamp_ntz, pickup_borough string, total_amount double, passenger_count int, "
-    "trip_distance double, pickup_latitude double, pickup_longitude double"
+# Fields of a trip message, and the form of its times.
+TRIP_MESSAGE = T.StructType(
+    [
+        T.StructField("pickup_datetime", T.TimestampNTZType()),
+        T.StructField("pickup_borough", T.StringType()),
+        T.StructField("total_amount", T.DoubleType()),
+        T.StructField("passenger_count", T.IntegerType()),
+        T.StructField("trip_distance", T.DoubleType()),
+        T.StructField("pickup_latitude", T.DoubleType()),
+        T.StructField("pickup_longitude", T.DoubleType()),
+    ]
 )
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 

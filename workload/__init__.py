@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["exploration", "cleaning", "enrichment"]
+_MODULES = ["exploration", "cleaning", "enrichment", "storage", "streams", "learning"]
 
 
 def catalog():
