@@ -70,20 +70,11 @@ def scaler_params(df: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
     return stats.select(F.inline(rows))
 
 
-def scale_features(df: DataFrame, params: DataFrame, columns: list[str] = NUMERIC) -> DataFrame:
-    """(value - mean) / std per column; a constant column is only centred.
-
-    ``params`` has one row per feature, so it reaches the rows as a single-row map.
-    """
-    entry = F.struct(F.col("mean").alias("mean"), F.col("std").alias("std"))
-    packed = params.where(F.col("feature").isin(*columns)).agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", entry))).alias("_scale")
-    )
-    one = packed.withColumn("_one", F.lit(1))
-    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one")  # a single row
-    scaled = {}
-    for c in columns:
-        p = F.col("_scale")[c]
-        width = F.when(p["std"] == 0, F.lit(1.0)).otherwise(p["std"])
-        scaled[c] = (finite_or_zero(c) - p["mean"]) / width
-    return joined.withColumns(scaled).drop("_scale", "_one")
+def collected(params: DataFrame) -> dict[str, tuple[float, float]]:
+    """Mean and deviation by feature as plain numbers: one small row per feature."""
+    return {row["feature"]: (row["mean"], row["std"]) for row in params.collect()}
+
+
+def scale_features(df: DataFrame, params: dict[str, tuple[float, float]], columns: list[str] = NUMERIC) -> DataFrame:
+    """(value - mean) / std per column; a constant column is only centred."""
+    return df.withColumns({c: (finite_or_zero(c) - params[c][0]) / (params[c][1] or 1.0) for c in columns})

@@ -9,18 +9,27 @@ from pyspark.sql import functions as F
 EPSILON = 2.220446049250313e-16
 
 
-def confusion_counts(df: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Rows per (true, predicted) over the full grid of classes."""
+def _cells(df: DataFrame, classes: list[str], label: str, prediction: str, loss: Column) -> DataFrame:
+    """Rows and summed loss per (true, predicted): the only pass over the data."""
     known = df.where(F.col(label).isin(*classes) & F.col(prediction).isin(*classes))
-    seen = known.groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class")).agg(
-        F.count(F.lit(1)).alias("n")
+    return known.groupBy(F.col(label).alias("true_class"), F.col(prediction).alias("pred_class")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss")
     )
-    names = F.array(*[F.lit(c) for c in classes])
-    one = df.sparkSession.range(1)
-    grid = one.select(F.explode(names).alias("true_class")).select("true_class", F.explode(names).alias("pred_class"))
+
+
+def _on_grid(cells: DataFrame, classes: list[str]) -> DataFrame:
+    """Counts for every pair of classes, 0 where no row fell. The grid is spelled out as literals."""
+    pairs = F.array(*[F.struct(F.lit(t).alias("true_class"), F.lit(p).alias("pred_class")) for t in classes for p in classes])
+    grid = cells.sparkSession.range(1).select(F.inline(pairs))
+    seen = cells.select("true_class", "pred_class", "n")
     return grid.join(seen, ["true_class", "pred_class"], "left").fillna(0, subset=["n"])
 
 
+def confusion_counts(df: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Rows per (true, predicted) over the full grid of classes."""
+    return _on_grid(_cells(df, classes, label, prediction, F.lit(0.0)), classes)
+
+
 def confusion_matrix(df: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Row-normalised confusion matrix in long form; a class without rows gives zeros."""
     total = F.sum("n").over(Window.partitionBy("true_class"))
@@ -30,11 +39,7 @@ def confusion_matrix(df: DataFrame, classes: list[str], label: str = "label", pr
     )
 
 
-def classification_metrics(
-    df: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction"
-) -> DataFrame:
-    """Macro accuracy (mean recall of the classes present), macro F1, raw accuracy, error rate."""
-    counts = confusion_counts(df, classes, label, prediction)
+def _metrics(counts: DataFrame) -> DataFrame:
     per_true = counts.groupBy(F.col("true_class").alias("class")).agg(
         F.sum("n").alias("actual"), F.sum(F.when(F.col("true_class") == F.col("pred_class"), F.col("n"))).alias("hits")
     )
@@ -51,10 +56,32 @@ def classification_metrics(
     )
 
 
+def classification_metrics(
+    df: DataFrame, classes: list[str], label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    """Macro accuracy (mean recall of the classes present), macro F1, raw accuracy, error rate."""
+    return _metrics(confusion_counts(df, classes, label, prediction))
+
+
+def _loss(true_probability: Column) -> Column:
+    return -F.ln(F.least(F.greatest(true_probability, F.lit(EPSILON)), F.lit(1.0 - EPSILON)))
+
+
+def evaluate(scored: DataFrame, classes: list[str], label: str = "service") -> DataFrame:
+    """One row: macro accuracy, macro F1, raw accuracy, error rate, log loss, rows.
+
+    ``scored`` has a ``prediction`` and one probability column ``p_<class>`` per class.
+    """
+    of_true = F.coalesce(*[F.when(F.col(label) == c, F.col(f"p_{c}")) for c in classes])
+    cells = _cells(scored, classes, label, "prediction", _loss(of_true))
+    loss = cells.agg((F.sum("loss") / F.nullif(F.sum("n"), F.lit(0))).alias("log_loss"), F.sum("n").alias("rows"))
+    one_row = F.broadcast(loss.withColumn("_one", F.lit(1)))
+    return _metrics(_on_grid(cells, classes)).withColumn("_one", F.lit(1)).join(one_row, "_one").drop("_one")
+
+
 def log_loss(df: DataFrame, true_probability: Column) -> DataFrame:
     """Mean negative log of the probability given to the true class."""
-    p = F.least(F.greatest(true_probability, F.lit(EPSILON)), F.lit(1.0 - EPSILON))
-    return df.agg(F.avg(-F.ln(p)).alias("log_loss"), F.count(F.lit(1)).alias("rows"))
+    return df.agg(F.avg(_loss(true_probability)).alias("log_loss"), F.count(F.lit(1)).alias("rows"))
 
 
 def class_counts(df: DataFrame, label: str = "service") -> DataFrame:

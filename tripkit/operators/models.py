@@ -1,4 +1,4 @@
-"""Service-type classifiers on Spark ML: hashed design vectors, linear and tree models, evaluation.
+"""Service-type classifiers on Spark ML: hashed design vectors, linear and tree models, scoring.
 
 Several classes are handled one against the rest: one binary Spark ML model per class. Their
 probabilities are combined with column expressions, so scoring stays inside the JVM.
@@ -12,12 +12,11 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tripkit.operators.features import CATEGORICAL, CLASSES, HASH_SLOTS, NUMERIC
-from tripkit.operators.metrics import classification_metrics, log_loss
 
 HASHED_LABEL = "Borough categories (hashed total)"
 
@@ -88,19 +87,6 @@ def score(model: ServiceModel, valid: DataFrame, label: str = "service") -> Data
     return shares.withColumn("prediction", ranked["c"])
 
 
-def true_class_probability(classes: list[str] = CLASSES, label: str = "service") -> Column:
-    options = [F.when(F.col(label) == c, F.col(f"p_{c}")) for c in classes]
-    return F.coalesce(*options)
-
-
-def evaluate(scored: DataFrame, classes: list[str] = CLASSES, label: str = "service") -> DataFrame:
-    """One row: macro accuracy, macro F1, raw accuracy, error rate, log loss, rows."""
-    metrics = classification_metrics(scored, classes, label, "prediction").withColumn("_one", F.lit(1))
-    loss = log_loss(scored.where(F.col(label).isin(*classes)), true_class_probability(classes, label))
-    loss = F.broadcast(loss.withColumn("_one", F.lit(1)))  # a single row
-    return metrics.join(loss, "_one").drop("_one")
-
-
 def feature_importance(model: ServiceModel) -> list[tuple[str, float]]:
     """Importance per numeric feature and of all hashed slots together, largest first.
 

@@ -9,10 +9,10 @@ from tripkit.functions import codes
 from tripkit.functions.geo import mercator_x, mercator_y
 from tripkit.functions.temporal import in_nanosecond_range, parse_datetime
 from tripkit.operators import analytics
-from tripkit.operators.features import CLASSES, engineer_features, scale_features, scaler_params
+from tripkit.operators.features import CLASSES, collected, engineer_features, scale_features, scaler_params
 from tripkit.operators.lookups import fill_coordinates, local_weather, place_events, weather_join, zone_lookup
-from tripkit.operators.metrics import majority_baseline
-from tripkit.operators.models import evaluate, feature_importance, fit, linear_model, score, tree_model
+from tripkit.operators.metrics import evaluate, majority_baseline
+from tripkit.operators.models import feature_importance, fit, linear_model, score, tree_model
 from tripkit.operators.proximity import TimeWindow, nearest_place, spacetime_join
 from tripkit.operators.quality import flag_issues, keep_clean, profile_rules, stats_by_year
 from tripkit.operators.schema import add_missing, conform, fill_defaults, select_present, union_aligned
@@ -245,7 +245,7 @@ def classify(
     balanced = balanced_sample(
         train, ["month"], "service", CLASSES, order=seeded_order(*order), tie=order
     )
-    params = scaler_params(balanced)
+    params = collected(scaler_params(balanced))
     valid = classifier_frame(services, valid_year, cap)
     slots = slots or (2**8 if trees else 2**15)
     model = fit(scale_features(balanced, params), tree_model(rounds) if trees else linear_model(), slots)
@@ -253,8 +253,8 @@ def classify(
     results = {
         "model": model,
         "scored": scored,
-        "metrics": evaluate(scored),
-        "baseline": evaluate(majority_baseline(valid, train, CLASSES)),
+        "metrics": evaluate(scored, CLASSES),
+        "baseline": evaluate(majority_baseline(valid, train, CLASSES), CLASSES),
         "importance": feature_importance(model),
         "train_rows": balanced.count(),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripkit.operators import features as ft
 from tripkit.operators import metrics as mt
 from tripkit.operators import selection as sel
-from tripkit.operators.models import evaluate, feature_importance, fit, linear_model, score, tree_model
+from tripkit.operators.models import feature_importance, fit, linear_model, score, tree_model
 from workload.registry import query
 from workload.views import RIDES, TRIPS, rides, table, trips
 
@@ -60,7 +60,7 @@ SELECT l_orderkey, l_partkey, l_linenumber, service, {', '.join(f'round((coalesc
 FROM features, p""")
 def scaled_features(spark, sf):
     rows = _features(spark, sf)
-    scaled = ft.scale_features(rows, ft.scaler_params(rows))
+    scaled = ft.scale_features(rows, ft.collected(ft.scaler_params(rows)))
     return scaled.select(
         "l_orderkey", "l_partkey", "l_linenumber", "service", *[F.round(c, 3).alias(c) for c in ft.NUMERIC]
     )
@@ -176,7 +176,7 @@ SELECT round(CAST(1 AS DOUBLE) / k, 4) AS macro_accuracy, round(2 * CAST(hits AS
 def majority_baseline(spark, sf):
     r = rides(spark, sf)
     scored = mt.majority_baseline(r.where("year = 1999"), r.where("year = 1998"), _CLASSES)
-    found = evaluate(scored, _CLASSES)
+    found = mt.evaluate(scored, _CLASSES)
     return found.select(*[F.round(c, 4).alias(c) if c != "rows" else F.col(c) for c in found.columns])
 
 
@@ -188,20 +188,20 @@ def _split(spark, sf) -> tuple[DataFrame, DataFrame]:
     balanced = sel.balanced_sample(
         train, ["year"], "service", _CLASSES, order=sel.seeded_order(*keys), tie=[*keys, *ft.NUMERIC]
     )
-    params = ft.scaler_params(balanced)
+    params = ft.collected(ft.scaler_params(balanced))
     return ft.scale_features(balanced, params), ft.scale_features(rows.where("year = 1999"), params)
 
 
 @query("linear_classifier", None)
 def linear_classifier(spark, sf):
     train, valid = _split(spark, sf)
-    return evaluate(score(fit(train, linear_model(epochs=10), slots=2**10), valid))
+    return mt.evaluate(score(fit(train, linear_model(epochs=10), slots=2**10), valid), _CLASSES)
 
 
 @query("tree_classifier", None)
 def tree_classifier(spark, sf):
     train, valid = _split(spark, sf)
-    return evaluate(score(fit(train, tree_model(rounds=2, depth=3), slots=2**4), valid))
+    return mt.evaluate(score(fit(train, tree_model(rounds=2, depth=3), slots=2**4), valid), _CLASSES)
 
 
 @query("feature_importance", None)
