@@ -1,4 +1,9 @@
-"""Time expressions on ``timestamp_ntz`` columns, independent of the session time zone."""
+"""Time expressions on ``timestamp_ntz`` columns.
+
+Spark's timestamp arithmetic passes through the session time zone, so the session must run in
+UTC, where that changes nothing (``tripkit.session.apply_settings`` sees to it). In a zone with
+daylight saving, times in the skipped hour would shift.
+"""
 
 from __future__ import annotations
 

@@ -195,7 +195,7 @@ def _split(spark, sf) -> tuple[DataFrame, DataFrame]:
 @query("linear_classifier", None)
 def linear_classifier(spark, sf):
     train, valid = _split(spark, sf)
-    return mt.evaluate(score(fit(train, linear_model(epochs=10), slots=2**10), valid), _CLASSES)
+    return mt.evaluate(score(fit(train, linear_model(epochs=5), slots=2**10), valid), _CLASSES)
 
 
 @query("tree_classifier", None)
@@ -207,5 +207,5 @@ def tree_classifier(spark, sf):
 @query("feature_importance", None)
 def importance(spark, sf):
     train, _ = _split(spark, sf)
-    ranked = feature_importance(fit(train, linear_model(epochs=10), slots=2**10))
+    ranked = feature_importance(fit(train, linear_model(epochs=5), slots=2**10))
     return spark.createDataFrame(ranked, "feature string, importance double")
