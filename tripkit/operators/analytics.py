@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripkit.functions.codes import flow_label, operator_name
 from tripkit.functions.temporal import month_start
-from tripkit.operators.selection import approximate_median, exact_median, top_k, top_k_per_group
+from tripkit.operators.selection import approximate_median, exact_median, exact_medians, top_k, top_k_per_group
 
 
 def _count(df: DataFrame, keys: list[str | Column], name: str = "num_trips") -> DataFrame:
@@ -56,8 +56,12 @@ def top_flows(od: DataFrame, origin: str, destination: str, by: list[str], k: in
     )
 
 
+def _known(column: str) -> Column:
+    return F.nanvl(F.col(column), F.lit(None).cast("double"))
+
+
 def positive(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.nanvl(F.col(column), F.lit(None).cast("double")) > 0)
+    return df.where(_known(column) > 0)
 
 
 def median_of(
@@ -191,14 +195,19 @@ def service_summary(
 ) -> DataFrame:
     """Per service: percent tipped, median tip, median fare, median minutes; null where unknown."""
     by = [service]
-    tipped = df.groupBy(*by).agg(_tipped(tip).alias("tipped_pct"))
-    parts = [
-        median_of(positive(df, tip), tip, by, name="median_tip", approximate=approximate),
-        median_of(positive(df, fare), fare, by, name="median_fare", approximate=approximate),
-        median_duration(df, pickup, dropoff, by, name="_seconds_mid", approximate=approximate),
-    ]
-    joined = reduce(lambda a, b: a.join(b, by, "left"), [tipped, *parts])
-    return joined.withColumn("median_duration_min", F.col("_seconds_mid") / 60.0).drop("_seconds_mid")
+    seconds = F.timestamp_diff("MICROSECOND", F.col(pickup), F.col(dropoff)) / F.lit(1e6)
+    measures = {
+        "median_tip": F.when(_known(tip) > 0, F.col(tip)),
+        "median_fare": F.when(_known(fare) > 0, F.col(fare)),
+        "_seconds": F.when(F.col(dropoff) > F.col(pickup), seconds),
+    }
+    tipped = _tipped(tip).alias("tipped_pct")
+    if approximate:
+        middle = [F.percentile_approx(c.cast("double"), 0.5, 10000).alias(name) for name, c in measures.items()]
+        joined = df.groupBy(*by).agg(tipped, *middle)
+    else:
+        joined = df.groupBy(*by).agg(tipped).join(exact_medians(df, measures, by), by, "left")
+    return joined.withColumn("median_duration_min", F.col("_seconds") / 60.0).drop("_seconds")
 
 
 def monthly_rides(df: DataFrame, pickup: str = "pickup_datetime", by: list[str] | None = None) -> DataFrame:

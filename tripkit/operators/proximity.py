@@ -106,7 +106,7 @@ def spacetime_join(
 _STEP = 4  # levels between two rounds of the search: a node has at most 4**_STEP children
 _TOP_LEVEL = 24
 _ROOT_NODES = 64  # largest number of nodes the first round may start from
-_LEAF_PLACES = 32  # wanted number of places in a last-level node
+_LEAF_PLACES = 16  # wanted number of places in a last-level node
 
 
 def _levels(located: DataFrame) -> list[int] | None:
@@ -136,14 +136,14 @@ def _levels(located: DataFrame) -> list[int] | None:
     return list(range(root, min(leaf, root) - 1, -_STEP))
 
 
-def _gap(low: Column, value: Column, high: Column) -> Column:
-    """Distance from a value to an interval; zero inside."""
-    return F.greatest(low - value, value - high, F.lit(0.0))
+def _gap(low1: Column, high1: Column, low2: Column, high2: Column) -> Column:
+    """Distance between two intervals; zero where they meet."""
+    return F.greatest(low1 - high2, low2 - high1, F.lit(0.0))
 
 
-def _squared(x: Column, y: Column) -> Column:
-    dx, dy = F.col("_qx") - x, F.col("_qy") - y
-    return dx * dx + dy * dy
+def _reach(low: Column, high: Column, value: Column) -> Column:
+    """Distance from a value to the farther end of an interval."""
+    return F.greatest(F.abs(value - low), F.abs(high - value))
 
 
 def _nodes(located: DataFrame, level: int) -> DataFrame:
@@ -157,6 +157,70 @@ def _nodes(located: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _candidates(
+    located: DataFrame,
+    positions: DataFrame,
+    levels: list[int],
+    time: TimeWindow | None,
+    resolution: float,
+    slice_us: Column,
+) -> DataFrame:
+    """Pairs of a position and a place that may be its nearest."""
+    span = F.lit(time.span if time else 0)
+    leaf = levels[-1] if levels else 0
+    names = ["_u1", "_u2", "_u3"]
+    if time:
+        keys = [F.col("_qx"), F.col("_qy"), F.col("_qt")]
+    else:
+        keys = [F.shiftright(grid_index(F.col(c), resolution), leaf) for c in ("_qx", "_qy")] + [F.lit(0)]
+    unit = positions.select("*", *[key.alias(name) for key, name in zip(keys, names)])
+    box = [F.min("_qx").alias("_bx1"), F.max("_qx").alias("_bx2"), F.min("_qy").alias("_by1"), F.max("_qy").alias("_by2")]
+    carried = [*names, "_qt", "_bx1", "_bx2", "_by1", "_by2"]
+    low, high = F.floor((F.col("_qt") - span) / slice_us), F.floor((F.col("_qt") + span) / slice_us)
+    frontier = unit.groupBy(*names).agg(F.min("_qt").alias("_qt"), *box)
+    frontier = frontier.select(*carried, F.explode(F.sequence(low, high)).alias("_s"))
+
+    def in_window(t: Column) -> Column:
+        return F.abs(F.col("_qt") - t) <= span
+
+    def sample(name: str) -> Column:
+        place = F.col(name)
+        far_x = _reach(F.col("_bx1"), F.col("_bx2"), place["_x"])
+        far_y = _reach(F.col("_by1"), F.col("_by2"), place["_y"])
+        return F.when(in_window(place["_t"]), far_x * far_x + far_y * far_y)
+
+    gap_x = _gap(F.col("_bx1"), F.col("_bx2"), F.col("_x1"), F.col("_x2"))
+    gap_y = _gap(F.col("_by1"), F.col("_by2"), F.col("_y1"), F.col("_y2"))
+    for depth, level in enumerate(levels):
+        nodes = _nodes(located, level)
+        match = F.col("_s") == F.col("_ps")
+        if depth == 0:
+            nodes = nodes if time else F.broadcast(nodes)  # at most _ROOT_NODES rows, as counted
+        else:
+            match &= F.col("_fx") == F.shiftright("_nx", _STEP)
+            match &= F.col("_fy") == F.shiftright("_ny", _STEP)
+        scored = frontier.join(nodes, match).select(
+            *carried, "_s", F.col("_nx").alias("_fx"), F.col("_ny").alias("_fy"),
+            (gap_x * gap_x + gap_y * gap_y).alias("_near"),
+            F.least(sample("_first"), sample("_last")).alias("_sample"),
+        ).where(F.col("_sample").isNotNull())
+        best = F.min("_sample").over(Window.partitionBy(*names)).alias("_best")
+        frontier = scored.select(*carried, "_s", "_fx", "_fy", "_near", best).where(F.col("_near") <= F.col("_best"))
+
+    leaves = located.withColumnRenamed("_s", "_ps")
+    match = (F.col("_s") == F.col("_ps")) & in_window(F.col("_t"))
+    if levels:
+        place_x = _gap(F.col("_bx1"), F.col("_bx2"), F.col("_x"), F.col("_x"))
+        place_y = _gap(F.col("_by1"), F.col("_by2"), F.col("_y"), F.col("_y"))
+        match &= F.col("_fx") == F.shiftright("_ix", leaf)
+        match &= F.col("_fy") == F.shiftright("_iy", leaf)
+        match &= place_x * place_x + place_y * place_y <= F.col("_best")
+    near = frontier.join(leaves, match)
+    if time:
+        return near.select(F.col("_bx1").alias("_qx"), F.col("_by1").alias("_qy"), "_qt", "_x", "_y", "_p")
+    return unit.join(near.select(*names, "_x", "_y", "_p"), names)
+
+
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
@@ -175,15 +239,17 @@ def nearest_place(
     coordinates, or without any place inside the time window, get nulls.
 
     A search over a pyramid of grids, written as a few joins. Each node of the pyramid knows
-    the bounding box of its places and a sample of them. From the coarsest level down, each
-    point keeps only nodes whose box is not farther than the best sample seen, so a handful
-    of nodes per point survive; on the last level the places inside them are compared. Work
-    per point depends on depth, not on the number of places, and dense spots get a deeper
-    pyramid. Points at the same position, and places at the same position, are searched once.
-
-    With a time window, places are also split into time slices of a quarter window. A slice
-    crosses at most one edge of the window, so the earliest and the latest place of a node
-    tell exactly whether it holds any place inside the window.
+    the bounding box of its places and a sample of them. Points are searched in units: all
+    points of one last-level cell together. From the coarsest level down, each unit keeps only
+    nodes whose box can be nearer than the farthest its best sample can be, so a handful of
+    nodes per unit survive; their places are then compared with each point of the unit. Work
+    per point does not grow with the number of places, and dense spots get a deeper pyramid.
+    Points at the same position, and places at the same position, are searched once.
+
+    With a time window, each point (position and time) is its own unit, and places are also
+    split into time slices of a quarter window. A slice crosses at most one edge of the window,
+    so the earliest and the latest place of a node tell exactly whether it holds any place
+    inside the window.
     """
     (px, py), (qx, qy) = point, place
     rest = [name for name in carry if name != place_id]
@@ -217,48 +283,15 @@ def nearest_place(
         F.when(present, F.col(px).cast("double")).alias("_qx"), F.when(present, F.col(py).cast("double")).alias("_qy"),
         point_time.alias("_qt"),
     )
-    frontier = keyed.select(*query).where(F.col("_qx").isNotNull() & F.col("_qt").isNotNull()).distinct()
-    low, high = F.floor((F.col("_qt") - span) / slice_us), F.floor((F.col("_qt") + span) / slice_us)
-    frontier = frontier.select(*query, F.explode(F.sequence(low, high)).alias("_s"))
-
-    def in_window(t: Column) -> Column:
-        return F.abs(F.col("_qt") - t) <= F.lit(span)
-
-    def sample(name: str) -> Column:
-        s = F.col(name)
-        return F.when(in_window(s["_t"]), _squared(s["_x"], s["_y"]))
-
-    parent = None
-    for level in levels:
-        nodes = _nodes(located, level)
-        match = F.col("_s") == F.col("_ps")
-        if parent is None:
-            nodes = nodes if time else F.broadcast(nodes)  # at most _ROOT_NODES rows, as counted
-        else:
-            match &= F.col("_fx") == F.shiftright("_nx", _STEP)
-            match &= F.col("_fy") == F.shiftright("_ny", _STEP)
-        gap_x = _gap(F.col("_x1"), F.col("_qx"), F.col("_x2"))
-        gap_y = _gap(F.col("_y1"), F.col("_qy"), F.col("_y2"))
-        scored = frontier.join(nodes, match).select(
-            *query, "_s", F.col("_nx").alias("_fx"), F.col("_ny").alias("_fy"),
-            (gap_x * gap_x + gap_y * gap_y).alias("_near"),
-            F.least(sample("_first"), sample("_last")).alias("_sample"),
-        ).where(F.col("_sample").isNotNull())
-        frontier = scored.select(
-            *query, "_s", "_fx", "_fy", "_near", F.min("_sample").over(Window.partitionBy(*query)).alias("_best")
-        ).where(F.col("_near") <= F.col("_best"))
-        parent = level
-
-    leaves = located.select(F.col("_s").alias("_ps"), "_ix", "_iy", "_x", "_y", "_t", "_p")
-    match = (F.col("_s") == F.col("_ps")) & in_window(F.col("_t"))
-    if levels:
-        match &= F.col("_fx") == F.shiftright("_ix", levels[-1])
-        match &= F.col("_fy") == F.shiftright("_iy", levels[-1])
-        match &= _squared(F.col("_x"), F.col("_y")) <= F.col("_best")
-    elif not time:
-        leaves = F.broadcast(leaves)  # at most _ROOT_NODES places, as counted
-    hit = F.min(F.struct(_squared(F.col("_x"), F.col("_y")).alias("_d2"), "_p")).alias("_hit")
-    found = frontier.join(leaves, match).groupBy(*query).agg(hit).withColumnsRenamed({n: f"_k{n}" for n in query})
+    positions = keyed.select(*query).where(F.col("_qx").isNotNull() & F.col("_qt").isNotNull()).distinct()
+    if not levels and not time:
+        # At most _ROOT_NODES places, as counted: each position meets all of the only slice.
+        pairs = positions.join(F.broadcast(located), F.floor(F.col("_qt") / slice_us) == F.col("_s"))
+    else:
+        pairs = _candidates(located, positions, levels, time, resolution, slice_us)
+    dx, dy = F.col("_qx") - F.col("_x"), F.col("_qy") - F.col("_y")
+    hit = F.min(F.struct((dx * dx + dy * dy).alias("_d2"), "_p")).alias("_hit")
+    found = pairs.groupBy(*query).agg(hit).withColumnsRenamed({n: f"_k{n}" for n in query})
     same = reduce(lambda a, b: a & b, [F.col(name) == F.col(f"_k{name}") for name in query])
     return keyed.join(found, same, "left").select(
         *[F.col(f"`{name}`") for name in points.columns],

@@ -27,8 +27,8 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
     """Interpolated median per group, exact at any size; null and NaN are ignored.
 
     1. count equal values (combined map-side, so repeated prices cost nothing);
-    2. put values into buckets of a fixed relative width of 2**-20 — the bucket number is
-       monotone in the value, and there are at most a few tens of millions of them;
+    2. put values into buckets of a fixed relative width of 2**-14 — the bucket number is
+       monotone in the value, and there are well under a million of them;
     3. a running count over buckets finds those holding the middle ranks;
     4. only the values of these buckets are sorted.
     """
@@ -41,7 +41,7 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn(
             "_b",
-            F.floor(F.signum("_v") * F.ln(F.abs(F.col("_v")) + 1.0) * F.lit(float(2**20))).cast("bigint"),
+            F.floor(F.signum("_v") * F.ln(F.abs(F.col("_v")) + 1.0) * F.lit(float(2**14))).cast("bigint"),
         )
     )
     per_bucket = counted.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
@@ -66,6 +66,20 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
     return middle.groupBy(*by).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
 
 
+def exact_medians(df: DataFrame, measures: dict[str, Column], by: list[str]) -> DataFrame:
+    """Several medians per group from one scan; a row counts for a measure where it is not null.
+
+    The measures are stacked into one long column, so they share every shuffle as well. A
+    group appears if any of its measures has a value.
+    """
+    entries = F.array(*[F.struct(F.lit(name).alias("_m"), c.cast("double").alias("_x")) for name, c in measures.items()])
+    stacked = df.select(*by, F.inline(entries)).where(F.col("_x").isNotNull())
+    medians = exact_median(stacked, "_x", [*by, "_m"], name="_median")
+    return medians.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_m") == name, F.col("_median"))).alias(name) for name in measures]
+    )
+
+
 def approximate_median(
     df: DataFrame, value: str, by: list[str] | None = None, *, name: str, accuracy: int = 10000
 ) -> DataFrame:
@@ -189,15 +203,15 @@ def rolling_last_n(
     aggregates: dict[str, callable],
     *,
     seq: str = "seq",
-    block: int = 50_000,
+    block: int | None = None,
 ) -> DataFrame:
     """Aggregates over each row and the n-1 rows before it, per key.
 
     ``aggregates`` maps a new column to a function that takes the window. A key is cut into
-    blocks of ``block`` rows; the last n-1 rows of a block are also copied to the next block,
+    blocks of ``block`` rows (20 n unless given); the last n-1 rows of a block are also copied to the next block,
     so each block is complete on its own and a large key spreads over many tasks.
     """
-    block = max(block, n)
+    block = max(block or 20 * n, n)
     own = F.expr(f"({seq} - 1) div {block}")
     tail = F.col(seq) - own * block > block - (n - 1)
     copies = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))
