@@ -24,9 +24,12 @@ def mercator_y(lat: Column) -> Column:
 
 
 def usable(value: Column) -> Column:
-    """Neither null, NaN nor infinite."""
-    value = value.cast("double")
-    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    """Neither null, NaN nor infinite; never null itself.
+
+    Zero times NaN or infinity is NaN, so one product tells all, and a costly ``value`` is
+    computed only once.
+    """
+    return F.coalesce(value.cast("double") * F.lit(0.0) == F.lit(0.0), F.lit(False))
 
 
 def usable_point(x: Column, y: Column) -> Column:
