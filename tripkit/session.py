@@ -16,7 +16,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Settings that only a new session can take.

@@ -25,7 +25,8 @@ AVERAGE_WINDOW = 5
 class RollingSpec:
     """What to keep and compute.
 
-    ``values`` are the numeric columns (null counts as 0); ``aggregates`` makes result
+    The first ``order`` column is a time; rows are numbered in slices of ``bucket_seconds``, so
+    the slice, not the key, is what one task sorts. ``values`` are the numeric columns (null counts as 0); ``aggregates`` makes result
     columns from a window; a row is emitted once its window holds ``min_rows`` rows.
     """
 
@@ -35,7 +36,7 @@ class RollingSpec:
     size: int
     aggregates: dict[str, callable]
     min_rows: int = 1
-    bucket_seconds: int = 86_400
+    bucket_seconds: int = 600
     keep: list[str] = field(default_factory=list)
 
 

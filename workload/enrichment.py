@@ -81,14 +81,18 @@ def _businesses(spark, sf) -> DataFrame:
 
 
 def _zips(spark, sf) -> DataFrame:
-    """ZIP table in which some codes occur several times."""
-    return table(spark, sf, "supplier").where("s_suppkey < 40").select(
-        F.col("s_nationkey").alias("code"), F.col("s_suppkey").cast("double").alias("zlat"),
-        (F.col("s_suppkey") * -1.5).cast("double").alias("zlng"),
+    """ZIP table from the nations; the codes of one region are listed twice."""
+    copies = F.when(F.col("n_regionkey") == 0, F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.lit(1.0)))
+    listed = table(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), F.explode(copies).alias("copy"))
+    known = listed.where("code <> 7")
+    return known.select(
+        "code", (F.col("code") + F.col("copy")).alias("zlat"), (F.col("code") * F.lit(-1.5) * F.col("copy")).alias("zlng")
     )
 
 
-_ZIPS = "zips AS (SELECT s_nationkey AS code, CAST(s_suppkey AS DOUBLE) AS zlat, CAST(s_suppkey AS DOUBLE) * -1.5 AS zlng FROM supplier WHERE s_suppkey < 40)"
+_ZIPS = """zips AS (SELECT code, code + copy AS zlat, code * CAST(-1.5 AS DOUBLE) * copy AS zlng FROM (
+  SELECT n_nationkey AS code, unnest(CASE WHEN n_regionkey = 0 THEN [1::DOUBLE, 2::DOUBLE] ELSE [1::DOUBLE] END) AS copy
+  FROM nation) WHERE code <> 7)"""
 
 
 def _fill(spark, sf, dedupe: bool) -> DataFrame:
