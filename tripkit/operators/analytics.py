@@ -20,6 +20,25 @@ def _count(df: DataFrame, keys: list[str | Column], name: str = "num_trips") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+COUNT_KEYS = ["year", "hour_of_day", "PULocationID", "DOLocationID", "pickup_borough", "dropoff_borough"]
+
+
+def base_counts(df: DataFrame, pickup: str = "pickup_datetime") -> DataFrame:
+    """Trips per year, hour of day, zone pair and borough pair.
+
+    A few million rows at most, whatever the number of trips: every plain count of the standard
+    set is a sum over it, so trips need to be scanned only once.
+    """
+    return _count(df.withColumn("hour_of_day", F.hour(pickup)), COUNT_KEYS)
+
+
+def recount(base: DataFrame, keys: list[str], keep_null: bool = False) -> DataFrame:
+    """Sum counted trips over fewer keys; rows with a missing key are left out unless kept."""
+    if not keep_null:
+        base = base.dropna(subset=keys)
+    return base.groupBy(*keys).agg(F.sum("num_trips").alias("num_trips"))
+
+
 def trips_per_year(df: DataFrame, year: str = "year") -> DataFrame:
     return _count(df, [year]).orderBy(year)
 

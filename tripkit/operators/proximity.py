@@ -173,7 +173,8 @@ def _candidates(
         keys = [F.col("_qx"), F.col("_qy"), F.col("_qt")]
     else:
         keys = [F.shiftright(grid_index(F.col(c), resolution), leaf) for c in ("_qx", "_qy")] + [F.lit(0)]
-    unit = positions.select("*", *[key.alias(name) for key, name in zip(keys, names)])
+    # The unit is part of the distinct rows, so both uses below share one shuffle.
+    unit = positions.select("*", *[key.alias(name) for key, name in zip(keys, names)]).distinct()
     box = [F.min("_qx").alias("_bx1"), F.max("_qx").alias("_bx2"), F.min("_qy").alias("_by1"), F.max("_qy").alias("_by2")]
     carried = [*names, "_qt", "_bx1", "_bx2", "_by1", "_by2"]
     low, high = F.floor((F.col("_qt") - span) / slice_us), F.floor((F.col("_qt") + span) / slice_us)
@@ -283,10 +284,10 @@ def nearest_place(
         F.when(present, F.col(px).cast("double")).alias("_qx"), F.when(present, F.col(py).cast("double")).alias("_qy"),
         point_time.alias("_qt"),
     )
-    positions = keyed.select(*query).where(F.col("_qx").isNotNull() & F.col("_qt").isNotNull()).distinct()
+    positions = keyed.select(*query).where(F.col("_qx").isNotNull() & F.col("_qt").isNotNull())
     if not levels and not time:
         # At most _ROOT_NODES places, as counted: each position meets all of the only slice.
-        pairs = positions.join(F.broadcast(located), F.floor(F.col("_qt") / slice_us) == F.col("_s"))
+        pairs = positions.distinct().join(F.broadcast(located), F.floor(F.col("_qt") / slice_us) == F.col("_s"))
     else:
         pairs = _candidates(located, positions, levels, time, resolution, slice_us)
     dx, dy = F.col("_qx") - F.col("_x"), F.col("_qy") - F.col("_y")

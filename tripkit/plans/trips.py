@@ -16,10 +16,11 @@ from tripkit.operators.models import feature_importance, fit, linear_model, scor
 from tripkit.operators.proximity import TimeWindow, nearest_place, spacetime_join
 from tripkit.operators.quality import flag_issues, keep_clean, profile_rules, stats_by_year
 from tripkit.operators.schema import add_missing, conform, fill_defaults, select_present, union_aligned
-from tripkit.operators.selection import balanced_sample, sample_per_group, seeded_order
+from tripkit.operators.selection import balanced_sample, sample_per_group, seeded_order, top_k
 from tripkit.schemas import ServiceProfile
+from tripkit.session import shared_dir
 from tripkit.sources.readers import read_drifted
-from tripkit.sources.writers import append_record, write_by_year, write_small_csv
+from tripkit.sources.writers import append_record, write_by_year, write_parquet, write_small_csv
 
 _CODE_COLUMNS = {
     "vendor_id": codes.vendor_code,
@@ -99,17 +100,28 @@ def clean_to(df: DataFrame, profile: ServiceProfile, root: str, stats_root: str)
 
 
 def explore(df: DataFrame, profile: ServiceProfile, approximate: bool = False) -> dict[str, DataFrame]:
-    """The standard set of aggregates of one service, by name."""
+    """The standard set of aggregates of one service, by name.
+
+    All counts come from one table of base counts, written once to the shared folder; trips are
+    scanned again only for medians and the share of tips.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, f"counts-{profile.folder}")
+    write_parquet(analytics.base_counts(df), path)
+    base = spark.read.parquet(path)
+    boroughs, zones = ["pickup_borough", "dropoff_borough"], ["PULocationID", "DOLocationID"]
+    od_boroughs, od_zones = analytics.recount(base, boroughs), analytics.recount(base, zones)
+    most = F.col("num_trips").desc()
     results = {
-        "trips_per_year": analytics.trips_per_year(df),
-        "trips_per_PULocationID": analytics.trips_per_zone(df),
-        "trips_per_hour": analytics.trips_per_hour(df),
+        "trips_per_year": analytics.recount(base, ["year"]).orderBy("year"),
+        "trips_per_PULocationID": analytics.recount(base, ["PULocationID"]).orderBy(most, "PULocationID"),
+        "trips_per_hour": analytics.recount(base, ["hour_of_day"], keep_null=True).orderBy(most, "hour_of_day"),
         "median_duration": analytics.median_duration(df, approximate=approximate),
-        "trips_per_borough": analytics.trips_per_borough(df),
-        "od_matrix_borough": analytics.od_matrix(df, "pickup_borough", "dropoff_borough"),
-        "top10_od_boroughs": analytics.top_od(df, "pickup_borough", "dropoff_borough"),
-        "od_matrix_ids": analytics.od_matrix(df, "PULocationID", "DOLocationID"),
-        "top10_od_ids": analytics.top_od(df, "PULocationID", "DOLocationID"),
+        "trips_per_borough": analytics.recount(base, ["pickup_borough"]).orderBy(most, "pickup_borough"),
+        "od_matrix_borough": od_boroughs,
+        "top10_od_boroughs": top_k(od_boroughs, 10, "num_trips", boroughs),
+        "od_matrix_ids": od_zones,
+        "top10_od_ids": top_k(od_zones, 10, "num_trips", zones),
     }
     if profile.tip:
         tipped, paid = analytics.positive(df, profile.tip), analytics.positive(df, profile.fare)

@@ -337,3 +337,28 @@ def sql_view_trips_per_year(spark, sf):
 
     register({"rides_view": rides(spark, sf)})
     return spark.sql("SELECT year, count(*) AS num_trips FROM rides_view GROUP BY year ORDER BY year")
+
+
+@query("explore_counts", f"""
+WITH {TRIPS}
+SELECT 'year' AS kind, CAST(year AS VARCHAR) AS a, CAST(NULL AS VARCHAR) AS b, count(*) AS num_trips FROM trips GROUP BY 2
+UNION ALL SELECT 'borough', pickup_borough, NULL, count(*) FROM trips WHERE pickup_borough IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'zones', CAST(pu_zone AS VARCHAR), CAST(do_zone AS VARCHAR), count(*) FROM trips GROUP BY 2, 3
+UNION ALL SELECT 'boroughs', pickup_borough, dropoff_borough, count(*) FROM trips
+  WHERE pickup_borough IS NOT NULL AND dropoff_borough IS NOT NULL GROUP BY 2, 3""")
+def explore_counts(spark, sf):
+    """Several counts derived from one table of base counts."""
+    zoned = trips(spark, sf).withColumnsRenamed({"pu_zone": "PULocationID", "do_zone": "DOLocationID"})
+    base = a.base_counts(zoned)
+    wanted = {
+        "year": ["year"], "borough": ["pickup_borough"], "zones": ["PULocationID", "DOLocationID"],
+        "boroughs": ["pickup_borough", "dropoff_borough"],
+    }
+    out = None
+    for kind, keys in wanted.items():
+        second = F.col(keys[1]).cast("string") if len(keys) > 1 else F.lit(None).cast("string")
+        part = a.recount(base, keys).select(
+            F.lit(kind).alias("kind"), F.col(keys[0]).cast("string").alias("a"), second.alias("b"), "num_trips"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
