@@ -42,25 +42,25 @@ def trips_per_hour(spark, sf):
 
 @query("median_fare_per_year", f"""
 WITH {RIDES}
-SELECT year, round(median(fare_amount), 4) AS median_fare FROM rides GROUP BY year""")
+SELECT year, round(median(fare_amount), 6) AS median_fare FROM rides GROUP BY year""")
 def median_fare_per_year(spark, sf):
-    return _rounded(a.median_of(rides(spark, sf), "fare_amount", ["year"], name="median_fare"), "median_fare")
+    return _rounded(a.median_of(rides(spark, sf), "fare_amount", ["year"], name="median_fare"), "median_fare", digits=6)
 
 
 @query("median_tip", f"""
 WITH {RIDES}
-SELECT round(median(tip_amount), 4) AS median_tip FROM rides WHERE tip_amount > 0""")
+SELECT round(median(tip_amount), 6) AS median_tip FROM rides WHERE tip_amount > 0""")
 def median_tip(spark, sf):
     tipped = a.positive(rides(spark, sf), "tip_amount")
-    return _rounded(a.median_of(tipped, "tip_amount", name="median_tip"), "median_tip")
+    return _rounded(a.median_of(tipped, "tip_amount", name="median_tip"), "median_tip", digits=6)
 
 
 @query("median_fare", f"""
 WITH {RIDES}
-SELECT round(median(fare_amount), 4) AS median_fare_amount FROM rides WHERE fare_amount > 0""")
+SELECT round(median(fare_amount), 6) AS median_fare_amount FROM rides WHERE fare_amount > 0""")
 def median_fare(spark, sf):
     paid = a.positive(rides(spark, sf), "fare_amount")
-    return _rounded(a.median_of(paid, "fare_amount", name="median_fare_amount"), "median_fare_amount")
+    return _rounded(a.median_of(paid, "fare_amount", name="median_fare_amount"), "median_fare_amount", digits=6)
 
 
 @query("median_duration", f"""
@@ -243,15 +243,15 @@ def service_cosine(spark, sf):
 
 @query("service_summary", f"""
 WITH {RIDES}
-SELECT service, round(CAST(avg(CASE WHEN tip_amount > 0 THEN 1.0 ELSE 0.0 END) * 100 AS DOUBLE), 2) AS tipped_pct,
-       round(median(tip_amount) FILTER (tip_amount > 0), 2) AS median_tip,
-       round(median(fare_amount) FILTER (fare_amount > 0), 2) AS median_fare,
+SELECT service, round(CAST(avg(CASE WHEN tip_amount > 0 THEN 1.0 ELSE 0.0 END) * 100 AS DOUBLE), 6) AS tipped_pct,
+       round(median(tip_amount) FILTER (tip_amount > 0), 6) AS median_tip,
+       round(median(fare_amount) FILTER (fare_amount > 0), 6) AS median_fare,
        round(median(date_part('epoch', dropoff_datetime) - date_part('epoch', pickup_datetime))
-             FILTER (dropoff_datetime > pickup_datetime) / 60.0, 2) AS median_duration_min
+             FILTER (dropoff_datetime > pickup_datetime) / 60.0, 6) AS median_duration_min
 FROM rides GROUP BY service""")
 def service_summary(spark, sf):
     columns = ["tipped_pct", "median_tip", "median_fare", "median_duration_min"]
-    return _rounded(a.service_summary(rides(spark, sf)), *columns, digits=2)
+    return _rounded(a.service_summary(rides(spark, sf)), *columns, digits=6)
 
 
 @query("hourly_share", """

@@ -49,9 +49,9 @@ def engineer_features(spark, sf):
 
 @query("scaler_params", f"""
 WITH {_FEATURES}
-{' UNION ALL '.join(f"SELECT '{c}' AS feature, round(avg(coalesce({c}, 0)::DOUBLE), 4) AS mean, round(stddev_pop(coalesce({c}, 0)::DOUBLE), 4) AS std FROM features" for c in ft.NUMERIC)}""")
+{' UNION ALL '.join(f"SELECT '{c}' AS feature, round(avg(coalesce({c}, 0)::DOUBLE), 6) AS mean, round(stddev_pop(coalesce({c}, 0)::DOUBLE), 6) AS std FROM features" for c in ft.NUMERIC)}""")
 def scaler_params(spark, sf):
-    return ft.scaler_params(_features(spark, sf)).select("feature", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+    return ft.scaler_params(_features(spark, sf)).select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 @query("scaled_features", f"""
