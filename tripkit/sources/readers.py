@@ -104,17 +104,15 @@ def read_csv(
     header: bool = True,
     sep: str = ",",
     positions: dict[int, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Chosen CSV columns with given types; text that does not fit a type becomes null.
 
     For files without a header, ``positions`` names columns by their zero-based position.
+    ``multi_line`` allows line breaks inside quotes; such files cannot be split among tasks.
     """
-    raw = (
-        spark.read.option("header", header).option("sep", sep)
-        .option("multiLine", True).option("escape", '"')
-        .csv(path) if header else
-        spark.read.option("header", False).option("sep", sep).csv(path)
-    )
+    reader = spark.read.option("header", header).option("sep", sep).option("multiLine", multi_line)
+    raw = reader.option("escape", '"').csv(path)
     if positions:
         raw = raw.select(*[F.col(f"_c{i}").alias(name) for i, name in positions.items()])
     return raw.select(*[F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in columns.items()])

@@ -2,9 +2,9 @@
 
 A stream keeps, per key, the last N - 1 records and the number of records seen. Each
 micro-batch puts these in front of its new rows and runs the batch operator on both, so a
-busy key is split over tasks just as in a batch job. State is a folder of Parquet versions,
-one per micro-batch: a batch that is run again after a failure reads the same previous
-version and overwrites its own output.
+busy key is split over tasks just as in a batch job. State is Parquet in three folders used
+in turn: a batch that is run again after a failure reads the same previous version and
+overwrites its own output.
 """
 
 from __future__ import annotations
@@ -99,7 +99,8 @@ class RollingStream:
         self.spec, self.folder, self.output, self.emit = spec, folder.rstrip("/"), output.rstrip("/"), emit
 
     def _version(self, batch_id: int) -> str:
-        return f"{self.folder}/version={batch_id}"
+        # Three folders in turn: a repeated batch still finds the version before it.
+        return f"{self.folder}/slot={batch_id % 3}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spec, spark = self.spec, batch.sparkSession
