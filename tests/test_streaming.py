@@ -12,7 +12,7 @@ BASE = datetime(2024, 1, 1)
 
 
 def plain_kmeans(points, seeds=SEEDS):
-    """Reference loop, one record at a time."""
+    """The same in plain Python, one record at a time."""
     centres, out = [[a, b, 0] for a, b in seeds], []
     for lat, lon in points:
         distances = [math.sqrt((c[0] - lat) ** 2 + (c[1] - lon) ** 2) for c in centres]
