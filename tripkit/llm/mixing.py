@@ -89,7 +89,7 @@ def _schedule(listed: DataFrame, rows: int, budget: int, seed: int) -> DataFrame
     pieces = (
         passes.withColumn("cut", F.explode(parts)).filter("cut.a < cut.b and goal > 0")
         .withColumn("from_word", F.col("cut.a")).withColumn("to_word", F.col("cut.b"))
-        .withColumn("finish", (F.col("start") + F.col("to_word")) / F.col("goal"))
+        .withColumn("finish", F.try_divide(F.col("start") + F.col("to_word"), F.col("goal")))
         .withColumn("words", F.col("to_word") - F.col("from_word"))
         .withColumn("part", F.least(F.floor(F.col("finish") * n), F.lit(4 * n)).cast("long"))
     )
@@ -104,9 +104,13 @@ def _schedule(listed: DataFrame, rows: int, budget: int, seed: int) -> DataFrame
 
 def mixed_texts(docs: DataFrame, pieces: DataFrame) -> DataFrame:
     """The documents of a mix: a row of ``docs`` for each piece, its text cut to the piece's words where it isn't whole."""
-    piece = pieces.select("row_key", F.col("doc_id").alias("__doc"), "size", "pass", "from_word", "to_word", "row")
+    piece = pieces.select(*(F.col(c).alias(f"__{c}") for c in ("row_key", "doc_id", "size", "pass", "from_word", "to_word")))
     keyed = docs.withColumn("__key", F.xxhash64(*docs.columns)).dropDuplicates(docs.columns)
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.col("from_word").cast("int") + 1, (F.col("to_word") - F.col("from_word")).cast("int"))
-    whole = (F.col("from_word") == 0) & (F.col("to_word") == F.col("size"))
-    joined = keyed.join(piece, (F.col("__key") == F.col("row_key")) & F.col("doc_id").eqNullSafe(F.col("__doc")))
-    return joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(words, " "))).select(*docs.columns)
+    first, last = F.col("__from_word").cast("int"), F.col("__to_word").cast("int")
+    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), first + 1, last - first)
+    whole = (first == 0) & (last == F.col("__size"))
+    joined = keyed.join(piece, (F.col("__key") == F.col("__row_key")) & F.col("doc_id").eqNullSafe(F.col("__doc_id")))
+    out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(words, " ")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

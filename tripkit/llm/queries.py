@@ -135,3 +135,31 @@ def op3_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").select("doc_id", bad.alias("bad"))
     numbered = pages.select("page_id", number.cast("long").alias("doc_id"))
     return judge_urls(spark, pages, URL_RULES, numbered.join(labels, "doc_id").select("page_id", "bad"))
+
+
+@_query("op2_scan_secrets")
+def op2_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.secret_scan import scan_secrets
+
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query("op5_judge_quality")
+def op5_judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.thresholds import judge_quality
+
+    return judge_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def _remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@_query("op6_identify_language")
+def op6_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.langid import learn_prototypes, predict_language
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    prototypes = learn_prototypes(docs.filter(_remainder(4) != 2))
+    return predict_language(docs, prototypes, columns=["doc_id", held_out])

@@ -65,8 +65,8 @@ def template_tree(
 
     ``urls`` has ``host``, ``segments`` and ``bad`` (0, 1 or null for no label). The tree is built level by level over
     the counts of distinct paths. A node with more than ``max_children`` different children is variable: they become
-    one wildcard. So do children seen fewer than ``min_support`` times, and children whose rate of bad labels does not
-    differ from that of their siblings by ``z`` standard errors; the others keep their name.
+    one wildcard. So do children seen fewer than ``min_support`` times, and children whose rate of bad labels is within
+    ``z`` standard errors of the median rate of the node's children; the others keep their name.
     """
     counts = urls.groupBy("host", "segments").agg(
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
@@ -78,8 +78,9 @@ def template_tree(
         known = tree.withColumn("segment", here)
         sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
         children = known.filter("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*sums)
+        rate = F.when((F.col("labelled") > 0) & (F.col("n") >= min_support), F.try_divide("bad", "labelled"))
         nodes = children.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
+            F.count("*").alias("children"), F.percentile_approx(rate, 0.5, 1000).alias("usual")
         )
         judged = children.join(nodes, ["host", "template"]).withColumn("named", _differs(max_children, min_support, z))
         named = judged.filter("named").select("host", "template", "segment", F.lit(True).alias("named"))
@@ -95,11 +96,10 @@ def template_tree(
 
 
 def _differs(max_children: int, min_support: int, z: float) -> Column:
-    labelled, bad = F.col("labelled"), F.col("bad")
-    others, others_bad = F.col("all_labelled") - labelled, F.col("all_bad") - bad
-    pooled = F.col("all_bad") / F.nullif(F.col("all_labelled"), F.lit(0))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.nullif(labelled, F.lit(0)) + 1 / F.nullif(others, F.lit(0))))
-    gap = F.abs(bad / F.nullif(labelled, F.lit(0)) - others_bad / F.nullif(others, F.lit(0)))
+    labelled, usual = F.col("labelled"), F.col("usual")
+    expected = (usual * labelled + 1) / (labelled + 2)  # never 0 or 1, so a few odd labels prove nothing
+    error = F.sqrt(expected * (1 - expected) / F.nullif(labelled, F.lit(0)))
+    gap = F.abs(F.col("bad") / F.nullif(labelled, F.lit(0)) - usual)
     return F.coalesce((F.col("children") <= max_children) & (F.col("n") >= min_support) & (gap > error * z), F.lit(False))
 
 
@@ -125,7 +125,7 @@ def judge_urls(
     urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("segments", path_segments(F.col("path")))
     marks = labels.filter("bad IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("bad"))
     tree = template_tree(spark, urls.join(marks, "page_id", "left"), **tree_options)
-    share = tree.agg(F.sum("bad") / F.sum("labelled")).first()[0] or 0.0
+    share = tree.agg(F.try_divide(F.sum("bad"), F.sum("labelled"))).first()[0] or 0.0
     sums = [F.sum(c).alias(c) for c in ("labelled", "bad")]
     smooth = lambda towards: (F.col("bad") + weight * towards) / (F.col("labelled") + weight)
     hosts = tree.groupBy("host").agg(*sums).select("host", smooth(F.lit(share)).alias("host_share"))
