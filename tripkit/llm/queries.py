@@ -163,3 +163,23 @@ def op6_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
     prototypes = learn_prototypes(docs.filter(_remainder(4) != 2))
     return predict_language(docs, prototypes, columns=["doc_id", held_out])
+
+
+@_query("op4_top_products")
+def op4_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.topk import top_products
+
+    return top_products(spark, _table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query("op7_pack_documents")
+def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.packing import pack_documents
+
+    return pack_documents(spark, _table(spark, sf_dir, "documents"), tokenizer_path())
