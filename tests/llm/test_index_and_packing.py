@@ -64,7 +64,7 @@ def test_scoring_ends_early_but_exactly():
 def ids_of(texts):
     from tokenizers import Tokenizer
 
-    encoded = Tokenizer.from_file(queries.tokenizer_path()).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    encoded = Tokenizer.from_file(packing.public_tokenizer()).encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [np.array([*e.ids, 1], "<u4") for e in encoded]
 
 
@@ -75,7 +75,7 @@ TEXTS = [
 
 
 def test_remembered_words_give_the_same_ids(spark):
-    tokens = packing.Tokens(queries.tokenizer_path())
+    tokens = packing.Tokens(packing.public_tokenizer())
     real = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
     for texts in (TEXTS, real, TEXTS):
         assert [e + np.array([1], "<u4").tobytes() for e in tokens.encode([t or "" for t in texts])] == [i.tobytes() for i in ids_of(texts)]
@@ -123,11 +123,11 @@ def test_packing_of_odd_rows(spark, monkeypatch, block):
     long = ["ab " * n for n in (600, 700, 1000, 1023, 1024, 1365, 90, 40, 5, 2047, 300)]
     texts = dict(enumerate(TEXTS + long))
     frame = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in texts.items()], "doc_id long, text string, kind string, part int, class int")
-    check_packing(packing.pack_documents(spark, frame.repartition(3), queries.tokenizer_path()).collect(), texts)
+    check_packing(packing.pack_documents(spark, frame.repartition(3), packing.public_tokenizer()).collect(), texts)
     only_long = {i: "ab " * 900 for i in range(7)}
     frame = spark.createDataFrame(list(only_long.items()), "doc_id long, text string")
-    check_packing(packing.pack_documents(spark, frame, queries.tokenizer_path()).collect(), only_long)
+    check_packing(packing.pack_documents(spark, frame, packing.public_tokenizer()).collect(), only_long)
     empties = {i: None for i in range(3000)}
     frame = spark.createDataFrame(list(empties.items()), "doc_id long, text string")
-    check_packing(packing.pack_documents(spark, frame, queries.tokenizer_path()).collect(), empties)
-    assert packing.pack_documents(spark, frame.limit(0), queries.tokenizer_path()).count() == 0
+    check_packing(packing.pack_documents(spark, frame, packing.public_tokenizer()).collect(), empties)
+    assert packing.pack_documents(spark, frame.limit(0), packing.public_tokenizer()).count() == 0

@@ -121,6 +121,11 @@ def saved(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(df: DataFrame) -> Column:
+    """128 bits of hash over all columns of a row."""
+    return F.concat(F.hex(F.xxhash64(*df.columns)), F.hex(F.xxhash64(F.lit(1), *df.columns)))
+
+
 def slices_for(rows: int) -> int:
     """Slices of a table so that neither one slice nor the list of slices becomes large."""
     return max(64, 2 * math.isqrt(max(rows, 1)))

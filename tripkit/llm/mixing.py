@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripkit.llm.common import WORD, running_total, saved, slices_for
+from tripkit.llm.common import WORD, row_key, running_total, saved, slices_for
 
 PASSES = 2  # a document may be taken at most this often
 
@@ -65,7 +65,7 @@ def _sized(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return saved(
         spark,
         docs.select(
-            "doc_id", "source", size.alias("size"), F.xxhash64(*docs.columns).alias("row_key"),
+            "doc_id", "source", size.alias("size"), row_key(docs).alias("row_key"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "mix-sizes",
@@ -104,12 +104,12 @@ def _schedule(listed: DataFrame, rows: int, budget: int, seed: int) -> DataFrame
 
 def mixed_texts(docs: DataFrame, pieces: DataFrame) -> DataFrame:
     """The documents of a mix: a row of ``docs`` for each piece, its text cut to the piece's words where it isn't whole."""
-    piece = pieces.select(*(F.col(c).alias(f"__{c}") for c in ("row_key", "doc_id", "size", "pass", "from_word", "to_word")))
-    keyed = docs.withColumn("__key", F.xxhash64(*docs.columns)).dropDuplicates(docs.columns)
+    piece = pieces.select(*(F.col(c).alias(f"__{c}") for c in ("row_key", "size", "pass", "from_word", "to_word")))
+    keyed = docs.withColumn("__row_key", row_key(docs)).dropDuplicates(["__row_key"])
     first, last = F.col("__from_word").cast("int"), F.col("__to_word").cast("int")
     words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), first + 1, last - first)
     whole = (first == 0) & (last == F.col("__size"))
-    joined = keyed.join(piece, (F.col("__key") == F.col("__row_key")) & F.col("doc_id").eqNullSafe(F.col("__doc_id")))
+    joined = keyed.join(piece, "__row_key")
     out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(words, " ")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))

@@ -29,6 +29,13 @@ _PARTS = (
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def public_tokenizer() -> str:
+    """Path of the byte-level vocabulary that is installed beside the libraries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 class Tokens:
     """Ids of whole texts as little-endian 32-bit bytes.
 

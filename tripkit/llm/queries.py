@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripkit.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,14 +173,27 @@ def op4_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(spark, _table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
+@_query("op7_pack_documents")
+def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.packing import pack_documents, public_tokenizer
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(spark, _table(spark, sf_dir, "documents"), public_tokenizer())
 
 
-@_query("op7_pack_documents")
-def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tripkit.llm.packing import pack_documents
+@_query("op9_near_duplicates")
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.neardup import near_duplicates
+
+    return near_duplicates(spark, _table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row_key")
+
+
+@_query("op10_score_language_model")
+def op10_score_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.kneser_ney import score_documents
+
+    return score_documents(spark, _table(spark, sf_dir, "documents"), _remainder(7) != 2)
+
 
-    return pack_documents(spark, _table(spark, sf_dir, "documents"), tokenizer_path())
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
