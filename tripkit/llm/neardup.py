@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripkit.llm.batches import ANSWERS, SHARDED, answer_rows, answers_of, collected, merge_entries, pack_keys, save_batched, to_shards, unpack_keys
@@ -16,6 +17,7 @@ from tripkit.llm.common import WORD, hash_words, mix, ngram_hashes, row_key, sav
 SHINGLE = 5
 BANDS, BAND_ROWS = 12, 3
 IDF_STRENGTH = 0.25
+LEADERS = 16  # rows of a bucket that the others are compared with in each later turn
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,9 +149,9 @@ def _signed(spark: SparkSession, docs: DataFrame, threshold: float, strength: fl
 
 
 def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (``leader``, ``row``) with their weighted Jaccard similarity."""
-    member = sets.select("row", F.col("keys").alias("keys_b"), F.col("weights").alias("weights_b"))
-    leader = sets.select(F.col("row").alias("leader"), F.col("keys").alias("keys_a"), F.col("weights").alias("weights_a"))
+    """``pairs`` (``a``, ``b``) of rows with their weighted Jaccard similarity."""
+    member = sets.select(F.col("row").alias("b"), F.col("keys").alias("keys_b"), F.col("weights").alias("weights_b"))
+    leader = sets.select(F.col("row").alias("a"), F.col("keys").alias("keys_a"), F.col("weights").alias("weights_a"))
 
     def judge(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         floats = lambda x: np.frombuffer(x, np.float32)
@@ -158,35 +160,40 @@ def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 weighted_jaccard(unpack_keys(a), floats(v), unpack_keys(b), floats(w))
                 for a, v, b, w in zip(f["keys_a"], f["weights_a"], f["keys_b"], f["weights_b"])
             ]
-            yield pd.DataFrame({"leader": f["leader"], "row": f["row"], "similarity": similarity})
+            yield pd.DataFrame({"a": f["a"], "b": f["b"], "similarity": similarity})
 
-    return pairs.join(member, "row").join(leader, "leader").mapInPandas(judge, "leader long, row long, similarity double")
+    return pairs.join(member, "b").join(leader, "a").mapInPandas(judge, "a long, b long, similarity double")
 
 
 def _links(spark: SparkSession, signed: DataFrame, threshold: float) -> DataFrame:
     """Verified links (``a``, ``b``) between rows of ``signed`` that stand for different texts.
 
-    In each bucket of each band all rows are compared with the first one; those that aren't similar to it go on among
-    themselves, until no bucket holds two rows. So no pair within a group of copies is listed, and none that the
-    bands bring together without a common leader is lost.
+    In each bucket of each band all rows are compared with its first row. Those that aren't similar go on among themselves,
+    each turn with LEADERS of them as leaders, until no bucket holds two rows. So a row meets a bounded number of
+    others in a turn, no pair within a group of copies is listed, and small buckets are compared in full.
     """
     sets = signed.select("row", "keys", "weights")
     rest = saved(spark, signed.select("row", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
-    links = known = None
+    bucket = ["band", "value"]
+    links: list[DataFrame] = []
     while True:
-        leaders = rest.groupBy("band", "value").agg(F.min("row").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        members = rest.join(leaders, ["band", "value"]).filter("row <> leader")
-        pairs = members.select("leader", "row").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["leader", "row"], "left_anti")
-        judged = saved(spark, _judged(pairs, sets), "dedup-judged")
-        known = judged if known is None else known.unionByName(judged)
-        failed = known.filter(F.col("similarity") < threshold).select("leader", "row")
-        rest = saved(spark, members.join(failed, ["leader", "row"], "left_semi").select("row", "band", "value"), "dedup-buckets")
-        similar = judged.filter(F.col("similarity") >= threshold).select(F.col("leader").alias("a"), F.col("row").alias("b"))
-        links = similar if links is None else links.unionByName(similar)
+        if not links:  # one leader in all bands makes few different pairs
+            leaders = rest.groupBy(*bucket).agg(F.min("row").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        else:
+            mixed = Window.partitionBy(*bucket).orderBy(F.xxhash64("row", "band"), "row")
+            leaders = rest.withColumn("n", F.row_number().over(mixed)).filter(F.col("n") <= LEADERS).select(*bucket, F.col("row").alias("leader"))
+        met = rest.join(leaders, bucket).filter("row <> leader").select(
+            *bucket, "row", F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")
+        )
+        judged = saved(spark, _judged(met.select("a", "b").distinct(), sets), "dedup-judged")
+        links.append(judged.filter(F.col("similarity") >= threshold).select("a", "b"))
+        done = met.join(links[-1], ["a", "b"], "left_semi").select(*bucket, "row")
+        done = done.unionByName(leaders.withColumnRenamed("leader", "row"))
+        open_ = rest.join(done, [*bucket, "row"], "left_anti")
+        several = open_.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
+        rest = saved(spark, open_.join(several, bucket, "left_semi").select("row", *bucket), "dedup-buckets")
         if rest.isEmpty():
-            return links
+            return functools.reduce(DataFrame.unionByName, links)
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
