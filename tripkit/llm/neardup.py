@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.llm.batches import ANSWERS, SHARDED, answer_rows, answers_of, collected, merge_entries, pack_keys, save_batched, to_shards, unpack_keys
@@ -17,7 +16,8 @@ from tripkit.llm.common import WORD, hash_words, mix, ngram_hashes, row_key, sav
 SHINGLE = 5
 BANDS, BAND_ROWS = 12, 3
 IDF_STRENGTH = 0.25
-LEADERS = 16  # rows of a bucket that the others are compared with in each later turn
+SAMPLES = 96  # the first BANDS * BAND_ROWS make the bands, all make the sketch
+PARTNERS, CROWD = 3, 4096
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -128,21 +128,21 @@ def _signed(spark: SparkSession, docs: DataFrame, threshold: float, strength: fl
         inside = np.repeat(maybe, sizes)
         key, kept = s.key[inside], weight[inside]
         first = np.concatenate([[0], np.cumsum(sizes[maybe])]).astype(np.int64)
-        bands, keys, weights = [None] * len(frame), [None] * len(frame), [None] * len(frame)
+        bands, sketches, keys, weights = ([None] * len(frame) for _ in range(4))
         if maybe.any():
-            samples = weighted_samples(key, kept.astype(float), first, BANDS * BAND_ROWS)
+            samples = weighted_samples(key, kept.astype(float), first, SAMPLES)
             hashed = np.zeros((len(samples), BANDS), np.uint64)
             for k in range(BAND_ROWS):
-                hashed = mix(hashed * _FACTOR + samples[:, k::BAND_ROWS])
+                hashed = mix(hashed * _FACTOR + samples[:, k : BANDS * BAND_ROWS : BAND_ROWS])
             for n, i in enumerate(np.flatnonzero(maybe)):
-                bands[i] = hashed[n].view(np.int64)
+                bands[i], sketches[i] = hashed[n].view(np.int64), (samples[n] & np.uint64(255)).astype(np.uint8).tobytes()
                 keys[i], weights[i] = pack_keys(key[first[n] : first[n + 1]]), kept[first[n] : first[n + 1]].tobytes()
         out = frame[[f.name for f in carried]].reset_index(drop=True)
-        return out.assign(d1=s.digests[:, 0].view(np.int64), d2=s.digests[:, 1].view(np.int64), bands=bands, keys=keys, weights=weights) if len(out) else out
+        return out.assign(d1=s.digests[:, 0].view(np.int64), d2=s.digests[:, 1].view(np.int64), bands=bands, sketch=sketches, keys=keys, weights=weights) if len(out) else out
 
     answers = groups.applyInPandas(emit, SHARDED).groupBy("shard").applyInPandas(merge, ANSWERS)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
-    schema = f"{fields}, d1 long, d2 long, bands array<long>, keys binary, weights binary"
+    schema = f"{fields}, d1 long, d2 long, bands array<long>, sketch binary, keys binary, weights binary"
     signed = saved(spark, groups.cogroup(answers.groupBy("batch")).applyInPandas(sign, schema), "dedup-signed")
     collected(spark)
     return signed
@@ -168,32 +168,50 @@ def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _links(spark: SparkSession, signed: DataFrame, threshold: float) -> DataFrame:
     """Verified links (``a``, ``b``) between rows of ``signed`` that stand for different texts.
 
-    In each bucket of each band all rows are compared with its first row. Those that aren't similar go on among themselves,
-    each turn with LEADERS of them as leaders, until no bucket holds two rows. So a row meets a bounded number of
-    others in a turn, no pair within a group of copies is listed, and small buckets are compared in full.
+    In each bucket of each band all rows are compared with its leader, the row whose buckets are the largest: in a group of
+    copies that is the text most like their common origin. The rows that aren't similar to it are matched among themselves
+    by their sketches, the samples themselves, and each row's PARTNERS best matches are compared. So a row is in few pairs, and
+    no pair within a group of copies is listed. Of the rows left in a bucket of more than CROWD, those meet that agree in
+    the next band too.
     """
     sets = signed.select("row", "keys", "weights")
-    rest = saved(spark, signed.select("row", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
+    at = saved(spark, signed.select("row", "bands", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
     bucket = ["band", "value"]
-    links: list[DataFrame] = []
-    while True:
-        if not links:  # one leader in all bands makes few different pairs
-            leaders = rest.groupBy(*bucket).agg(F.min("row").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        else:
-            mixed = Window.partitionBy(*bucket).orderBy(F.xxhash64("row", "band"), "row")
-            leaders = rest.withColumn("n", F.row_number().over(mixed)).filter(F.col("n") <= LEADERS).select(*bucket, F.col("row").alias("leader"))
-        met = rest.join(leaders, bucket).filter("row <> leader").select(
-            *bucket, "row", F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")
-        )
-        judged = saved(spark, _judged(met.select("a", "b").distinct(), sets), "dedup-judged")
-        links.append(judged.filter(F.col("similarity") >= threshold).select("a", "b"))
-        done = met.join(links[-1], ["a", "b"], "left_semi").select(*bucket, "row")
-        done = done.unionByName(leaders.withColumnRenamed("leader", "row"))
-        open_ = rest.join(done, [*bucket, "row"], "left_anti")
-        several = open_.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
-        rest = saved(spark, open_.join(several, bucket, "left_semi").select("row", *bucket), "dedup-buckets")
-        if rest.isEmpty():
-            return functools.reduce(DataFrame.unionByName, links)
+    sizes = at.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = saved(spark, at.join(sizes, bucket).select("row", *bucket, "n"), "dedup-buckets")
+    weight = shared.groupBy("row").agg(F.sum("n").alias("popular"))
+    first = F.struct(-F.col("popular"), F.col("row"))
+    leaders = shared.join(weight, "row").groupBy(*bucket).agg(F.min_by("row", first).alias("leader"))
+    met = saved(spark, shared.join(leaders, bucket).filter("row <> leader").select(
+        *bucket, "row", F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")
+    ), "dedup-met")
+    judged = saved(spark, _judged(met.select("a", "b").distinct(), sets), "dedup-judged")
+    similar = judged.filter(F.col("similarity") >= threshold).select("a", "b")
+    rest = met.join(judged.filter(F.col("similarity") < threshold), ["a", "b"], "left_semi").select(*bucket, "row")
+    left = rest.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
+    finer = F.when(F.col("n") > CROWD, F.col("bands")[(F.col("band") + 1) % BANDS])
+    crowd = rest.join(left, bucket).join(signed.select("row", "bands", "sketch"), "row").select(*bucket, finer.alias("finer"), "row", "sketch")
+    needed = _least_agreement(threshold)
+
+    def match(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = frame["row"].to_numpy(np.int64)
+        sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(rows), SAMPLES)
+        pairs = []
+        for i in range(len(rows)):
+            same = (sketch == sketch[i]).sum(axis=1)
+            same[i] = 0
+            near = np.flatnonzero(same >= needed)
+            pairs += [(min(rows[i], rows[j]), max(rows[i], rows[j])) for j in near[np.argsort(-same[near], kind="stable")[:PARTNERS]]]
+        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+    likely = crowd.groupBy(*bucket, "finer").applyInPandas(match, "a long, b long").distinct()
+    checked = saved(spark, _judged(likely.join(judged, ["a", "b"], "left_anti"), sets), "dedup-judged")
+    return similar.unionByName(checked.filter(F.col("similarity") >= threshold).select("a", "b"))
+
+
+def _least_agreement(similarity: float) -> int:
+    """Samples that two texts of at least this similarity share but for one pair in some thousand."""
+    return int(SAMPLES * similarity - 3.3 * (SAMPLES * similarity * (1 - similarity)) ** 0.5)
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
