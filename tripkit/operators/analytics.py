@@ -124,8 +124,18 @@ def share_of_total(df: DataFrame, value: str, by: list[str], name: str, scale: f
     return df.withColumn(name, F.col(value) * F.lit(scale) / F.nullif(total, F.lit(0)))
 
 
-def pivot_counts(counts: DataFrame, row: str, column: str, values: list[str], value: str = "num_trips") -> DataFrame:
-    """One row per ``row``, one column per listed value, missing combinations as 0."""
+def occurring(counts: DataFrame, column: str) -> list[str]:
+    """The distinct values of a column of counted rows, in order: as many as a pivot has columns."""
+    return sorted(r[0] for r in counts.select(column).distinct().collect() if r[0] is not None)
+
+
+def pivot_counts(counts: DataFrame, row: str, column: str, values: list[str] | None, value: str = "num_trips") -> DataFrame:
+    """One row per ``row``, one column per value of ``column``, missing combinations as 0.
+
+    Without ``values`` all that occur get a column; with them only these do.
+    """
+    if values is None:
+        values = occurring(counts, column)
     return counts.groupBy(row).pivot(column, values).agg(F.sum(value)).fillna(0, subset=values)
 
 
@@ -148,7 +158,8 @@ def borough_share(counts: DataFrame, borough: str = "pickup_borough") -> DataFra
     return shared.where(F.col("share").isNotNull()).select("service", F.col(borough).alias("borough"), "share")
 
 
-def borough_share_matrix(shares: DataFrame, boroughs: list[str]) -> DataFrame:
+def borough_share_matrix(shares: DataFrame, boroughs: list[str] | None = None) -> DataFrame:
+    """Service by borough; all boroughs that occur unless some are listed."""
     return pivot_counts(shares, "service", "borough", boroughs, "share")
 
 
@@ -254,7 +265,7 @@ def monthly_share(series: DataFrame) -> DataFrame:
     return series.withColumn("total_trips", total).withColumn("share", F.col("trips") / F.col("total_trips"))
 
 
-def pivot_operator_share(shares: DataFrame, operators: list[str]) -> DataFrame:
-    """Date by operator, mean share, 0 where an operator has no trips; columns sorted."""
-    names = sorted(operators)
+def pivot_operator_share(shares: DataFrame, operators: list[str] | None = None) -> DataFrame:
+    """Date by operator, mean share, 0 where an operator has no trips; columns sorted. All operators unless listed."""
+    names = occurring(shares, "operator") if operators is None else sorted(operators)
     return shares.groupBy("date").pivot("operator", names).agg(F.avg("share")).fillna(0.0, subset=names).orderBy("date")

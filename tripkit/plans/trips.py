@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,9 +79,13 @@ def raw_kinds(profile: ServiceProfile) -> dict[str, str]:
 def ingest(
     spark: SparkSession, paths: list[str], zones: DataFrame, profile: ServiceProfile, root: str
 ) -> None:
-    """Raw monthly files of one service to one Parquet dataset by year."""
+    """Raw monthly files of one service to one Parquet dataset by year, next to what other calls wrote.
+
+    The set of file names is the load: the same call again replaces its own rows. Give a file to one set only.
+    """
     raw = read_drifted(spark, paths, raw_kinds(profile))
-    write_by_year(normalise(raw, zones, profile), f"{root}/{profile.folder}")
+    load = hashlib.sha256("\n".join(sorted(p.rsplit("/", 1)[-1] for p in paths)).encode()).hexdigest()[:16]
+    write_by_year(normalise(raw, zones, profile), f"{root}/{profile.folder}", load=load)
 
 
 def clean(df: DataFrame, profile: ServiceProfile) -> tuple[DataFrame, DataFrame]:
@@ -93,10 +99,11 @@ def clean(df: DataFrame, profile: ServiceProfile) -> tuple[DataFrame, DataFrame]
     return stats, conform(keep_clean(dated, rules), profile.schema)
 
 
-def clean_to(df: DataFrame, profile: ServiceProfile, root: str, stats_root: str) -> None:
+def clean_to(df: DataFrame, profile: ServiceProfile, root: str, stats_root: str, load: str = "all") -> None:
+    """Write statistics and clean trips; ``load`` names the part of the service that ``df`` holds."""
     stats, good = clean(df, profile)
     write_small_csv(stats, f"{stats_root}/{profile.folder}_quality_stats")
-    write_by_year(good, f"{root}/{profile.folder}")
+    write_by_year(good, f"{root}/{profile.folder}", load=load)
 
 
 def explore(df: DataFrame, profile: ServiceProfile, approximate: bool = False) -> dict[str, DataFrame]:
@@ -205,12 +212,13 @@ def combine(yellow: DataFrame, fhvhv: DataFrame, as_string: bool = True) -> Data
     return union_aligned({"yellow": yellow, "fhvhv": fhvhv}, as_string=as_string)
 
 
-def monthly_counts(services: dict[str, DataFrame], years: tuple[int, int] = (2009, 2025)) -> dict[str, DataFrame]:
-    """Rides per month of each service; licensed services also per company."""
+def monthly_counts(services: dict[str, DataFrame], years: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+    """Rides per month of each service, of all years or those from ``years[0]`` to ``years[1]``; licensed services also
+    per company."""
     out = {}
     for name, df in services.items():
         by = ["hvfhs_license_num"] if "hvfhs_license_num" in df.columns else None
-        out[name] = analytics.monthly_rides(df.where(F.col("year").between(*years)), by=by)
+        out[name] = analytics.monthly_rides(df.where(F.col("year").between(*years)) if years else df, by=by)
     return out
 
 
@@ -249,7 +257,8 @@ def classify(
 ) -> dict[str, object]:
     """Train on balanced months of one year, score another year, compare with the majority class.
 
-    The scaler is fitted on the balanced rows. Tree models use fewer hash slots by default:
+    ``cap`` only bounds the rows the model is fitted on: the majority class is counted over all training rows, and all
+    rows of the validation year are scored. The scaler is fitted on the balanced rows. Tree models use fewer hash slots by default:
     every slot costs a histogram per tree node, and boroughs are few.
     """
     train = classifier_frame(services, train_year, cap)
@@ -258,7 +267,7 @@ def classify(
         train, ["month"], "service", CLASSES, order=seeded_order(*order), tie=order
     )
     params = collected(scaler_params(balanced))
-    valid = classifier_frame(services, valid_year, cap)
+    valid = classifier_frame(services, valid_year)
     slots = slots or (2**8 if trees else 2**15)
     model = fit(scale_features(balanced, params), tree_model(rounds) if trees else linear_model(), slots)
     scored = score(model, scale_features(valid, params))
@@ -266,7 +275,7 @@ def classify(
         "model": model,
         "scored": scored,
         "metrics": evaluate(scored, CLASSES),
-        "baseline": evaluate(majority_baseline(valid, train, CLASSES), CLASSES),
+        "baseline": evaluate(majority_baseline(valid, classifier_frame(services, train_year), CLASSES), CLASSES),
         "importance": feature_importance(model),
         "train_rows": balanced.count(),
     }

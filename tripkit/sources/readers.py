@@ -76,8 +76,8 @@ def read_drifted(
 
 
 def read_partitioned(spark: SparkSession, root: str, year: int | list[int] | None = None) -> DataFrame:
-    """A dataset partitioned by year; given years prune partitions before any file is opened."""
-    df = spark.read.parquet(root)
+    """A dataset partitioned by year, all its loads; given years prune partitions before any file is opened."""
+    df = spark.read.parquet(root).drop("load")
     if year is None:
         return df
     years = [year] if isinstance(year, int) else list(year)

@@ -12,22 +12,27 @@ from tripkit.sources.readers import list_files
 MAX_ROWS_PER_FILE = 2_000_000
 
 
-def write_by_year(df: DataFrame, root: str, partition: str = "year", files_per_year: int | None = None) -> None:
-    """Snappy Parquet partitioned by year; a re-run replaces the years it writes.
+LOAD = "load"  # partition that tells one load's files from another's
 
-    Tasks write the years they hold, so nothing is shuffled and no year lands in one task.
-    ``files_per_year`` first spreads every year over that many tasks, for inputs of many
-    small files.
+
+def write_by_year(
+    df: DataFrame, root: str, partition: str = "year", files_per_year: int | None = None, load: str = "all"
+) -> None:
+    """Snappy Parquet partitioned by year and load; a load that is written again replaces only its own rows.
+
+    ``load`` names what the rows come from, such as a month. Rows of other loads stay, also in years that
+    both touch. Tasks write the years they hold, so nothing is shuffled and no year lands in one task.
+    ``files_per_year`` first spreads every year over that many tasks, for inputs of many small files.
     """
     if files_per_year:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != partition]), F.lit(files_per_year))
         df = df.withColumn("_salt", salt).repartition(partition, "_salt").drop("_salt")
     (
-        df.write.mode("overwrite")
+        df.withColumn(LOAD, F.lit(load)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .partitionBy(partition)
+        .partitionBy(partition, LOAD)
         .parquet(root)
     )
 

@@ -228,7 +228,7 @@ WITH {_SHARES}
 SELECT service, {', '.join(f'''round(coalesce(sum(share) FILTER (borough = '{b}'), 0.0), 4) AS "{b}"''' for b in _BOROUGHS)}
 FROM shares GROUP BY service""")
 def borough_share_matrix(spark, sf):
-    return _rounded(a.borough_share_matrix(_shares(spark, sf), _BOROUGHS), *_BOROUGHS)
+    return _rounded(a.borough_share_matrix(_shares(spark, sf)), *_BOROUGHS)
 
 
 @query("service_cosine", f"""
@@ -326,7 +326,7 @@ WITH {_SERIES}
 SELECT date, {', '.join(f'''round(coalesce(avg(share) FILTER (operator = '{o}'), 0.0), 4) AS "{o}"''' for o in _OPERATOR_NAMES)}
 FROM shared GROUP BY date ORDER BY date""")
 def pivot_operator_share(spark, sf):
-    return _rounded(a.pivot_operator_share(_series(spark, sf), _OPERATOR_NAMES), *_OPERATOR_NAMES)
+    return _rounded(a.pivot_operator_share(_series(spark, sf)), *_OPERATOR_NAMES)
 
 
 @query("sql_view_trips_per_year", f"""

@@ -57,6 +57,20 @@ def partitioned_roundtrip(spark, sf):
     )
 
 
+@query("incremental_write", f"""
+WITH {RIDES}
+SELECT year, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM rides GROUP BY 1""")
+def incremental_write(spark, sf):
+    """Three loads that share years, one of them written twice; each load holds rows of every year."""
+    root = shared_dir(spark, "incremental")
+    rows = rides(spark, sf).select("year", "l_orderkey")
+    part = F.pmod(F.col("l_orderkey"), F.lit(3))
+    for i in (0, 1, 0, 2):
+        wr.write_by_year(rows.where(part == i), root, load=f"load-{i}")
+    back = rd.read_partitioned(spark, root)
+    return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
+
+
 @query("partition_pruned_scan", f"""
 WITH {RIDES} SELECT service, year, count(*) AS n FROM rides WHERE year IN (1997, 1999) GROUP BY 1, 2""")
 def partition_pruned_scan(spark, sf):

@@ -16,7 +16,8 @@ from tripkit.streaming.rolling import RollingStream, rolling_average_spec, rolli
 from workload.registry import query
 from workload.views import ETRIPS, etrips, table
 
-_SPANS = [("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2025-01-01")]
+# The first span also takes null times; it and the last are open.
+_SPANS = [(None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None)]
 _MESSAGE = (
     "event_id bigint, ts timestamp_ntz, event_type string, user_id bigint, fare double, passengers int, distance double"
 )
@@ -77,7 +78,10 @@ def _replay(spark, rows: DataFrame, key: str, process) -> None:
     """Write each time span as messages and let ``process`` handle what has arrived."""
     folder = shared_dir(spark, "topic")
     for start, end in _SPANS:
-        span = rows.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
+        time = F.col("ts")
+        late = F.lit(True) if end is None else time < F.lit(end).cast("timestamp_ntz")
+        inside = late | time.isNull() if start is None else late & (time >= F.lit(start).cast("timestamp_ntz"))
+        span = rows.where(inside)
         msg.to_keyed_json(span, key).write.mode("append").parquet(folder)
         process(msg.file_stream(spark, folder))
 
@@ -182,8 +186,10 @@ def stream_kmeans(spark, sf):
 def _assigned(i: int) -> str:
     """SQL of one micro-batch: assign to the centroids of step i - 1, then merge."""
     start, end = _SPANS[i - 1]
+    late = "true" if end is None else f"trip_ts < TIMESTAMP '{end}'"
+    inside = f"({late} OR trip_ts IS NULL)" if start is None else f"{late} AND trip_ts >= TIMESTAMP '{start}'"
     nearest = f"""SELECT trip_id, e.lat, e.lon, arg_min(c.cluster_id, (sqrt((c.lat - e.lat) * (c.lat - e.lat) + (c.lng - e.lon) * (c.lng - e.lon)), c.cluster_id)) AS cluster_id
-      FROM etrips e CROSS JOIN c{i - 1} c WHERE trip_ts >= TIMESTAMP '{start}' AND trip_ts < TIMESTAMP '{end}' GROUP BY 1, 2, 3"""
+      FROM etrips e CROSS JOIN c{i - 1} c WHERE {inside} GROUP BY 1, 2, 3"""
     return f"""a{i} AS ({nearest}), s{i} AS (SELECT cluster_id, sum(lat) AS slat, sum(lon) AS slon, count(*) AS n FROM a{i} GROUP BY 1),
     c{i} AS (SELECT c.cluster_id, CASE WHEN n IS NULL THEN c.lat ELSE (c.lat * weight + slat) / (weight + n) END AS lat,
       CASE WHEN n IS NULL THEN c.lng ELSE (c.lng * weight + slon) / (weight + n) END AS lng, weight + coalesce(n, 0) AS weight
