@@ -94,6 +94,24 @@ def test_near_duplicates_of_planted_groups(spark, small):
     assert sorted(r.doc_id for r in left.collect()) == sorted({r.class_id for r in got})
 
 
+@pytest.mark.parametrize("block", [neardup.BLOCK, 3])
+def test_links_beyond_the_leader_of_a_bucket(spark, monkeypatch, block):
+    """Texts that drift away from one origin, one word at a time: most are similar to their neighbours only."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(150)]
+    docs = {}
+    for path in range(6):
+        words = list(base)
+        for step in range(25):
+            words[int(rng.integers(0, 150))] = f"p{path}_{step}"
+            docs[len(docs)] = " ".join(words)
+    del docs[40], docs[41], docs[42], docs[43]  # a gap cuts the end of one path off
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark, frame).collect()}
+    assert got == naive_classes(docs) and len(set(got.values())) > 1
+
+
 def test_near_duplicates_of_the_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.QUERIES["op9_near_duplicates"](spark, SF).collect()

@@ -17,7 +17,8 @@ SHINGLE = 5
 BANDS, BAND_ROWS = 12, 3
 IDF_STRENGTH = 0.25
 SAMPLES = 96  # the first BANDS * BAND_ROWS make the bands, all make the sketch
-PARTNERS, CROWD = 3, 4096
+BLOCK = 2048
+BUCKET = ["band", "value"]
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -165,53 +166,128 @@ def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(member, "b").join(leader, "a").mapInPandas(judge, "a long, b long, similarity double")
 
 
-def _links(spark: SparkSession, signed: DataFrame, threshold: float) -> DataFrame:
-    """Verified links (``a``, ``b``) between rows of ``signed`` that stand for different texts.
+def _links(spark: SparkSession, signed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (``a``, ``b``) between rows of ``signed`` that are similar to the leader of a bucket, and all pairs of rows that
+    were compared with one: ``band``, ``value``, ``row``, ``leader``, ``far`` (the distance).
 
-    In each bucket of each band all rows are compared with its leader, the row whose buckets are the largest: in a group of
-    copies that is the text most like their common origin. The rows that aren't similar to it are matched among themselves
-    by their sketches, the samples themselves, and each row's PARTNERS best matches are compared. So a row is in few pairs, and
-    no pair within a group of copies is listed. Of the rows left in a bucket of more than CROWD, those meet that agree in
-    the next band too.
+    A bucket's leader is the row whose buckets are the largest: in a group of copies that is the text most like their
+    common origin. So a group gives as many pairs as rows.
     """
-    sets = signed.select("row", "keys", "weights")
-    at = saved(spark, signed.select("row", "bands", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
-    bucket = ["band", "value"]
-    sizes = at.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
-    shared = saved(spark, at.join(sizes, bucket).select("row", *bucket, "n"), "dedup-buckets")
+    at = saved(spark, signed.select("row", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
+    sizes = at.groupBy(*BUCKET).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = saved(spark, at.join(sizes, BUCKET).select("row", *BUCKET, "n"), "dedup-buckets")
     weight = shared.groupBy("row").agg(F.sum("n").alias("popular"))
     first = F.struct(-F.col("popular"), F.col("row"))
-    leaders = shared.join(weight, "row").groupBy(*bucket).agg(F.min_by("row", first).alias("leader"))
-    met = saved(spark, shared.join(leaders, bucket).filter("row <> leader").select(
-        *bucket, "row", F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")
+    leaders = shared.join(weight, "row").groupBy(*BUCKET).agg(F.min_by("row", first).alias("leader"))
+    met = saved(spark, shared.join(leaders, BUCKET).filter("row <> leader").select(
+        *BUCKET, "row", "leader", F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")
     ), "dedup-met")
-    judged = saved(spark, _judged(met.select("a", "b").distinct(), sets), "dedup-judged")
-    similar = judged.filter(F.col("similarity") >= threshold).select("a", "b")
-    rest = met.join(judged.filter(F.col("similarity") < threshold), ["a", "b"], "left_semi").select(*bucket, "row")
-    left = rest.groupBy(*bucket).agg(F.count("*").alias("n")).filter("n > 1")
-    finer = F.when(F.col("n") > CROWD, F.col("bands")[(F.col("band") + 1) % BANDS])
-    crowd = rest.join(left, bucket).join(signed.select("row", "bands", "sketch"), "row").select(*bucket, finer.alias("finer"), "row", "sketch")
-    needed = _least_agreement(threshold)
+    judged = saved(spark, _judged(met.select("a", "b").distinct(), signed.select("row", "keys", "weights")), "dedup-judged")
+    far = met.join(judged, ["a", "b"]).select(*BUCKET, "row", "leader", (1 - F.col("similarity")).alias("far"))
+    return judged.filter(F.col("similarity") >= threshold).select("a", "b"), saved(spark, far, "dedup-far")
+
 
-    def match(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = frame["row"].to_numpy(np.int64)
-        sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(rows), SAMPLES)
-        pairs = []
-        for i in range(len(rows)):
-            same = (sketch == sketch[i]).sum(axis=1)
-            same[i] = 0
-            near = np.flatnonzero(same >= needed)
-            pairs += [(min(rows[i], rows[j]), max(rows[i], rows[j])) for j in near[np.argsort(-same[near], kind="stable")[:PARTNERS]]]
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+def _label_links(spark: SparkSession, signed: DataFrame, far: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Links (``a``, ``b``) between labels: every two rows of a bucket that have different labels after the first links are
+    compared unless they can't be similar or their labels have been joined by another pair of the same task.
+
+    The distance is a metric, so two rows can only be similar if their distances to the bucket's leader differ by at most
+    1 - ``threshold``. Rows with the leader's label meet the other rows of the bucket, and these each other. Both sides are cut
+    into blocks of about BLOCK rows, and each pair of blocks is a task of its own.
+    """
+    reach = 1 - threshold + 1e-6
+    open_ = far.groupBy(*BUCKET).agg(F.count("*").alias("n"), F.max("far").alias("most")).filter((F.col("n") > 1) & (F.col("most") > 1 - threshold))
+    named = lambda c: labels.select(F.col("row").alias(c), F.col("label").alias(f"{c}_label"))
+    rows = far.join(open_.select(*BUCKET), BUCKET, "left_semi").join(named("row"), "row", "left").join(named("leader"), "leader", "left")
+    label = F.coalesce("row_label", "row")
+    rows = saved(spark, rows.select(*BUCKET, "row", "far", label.alias("label"), (label != F.coalesce("leader_label", "leader")).alias("other")), "dedup-open")
+    others = [F.when(F.col("other"), F.col(c)) for c in ("far", "label")]
+    sizes = rows.groupBy(*BUCKET).agg(
+        F.count_if("other").alias("outside"), F.count_if(~F.col("other")).alias("inside"), F.min(others[0]).alias("low"),
+        F.max(others[0]).alias("high"), (F.min(others[1]) != F.max(others[1])).alias("several"),
+    ).filter((F.col("outside") > 0) & ((F.col("inside") > 0) | F.col("several")))
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    block = lambda c: F.pmod(F.xxhash64("row"), F.greatest(blocks(c), F.lit(1))).cast("int")
+    task = lambda kind, left, right, side: F.struct(
+        F.lit(kind).alias("kind"), left.alias("left"), right.alias("right"), side.alias("side")
+    )
+    upto = lambda n: F.filter(F.sequence(F.lit(0), n), lambda k: k < n)
+    within = F.transform(upto(blocks("inside")), lambda i: task(1, i, block("outside"), F.lit(1)))
+    among = F.when(F.col("several"), F.transform(upto(blocks("outside")), lambda i: task(
+        0, F.least(i, block("outside")), F.greatest(i, block("outside")), (block("outside") > i).cast("int")
+    ))).otherwise(F.array().cast("array<struct<kind:int,left:int,right:int,side:int>>"))
+    met = F.transform(upto(blocks("outside")), lambda j: task(1, block("inside"), j, F.lit(0)))
+    near = F.col("other") | F.col("far").between(F.col("low") - reach, F.col("high") + reach)
+    tasks = rows.join(sizes, BUCKET).filter(near).select(
+        *BUCKET, "row", "label", "far", F.explode(F.when(F.col("other"), F.concat(within, among)).otherwise(met)).alias("task")
+    ).select(*BUCKET, "task.*", "row", "label", "far")
+    group = [*BUCKET, "kind", "left", "right"]
+    columns = [*group, "side", "row", "label", "far"]
+    needed = _least_agreement(threshold)
 
-    likely = crowd.groupBy(*bucket, "finer").applyInPandas(match, "a long, b long").distinct()
-    checked = saved(spark, _judged(likely.join(judged, ["a", "b"], "left_anti"), sets), "dedup-judged")
-    return similar.unionByName(checked.filter(F.col("similarity") >= threshold).select("a", "b"))
+    def candidates(f: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """A row's place, the places of rows that it may be similar to and how many samples they share."""
+        band, apart = int(f["band"].iloc[0]), bool(f["kind"].iloc[0] == 1 or f["left"].iloc[0] != f["right"].iloc[0])
+        side, label, distance = (f[c].to_numpy() for c in ("side", "label", "far"))
+        sketch = np.frombuffer(b"".join(f["sketch"]), np.uint8).reshape(len(f), SAMPLES)
+        bands = np.stack(f["bands"].to_numpy())[:, :band]
+        lefts = np.flatnonzero(side == 0) if apart else np.arange(len(f))
+        rights = np.flatnonzero(side == 1) if apart else lefts
+        for i in lefts:
+            them = rights if apart else rights[i + 1 :]
+            them = them[(label[them] != label[i]) & (np.abs(distance[them] - distance[i]) <= reach)]
+            same = (sketch[them] == sketch[i]).sum(axis=1)
+            likely = same >= needed
+            them, same = them[likely], same[likely]
+            new = (bands[them] != bands[i]).all(axis=1)  # pairs that share an earlier band meet there
+            if new.any():
+                yield i, them[new], same[new]
+
+    def wanted(f: pd.DataFrame) -> pd.DataFrame:
+        hit = np.zeros(len(f), bool)
+        for i, them, _ in candidates(f):
+            hit[i] = hit[them] = True
+        return f[hit][columns]
+
+    def verify(f: pd.DataFrame) -> pd.DataFrame:
+        found = list(candidates(f))
+        i = np.concatenate([np.full(len(them), k) for k, them, _ in found]) if found else np.zeros(0, int)
+        j = np.concatenate([them for _, them, _ in found]) if found else i
+        best = np.argsort(-np.concatenate([same for *_, same in found]), kind="stable") if found else i
+        keys, weights = [unpack_keys(k) for k in f["keys"]], [np.frombuffer(w, np.float32) for w in f["weights"]]
+        label, joined, links = f["label"].tolist(), {}, []
+
+        def root(x):
+            while x in joined:
+                x = joined[x]
+            return x
+
+        for x, y in zip(i[best], j[best]):
+            a, b = root(label[x]), root(label[y])
+            if a != b and weighted_jaccard(keys[x], weights[x], keys[y], weights[y]) >= threshold:
+                joined[max(a, b)] = min(a, b)
+                links.append((label[x], label[y]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    schema = "band int, value long, kind int, left int, right int, side int, row long, label long, far double"
+    pending = tasks.join(signed.select("row", "bands", "sketch"), "row").groupBy(*group).applyInPandas(wanted, schema)
+    pending = saved(spark, pending, "dedup-pending")
+    whole = pending.join(signed.select("row", "bands", "sketch", "keys", "weights"), "row")
+    return whole.groupBy(*group).applyInPandas(verify, "a long, b long")
 
 
 def _least_agreement(similarity: float) -> int:
-    """Samples that two texts of at least this similarity share but for one pair in some thousand."""
-    return int(SAMPLES * similarity - 3.3 * (SAMPLES * similarity * (1 - similarity)) ** 0.5)
+    """Samples that two texts of at least this similarity share but for one pair in some million."""
+    return int(SAMPLES * similarity - 5 * (SAMPLES * similarity * (1 - similarity)) ** 0.5)
+
+
+def linked_labels(spark: SparkSession, signed: DataFrame, threshold: float) -> DataFrame:
+    """``row`` and ``label`` of every row of ``signed`` that is linked to another."""
+    links, far = _links(spark, signed, threshold)
+    labels = components(spark, links)
+    wider = components(spark, _label_links(spark, signed, far, labels, threshold)).withColumnRenamed("label", "wider").withColumnRenamed("row", "label")
+    single = wider.join(labels, wider["label"] == labels["row"], "left_anti").select(F.col("label").alias("row"), F.col("wider").alias("label"))
+    return labels.join(wider, "label", "left").select("row", F.coalesce("wider", "label").alias("label")).unionByName(single)
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -242,7 +318,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
     rows = signed.filter("bands IS NOT NULL")
     texts = saved(spark, rows.groupBy("d1", "d2").agg(F.min("row").alias("text_row")), "dedup-texts")
     chosen = rows.join(texts.select(F.col("text_row").alias("row")), "row", "left_semi")
-    labels = components(spark, _links(spark, chosen, threshold))
+    labels = linked_labels(spark, chosen, threshold)
     placed = (
         rows.select("doc_id", "row_key", "row", "d1", "d2").join(texts, ["d1", "d2"])
         .join(labels.select(F.col("row").alias("text_row"), "label"), "text_row", "left")
