@@ -53,10 +53,15 @@ def trips_per_hour(df: DataFrame, pickup: str = "pickup_datetime") -> DataFrame:
 
 
 def trips_per_borough(df: DataFrame, borough: str = "pickup_borough", by: list[str] | None = None) -> DataFrame:
-    counted = _count(df.where(F.col(borough).isNotNull()), [*(by or []), borough])
+    counted = borough_counts(df, borough, by)
     return counted.orderBy(F.col("num_trips").desc(), *(by or []), borough)
 
 
+def borough_counts(df: DataFrame, borough: str = "pickup_borough", by: list[str] | None = None) -> DataFrame:
+    """Trips per borough in no order, to compute further with."""
+    return _count(df.where(F.col(borough).isNotNull()), [*(by or []), borough])
+
+
 def od_matrix(df: DataFrame, origin: str, destination: str, by: list[str] | None = None) -> DataFrame:
     """Trips per origin and destination; rows with either missing are left out."""
     known = df.where(F.col(origin).isNotNull() & F.col(destination).isNotNull())
@@ -166,27 +171,26 @@ def borough_share_matrix(shares: DataFrame, boroughs: list[str] | None = None) -
 def service_cosine(shares: DataFrame, services: list[str]) -> DataFrame:
     """Cosine similarity of every ordered pair of services over their borough shares.
 
-    Shares meet on the borough; pairs without a common borough, or with a zero norm, get 0.
+    Pairs without a common borough, or with a zero norm, get 0; services without shares are left out. One pass over the shares.
     ``services`` is the short list of service names, which spans the result.
     """
-    names = F.array(*[F.lit(s) for s in services])
-    present = shares.where(F.col("service").isin(*services))
-    norms = present.groupBy("service").agg(F.sqrt(F.sum(F.col("share") * F.col("share"))).alias("norm"))
-    a = present.select("borough", F.col("service").alias("service_a"), F.col("share").alias("a"))
-    b = present.select("borough", F.col("service").alias("service_b"), F.col("share").alias("b"))
-    dots = a.join(b, "borough").groupBy("service_a", "service_b").agg(F.sum(F.col("a") * F.col("b")).alias("dot"))
-    grid = norms.select(
-        F.col("service").alias("service_a"), F.col("norm").alias("norm_a"), F.explode(names).alias("service_b")
+    share, at = F.col("share"), range(len(services))
+    wide = shares.groupBy("borough").agg(
+        *[F.sum(F.when(F.col("service") == s, share)).alias(f"_s{i}") for i, s in enumerate(services)]
     )
-    other = norms.select(F.col("service").alias("service_b"), F.col("norm").alias("norm_b"))
-    length = F.col("norm_a") * F.col("norm_b")
-    return (
-        grid.join(other, "service_b")
-        .join(dots, ["service_a", "service_b"], "left")
-        .select(
-            "service_a", "service_b",
-            F.coalesce(F.col("dot") / F.nullif(length, F.lit(0.0)), F.lit(0.0)).alias("cosine"),
+    known = F.col("borough").isNotNull()
+    sums = [F.sum(F.when(known, F.col(f"_s{i}") * F.col(f"_s{j}"))).alias(f"_d{i}_{j}") for i in at for j in at if i <= j]
+    norms = [F.sqrt(F.sum(F.col(f"_s{i}") * F.col(f"_s{i}"))).alias(f"_n{i}") for i in at]
+    pairs = F.array(*[
+        F.struct(
+            F.lit(services[i]).alias("service_a"), F.lit(services[j]).alias("service_b"),
+            F.col(f"_d{min(i, j)}_{max(i, j)}").alias("dot"), F.col(f"_n{i}").alias("norm_a"), F.col(f"_n{j}").alias("norm_b"),
         )
+        for i in at for j in at
+    ])
+    length = F.col("norm_a") * F.col("norm_b")
+    return wide.agg(*sums, *norms).select(F.inline(pairs)).where(length.isNotNull()).select(
+        "service_a", "service_b", F.coalesce(F.col("dot") / F.nullif(length, F.lit(0.0)), F.lit(0.0)).alias("cosine")
     )
 
 

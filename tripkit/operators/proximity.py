@@ -89,17 +89,21 @@ def spacetime_join(
 ) -> DataFrame:
     """Places near in space and in time.
 
-    ``left`` keeps points without a match, ``inner`` drops them. ``filter_after`` first joins
-    on distance alone, keeping points without a near place, and then removes pairs too far
-    apart in time: a point whose near places all fail the time test disappears.
+    ``left`` keeps points without a match, ``inner`` drops them. ``filter_after`` gives what a join on
+    distance alone, keeping points without a near place, gives after pairs too far apart in
+    time are removed: a point whose near places all fail the time test disappears, near places
+    without a time stay. Pairs that are near in space only are never built for it.
     """
     if semantics in ("left", "inner"):
         return within_distance(points, places, radius, point=point, place=place, how=semantics, time=time)
     if semantics != "filter_after":
         raise ValueError(f"unknown semantics {semantics!r}")
-    joined = within_distance(points, places, radius, point=point, place=place, how="left")
-    gap = F.abs(F.timestamp_diff("MICROSECOND", F.col(time.place_time), F.col(time.point_time)))
-    return joined.where(gap.isNull() | (gap <= F.lit(time.span)))
+    near = {"point": point, "place": place}
+    timed = within_distance(points, places, radius, how="inner", time=time, **near)
+    untimed = within_distance(points, places.where(F.col(time.place_time).isNull()), radius, how="inner", **near)
+    alone = within_distance(points, places, radius, how="left_anti", **near)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in places.schema]
+    return timed.union(untimed).union(alone.select("*", *nulls))
 
 
 # The pyramid search below works on squares of side ``resolution * 2**k``.

@@ -52,12 +52,12 @@ def zone_lookup_join(spark, sf):
 
 
 @query("zone_centroid_inner", f"""
-WITH {ZONES}, c AS (SELECT s_nationkey AS LocationID, round(avg({sql_lon('s_suppkey')}), 6) AS centroid_lng,
-  round(avg({sql_lat('s_suppkey')}), 6) AS centroid_lat FROM supplier WHERE s_nationkey <> 3 GROUP BY 1)
+WITH {ZONES}, c AS (SELECT CASE WHEN s_nationkey = 3 THEN 103 ELSE s_nationkey END AS LocationID, round(avg({sql_lon('s_suppkey')}), 6) AS centroid_lng,
+  round(avg({sql_lat('s_suppkey')}), 6) AS centroid_lat FROM supplier GROUP BY 1)
 SELECT LocationID, Zone, Borough, centroid_lng, centroid_lat FROM zones JOIN c USING (LocationID)""")
 def zone_centroid_inner(spark, sf):
-    placed = table(spark, sf, "supplier").where("s_nationkey <> 3")
-    centroids = placed.groupBy(F.col("s_nationkey").alias("LocationID")).agg(
+    zone = F.when(F.col("s_nationkey") == 3, F.lit(103)).otherwise(F.col("s_nationkey"))  # 103 is no known zone
+    centroids = table(spark, sf, "supplier").groupBy(zone.alias("LocationID")).agg(
         F.round(F.avg(lon_of("s_suppkey")), 6).alias("centroid_lng"),
         F.round(F.avg(lat_of("s_suppkey")), 6).alias("centroid_lat"),
     )
@@ -81,18 +81,17 @@ def _businesses(spark, sf) -> DataFrame:
 
 
 def _zips(spark, sf) -> DataFrame:
-    """ZIP table from the nations; the codes of one region are listed twice."""
+    """ZIP table from the nations; the codes of one region are listed twice, and one nation has a code of its own."""
     copies = F.when(F.col("n_regionkey") == 0, F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.lit(1.0)))
-    listed = table(spark, sf, "nation").select(F.col("n_nationkey").alias("code"), F.explode(copies).alias("copy"))
-    known = listed.where("code <> 7")
-    return known.select(
+    code = F.when(F.col("n_nationkey") == 7, F.lit(207)).otherwise(F.col("n_nationkey")).alias("code")
+    return table(spark, sf, "nation").select(code, F.explode(copies).alias("copy")).select(
         "code", (F.col("code") + F.col("copy")).alias("zlat"), (F.col("code") * F.lit(-1.5) * F.col("copy")).alias("zlng")
     )
 
 
 _ZIPS = """zips AS (SELECT code, code + copy AS zlat, code * CAST(-1.5 AS DOUBLE) * copy AS zlng FROM (
-  SELECT n_nationkey AS code, unnest(CASE WHEN n_regionkey = 0 THEN [1::DOUBLE, 2::DOUBLE] ELSE [1::DOUBLE] END) AS copy
-  FROM nation) WHERE code <> 7)"""
+  SELECT CASE WHEN n_nationkey = 7 THEN 207 ELSE n_nationkey END AS code, unnest(CASE WHEN n_regionkey = 0 THEN [1::DOUBLE, 2::DOUBLE] ELSE [1::DOUBLE] END) AS copy
+  FROM nation))"""
 
 
 def _fill(spark, sf, dedupe: bool) -> DataFrame:
@@ -119,11 +118,11 @@ def coalesce_join_deduped(spark, sf):
 
 
 @query("weather_join", f"""
-WITH {LOCAL_WEATHER}, t AS (SELECT event_id, ts FROM events WHERE event_type <> 'error')
+WITH {LOCAL_WEATHER}, t AS (SELECT event_id, ts FROM events)
 SELECT event_id, ts, round(temperature, 4) AS temperature, readings FROM t LEFT JOIN local_weather
 ON make_timestamp(CAST(round_even(epoch_us(ts) / 3600000000.0, 0) AS BIGINT) * 3600000000) = time""")
 def weather_join(spark, sf):
-    rows = table(spark, sf, "events").where("event_type <> 'error'").select("event_id", "ts")
+    rows = table(spark, sf, "events").select("event_id", "ts")
     joined = lk.weather_join(rows, lk.local_weather(weather(spark, sf)), trip_time="ts")
     return joined.withColumn("temperature", F.round("temperature", 4))
 

@@ -76,6 +76,20 @@ def approximate_median_fare(spark, sf):
     return a.median_of(rides(spark, sf), "fare_amount", ["year"], name="median_fare", approximate=True)
 
 
+@query("approximate_median_bound", f"""
+WITH {RIDES} SELECT year, count(*) AS rows, true AS within_bound FROM rides WHERE fare_amount IS NOT NULL GROUP BY 1""")
+def approximate_median_bound(spark, sf):
+    """Whether the rank of the approximate median is within 1 / 10,000 of the middle, counted over all fares."""
+    fares = rides(spark, sf).select("year", "fare_amount").where(F.col("fare_amount").isNotNull())
+    found = a.median_of(fares, "fare_amount", ["year"], name="middle", approximate=True).withColumnRenamed("year", "_y")
+    ranks = fares.join(found, F.col("year") == F.col("_y")).groupBy("year").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("fare_amount") < F.col("middle")).alias("below"),
+        F.count_if(F.col("fare_amount") <= F.col("middle")).alias("upto"),
+    )
+    slack, middle = F.col("rows") / 10000 + 1, F.col("rows") / 2
+    return ranks.select("year", "rows", ((F.col("below") <= middle + slack) & (F.col("upto") >= middle - slack)).alias("within_bound"))
+
+
 @query("tip_percentage", f"""
 WITH {RIDES}, s AS (
   SELECT avg(CASE WHEN tip_amount > 0 THEN 1.0 ELSE 0.0 END) * 100 AS p FROM rides)
@@ -212,7 +226,7 @@ shares AS (SELECT service, borough, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION B
 
 
 def _shares(spark, sf) -> DataFrame:
-    return a.borough_share(a.trips_per_borough(trips(spark, sf), by=["service"]))
+    return a.borough_share(a.borough_counts(trips(spark, sf), by=["service"]))
 
 
 @query("borough_share", f"WITH {_SHARES} SELECT service, borough, round(share, 4) AS share FROM shares")

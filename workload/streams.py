@@ -14,7 +14,7 @@ from tripkit.streaming import messages as msg
 from tripkit.streaming.clusters import MicroBatchKMeans, sequential_kmeans
 from tripkit.streaming.rolling import RollingStream, rolling_average_spec, rolling_batch, rolling_stats_spec
 from workload.registry import query
-from workload.views import ETRIPS, etrips, table
+from workload.views import lat_of, lon_of, sql_lat, sql_lon, table
 
 # The first span also takes null times; it and the last are open.
 _SPANS = [(None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None)]
@@ -160,7 +160,12 @@ def replay_order(spark, sf):
 
 
 def _points(spark, sf) -> DataFrame:
-    return etrips(spark, sf).select("trip_id", F.col("trip_ts").alias("ts"), "user_id", "lat", "lon")
+    return table(spark, sf, "events").select(
+        F.col("event_id").alias("trip_id"), "ts", "user_id", lat_of("event_id").alias("lat"), lon_of("event_id").alias("lon")
+    )
+
+
+_POINTS = f"points AS (SELECT event_id AS trip_id, ts AS trip_ts, {sql_lat('event_id')} AS lat, {sql_lon('event_id')} AS lon FROM events)"
 
 
 def _point_stream(stream: DataFrame) -> DataFrame:
@@ -189,7 +194,7 @@ def _assigned(i: int) -> str:
     late = "true" if end is None else f"trip_ts < TIMESTAMP '{end}'"
     inside = f"({late} OR trip_ts IS NULL)" if start is None else f"{late} AND trip_ts >= TIMESTAMP '{start}'"
     nearest = f"""SELECT trip_id, e.lat, e.lon, arg_min(c.cluster_id, (sqrt((c.lat - e.lat) * (c.lat - e.lat) + (c.lng - e.lon) * (c.lng - e.lon)), c.cluster_id)) AS cluster_id
-      FROM etrips e CROSS JOIN c{i - 1} c WHERE {inside} GROUP BY 1, 2, 3"""
+      FROM points e CROSS JOIN c{i - 1} c WHERE {inside} GROUP BY 1, 2, 3"""
     return f"""a{i} AS ({nearest}), s{i} AS (SELECT cluster_id, sum(lat) AS slat, sum(lon) AS slon, count(*) AS n FROM a{i} GROUP BY 1),
     c{i} AS (SELECT c.cluster_id, CASE WHEN n IS NULL THEN c.lat ELSE (c.lat * weight + slat) / (weight + n) END AS lat,
       CASE WHEN n IS NULL THEN c.lng ELSE (c.lng * weight + slon) / (weight + n) END AS lng, weight + coalesce(n, 0) AS weight
@@ -197,7 +202,7 @@ def _assigned(i: int) -> str:
 
 
 @query("stream_kmeans_microbatch", f"""
-WITH {ETRIPS}, c0 AS (SELECT * FROM (VALUES (0, CAST(40.7580 AS DOUBLE), CAST(-73.9855 AS DOUBLE), 0), (1, 40.7128, -74.0060, 0),
+WITH {_POINTS}, c0 AS (SELECT * FROM (VALUES (0, CAST(40.7580 AS DOUBLE), CAST(-73.9855 AS DOUBLE), 0), (1, 40.7128, -74.0060, 0),
   (2, 40.730610, -73.935242, 0)) t(cluster_id, lat, lng, weight)), {_assigned(1)}, {_assigned(2)}, {_assigned(3)}
 SELECT cluster_id, round(lat, 5) AS lat, round(lng, 5) AS lng, CAST(weight AS BIGINT) AS weight FROM c3""")
 def stream_kmeans_microbatch(spark, sf):
