@@ -10,23 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.llm.common import saved
-from tripkit.llm.langid import UNKNOWN, learn_prototypes, predict_language
+from tripkit.llm.langid import DIMENSIONS, UNKNOWN, learn_prototypes, predict_language
 from tripkit.llm.mixing import mix_sources, mixed_texts
 from tripkit.llm.neardup import without_near_duplicates
 from tripkit.llm.packing import pack_documents, public_tokenizer
 from tripkit.llm.secret_scan import redact_secrets
 
-MIN_SCORE = 0.2  # cosine with the nearest language below which a text is in none of them
+MIN_SCORE = 0.2  # share of the cosine expected in the nearest language below which a text is in none of them
+NOISE = 3 / DIMENSIONS**0.5  # three standard errors of a cosine of hypervectors
 ORACLE_SQL = None  # language profiles, sampling and tokenising can't be said in SQL
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without letters or in no learned language. With no labelled text at all, only the former go."""
+    """Drop texts without letters or clearly in no learned language. With no labelled text at all, only the former go.
+
+    The floor follows the cosine expected of an in-language text with as many n-grams, less the noise of the vectors: a
+    text too short, or with too few different n-grams, to tell is kept.
+    """
     prototypes = learn_prototypes(docs)
     if not prototypes:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    judged = predict_language(docs, prototypes, columns=docs.columns)
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    judged = predict_language(docs, prototypes, columns=docs.columns, expected=True)
+    floor = F.col("expected") * MIN_SCORE - NOISE
+    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= floor)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

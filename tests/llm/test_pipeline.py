@@ -34,6 +34,19 @@ def test_language_keeps_texts_with_letters(stages):
     assert sorted(after) == sorted(r for r in before if re.search(r"[^\W\d_]", r.text or ""))
 
 
+def test_language_keeps_labelled_clean_texts_however_short(spark):
+    """And still drops a longer text of an alphabet that no learned language has."""
+    at = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{at}/documents.parquet").filter(r"text RLIKE '\\p{L}'")
+    clean = spark.read.parquet(f"{at}/labels.parquet").filter("quality = 1 AND toxic = 0")
+    foreign = "это длинный текст на русском языке о том как люди живут в большом городе и каждый день ездят на работу " * 3
+    added = spark.createDataFrame([(-1, foreign, None, "x", len(foreign))], docs.select(*COLUMNS).schema)
+    kept = corpus_pipeline.identify_language(spark, docs.select(*COLUMNS).unionByName(added), at)
+    lost = docs.join(clean, "doc_id", "left_semi").join(kept, "doc_id", "left_anti")
+    assert [r.text for r in lost.collect()] == []
+    assert kept.filter("doc_id = -1").count() == 0 and kept.count() == docs.count()
+
+
 def test_one_document_of_each_group_stays(stages):
     before, after = stages[1:3]
     assert sorted(r.doc_id for r in after) == sorted(set(naive_classes({r.doc_id: r.text for r in before}).values()))

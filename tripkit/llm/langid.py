@@ -95,10 +95,11 @@ class Grams:
 
 
 def learn_prototypes(docs: DataFrame, order: int = ORDER, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
-    """One vector per language: the bundle of all its texts, each with equal weight.
+    """One vector per language: the mean over its texts of the mean vector of a text's n-grams.
 
     ``docs`` holds ``text`` and ``lang``; nulls in either are left out. Each task adds up its texts; the sums are whole
-    numbers, so they do not depend on order. What reaches the driver is languages times dimensions.
+    numbers, so they do not depend on order. What reaches the driver is languages times dimensions. Texts without n-grams
+    do not count.
     """
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,8 +107,9 @@ def learn_prototypes(docs: DataFrame, order: int = ORDER, dimensions: int = DIME
         for frame in chunks(frames, "text"):
             names, groups = np.unique(frame["lang"].to_numpy(str), return_inverse=True)
             grams = Grams([t.decode() for t in frame["text"]], order, dimensions)
-            weights = 1 / np.maximum(np.bincount(grams.text, minlength=len(frame)), 1)
-            bundle = np.rint(grams.bundles(weights, groups, len(names)) * _SCALE).astype(np.int64)
+            sizes = np.bincount(grams.text, minlength=len(frame))
+            bundle = np.rint(grams.bundles(1 / np.maximum(sizes, 1), groups, len(names)) * _SCALE).astype(np.int64)
+            bundle = np.column_stack([bundle, np.bincount(groups, sizes > 0, len(names)).astype(np.int64)])
             for name, vector in zip(names, bundle):
                 sums[name] = sums.get(name, 0) + vector
         for name, vector in sums.items():
@@ -118,30 +120,36 @@ def learn_prototypes(docs: DataFrame, order: int = ORDER, dimensions: int = DIME
     total = parts.select("lang", F.posexplode("vector").alias("place", "value")).groupBy("lang", "place").agg(F.sum("value").alias("value"))
     out: dict[str, np.ndarray] = {}
     for row in total.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("v")).collect():
-        out[row["lang"]] = np.array([x["value"] for x in row["v"]], float)
+        *vector, texts = [x["value"] for x in row["v"]]
+        out[row["lang"]] = np.array(vector, float) / (max(texts, 1) * _SCALE)
     return {k: out[k] for k in sorted(out)}
 
 
 def predict_language(
-    docs: DataFrame, prototypes: dict[str, np.ndarray], order: int = ORDER, columns: list[str | Column] = ("doc_id",)
-) -> DataFrame:
+    docs: DataFrame, prototypes: dict[str, np.ndarray], order: int = ORDER, columns: list[str | Column] = ("doc_id",),
+    expected: bool = False,
+) -> DataFrame:
     """``columns`` of ``docs`` with ``lang_pred`` and ``score``, the cosine with the nearest prototype (0 at least).
 
     ``und`` with score 0 for texts that are null or hold no letter, and when no language was learned. Equal scores go
     to the first language by name. Only ``text`` is read for the prediction.
+
+    ``expected`` adds the cosine that a text of the predicted language with as many and as often repeated n-grams has on
+    average: with n n-grams, counts c and probabilities p in the language, c.p is n |p|^2 on average, so the cosine is
+    |p| n / |c|, at most 1. ``prototypes`` must be those of ``learn_prototypes`` then, whose lengths tell |p|.
     """
     names = list(prototypes)
     dimensions = len(next(iter(prototypes.values()))) if names else DIMENSIONS
     table = np.array([prototypes[n] for n in names]).reshape(len(names), dimensions)
-    table = table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)
-    packed = pickle.dumps(table)
+    norms = np.linalg.norm(table, axis=1)
+    packed = pickle.dumps((table / np.maximum(norms, 1e-300)[:, None], norms))
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unit = pickle.loads(packed)
+        unit, norms = pickle.loads(packed)
         for frame in chunks(frames, "__text"):
             out = frame.drop(columns="__text")
             if not names:
-                yield out.assign(lang_pred=UNKNOWN, score=0.0)
+                yield out.assign(lang_pred=UNKNOWN, score=0.0, **({"expected": 0.0} if expected else {}))
                 continue
             grams = Grams([None if t is None else t.decode() for t in frame["__text"]], order, dimensions)
             vectors = grams.bundles().astype(float)
@@ -149,10 +157,13 @@ def predict_language(
             cosine = (vectors @ unit.T) / np.maximum(lengths, 1e-300)[:, None]
             best = cosine.argmax(axis=1)
             score = np.clip(cosine[np.arange(len(best)), best], 0, 1)
+            if expected:
+                usual = norms[best] * np.bincount(grams.text, minlength=len(best)) / np.maximum(lengths, 1e-300)
+                out = out.assign(expected=np.where(grams.has_letter, np.minimum(usual, 1), 0.0))
             yield out.assign(
                 lang_pred=np.where(grams.has_letter, np.array(names, object)[best], UNKNOWN), score=np.where(grams.has_letter, score, 0.0)
             )
 
     selected = docs.select(*columns, F.col("text").cast("binary").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in selected.schema if f.name != "__text")
-    return selected.mapInPandas(run, f"{fields}, lang_pred string, score double")
+    return selected.mapInPandas(run, f"{fields}, lang_pred string, score double" + (", expected double" if expected else ""))
