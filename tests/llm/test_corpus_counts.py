@@ -200,3 +200,55 @@ def test_scores_of_odd_rows(spark, small):
     check_scores(kneser_ney.score_documents(spark, frame.repartition(2), F.col("doc_id") != 3).collect(), naive_model(texts, [i for i in texts if i != 3]))
     check_scores(kneser_ney.score_documents(spark, frame, F.lit(None).cast("boolean")).collect(), naive_model(texts, []))
     assert kneser_ney.score_documents(spark, frame.limit(0), F.lit(True)).count() == 0
+
+
+def naive_triples(texts, train):
+    """Scores of each text by triples, by plain dictionaries."""
+    tokens = {i: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(WORD, t or "")] + ["</s>"] for i, t in texts.items()}
+    grams = lambda t: list(zip(["<s>", "<s>", *t[:-2]] if len(t) > 1 else ["<s>"], ["<s>", *t[:-1]], t))
+    triples = Counter(g for i in train for g in grams(tokens[i]))
+    weighed = Counter((v, w) for _, v, w in triples)
+    single = Counter(w for _, w in weighed)
+    of = lambda counts: kneser_ney.discounts(*(sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)))
+    vocabulary, types = len(single), len(weighed)
+    levels = []
+    for counts in (triples, weighed):
+        history, classes = Counter(), defaultdict(Counter)
+        for gram, c in counts.items():
+            history[gram[:-1]] += c
+            classes[gram[:-1]][min(c, 3)] += 1
+        levels.append((counts, of(counts), history, classes))
+    e = of(single)
+    spread = sum(e[min(c, 3)] for c in single.values()) / types if types else 1.0
+
+    def p(gram):
+        if len(gram) == 1:
+            return spread / (vocabulary + 1) + (max(single[gram[0]] - e[min(single[gram[0]], 3)], 0) / types if types else 0)
+        counts, d, history, classes = levels[3 - len(gram)]
+        h, c = gram[:-1], counts[gram]
+        if not history[h]:
+            return p(gram[1:])
+        back = sum(d[k] * classes[h][k] for k in (1, 2, 3)) / history[h]
+        return max(c - d[min(c, 3)], 0) / history[h] + back * p(gram[1:])
+
+    for h in [*list(levels[0][2])[:5], ("never", "seen")]:
+        assert sum(p((*h, w)) for w in single) + p((*h, "another")) == pytest.approx(1)
+    return {i: sum(math.log10(p(g)) for g in grams(t)) for i, t in tokens.items()}
+
+
+def test_triple_scores_of_the_table(spark, small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    train = [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    got = queries.QUERIES["op10_score_language_model"](spark, SF).collect()
+    assert {r.doc_id: r.triple_score for r in got} == pytest.approx(naive_triples(texts, train), rel=1e-9)
+    assert sum(r.triple_score for r in got if r.held_out) > sum(r.score for r in got if r.held_out)
+
+
+def test_triple_scores_of_odd_rows(spark, small):
+    texts = {0: None, 1: "", 2: "A a\va B é É", 3: "never seen words", 4: "a " * 2_000, 5: " ", 6: "x" * 1_000, 7: "a a a b b c"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for train in ([i for i in texts if i != 3], []):
+        got = kneser_ney.score_documents(spark, frame.repartition(2), F.col("doc_id").isin(train), order=3).collect()
+        assert {r.doc_id: r.triple_score for r in got} == pytest.approx(naive_triples(texts, train), rel=1e-9)
+    with pytest.raises(ValueError):
+        kneser_ney.score_documents(spark, frame, F.lit(True), order=1)

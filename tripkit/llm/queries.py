@@ -191,7 +191,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_score_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripkit.llm.kneser_ney import score_documents
 
-    return score_documents(spark, _table(spark, sf_dir, "documents"), _remainder(7) != 2)
+    return score_documents(spark, _table(spark, sf_dir, "documents"), _remainder(7) != 2, order=3)
 
 
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
