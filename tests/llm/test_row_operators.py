@@ -232,6 +232,18 @@ def test_templates_split_only_where_labels_differ(spark):
     assert {r.template for r in url_templates.judge_urls(spark, many, RULES, none).collect()} == {"/*/*"}
 
 
+def test_a_bad_branch_among_many_siblings_is_found(spark):
+    """Sixty clean sections, hundreds of pages seen once, and one section whose labels are all bad."""
+    sections = [f"s{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)] + ["casino"]
+    paths = [f"{name}/{i}.html" for name in sections for i in range(40)]
+    paths += [f"u{chr(97 + k % 26)}{chr(97 + k // 26)}q/x" for k in range(400)]
+    pages = spark.createDataFrame([(i, f"http://h.example.com/{path}") for i, path in enumerate(paths)], "page_id long, url string")
+    marks = [(i, int("casino" in path or i % 97 == 0)) for i, path in enumerate(paths)]
+    got = url_templates.judge_urls(spark, pages, RULES, spark.createDataFrame(marks, "page_id long, bad int")).collect()
+    assert {r.template for r in got} == {"/casino/*", "/*/*"}
+    assert all((r.verdict == "block") == ("casino" in r.path) for r in got)
+
+
 def test_revisits(spark):
     head = "record_id long, record_type string, url string, time long, headers map<string,string>, digest string, found string, stored string"
     R = lambda i, kind, url, t, headers, digest=None: (i, kind, url, t, headers, digest, "x", "y")

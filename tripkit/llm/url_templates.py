@@ -59,14 +59,15 @@ def path_segments(path: Column) -> Column:
 
 
 def template_tree(
-    spark: SparkSession, urls: DataFrame, max_children: int = 50, min_support: int = 5, z: float = 2.58
+    spark: SparkSession, urls: DataFrame, min_support: int = 5, z: float = 2.58
 ) -> DataFrame:
     """Template of each distinct (``host``, ``segments``): columns ``host``, ``segments``, ``template``, ``labelled``, ``bad``.
 
     ``urls`` has ``host``, ``segments`` and ``bad`` (0, 1 or null for no label). The tree is built level by level over
-    the counts of distinct paths. A node with more than ``max_children`` different children is variable: they become
-    one wildcard. So do children seen fewer than ``min_support`` times, and children whose rate of bad labels is within
-    ``z`` standard errors of the median rate of the node's children; the others keep their name.
+    the counts of distinct paths. Children of a node become one wildcard if they are seen fewer than ``min_support`` times, or if
+    their rate of bad labels is within ``z`` standard errors of the median rate of the node's children; the others keep
+    their name, however many siblings they have. ``z`` holds for one test; it rises with the number of children tested in
+    the node, so that chance names no more children of wide nodes.
     """
     counts = urls.groupBy("host", "segments").agg(
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
@@ -80,9 +81,9 @@ def template_tree(
         children = known.filter("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*sums)
         rate = F.when((F.col("labelled") > 0) & (F.col("n") >= min_support), F.try_divide("bad", "labelled"))
         nodes = children.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.percentile_approx(rate, 0.5, 1000).alias("usual")
+            F.count(rate).alias("tests"), F.percentile_approx(rate, 0.5, 1000).alias("usual")
         )
-        judged = children.join(nodes, ["host", "template"]).withColumn("named", _differs(max_children, min_support, z))
+        judged = children.join(nodes, ["host", "template"]).withColumn("named", _differs(min_support, z))
         named = judged.filter("named").select("host", "template", "segment", F.lit(True).alias("named"))
         label = F.when(F.col("named"), F.col("segment")).otherwise(WILDCARD)
         grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), label))
@@ -95,12 +96,13 @@ def template_tree(
     return tree
 
 
-def _differs(max_children: int, min_support: int, z: float) -> Column:
+def _differs(min_support: int, z: float) -> Column:
     labelled, usual = F.col("labelled"), F.col("usual")
     expected = (usual * labelled + 1) / (labelled + 2)  # never 0 or 1, so a few odd labels prove nothing
     error = F.sqrt(expected * (1 - expected) / F.nullif(labelled, F.lit(0)))
     gap = F.abs(F.col("bad") / F.nullif(labelled, F.lit(0)) - usual)
-    return F.coalesce((F.col("children") <= max_children) & (F.col("n") >= min_support) & (gap > error * z), F.lit(False))
+    bound = F.sqrt(z * z + 2 * F.log(F.greatest("tests", F.lit(1))))  # a normal tail falls like exp(-z^2 / 2): its chance over the tests
+    return F.coalesce((F.col("n") >= min_support) & (gap > error * bound), F.lit(False))
 
 
 def judge_urls(
