@@ -194,6 +194,18 @@ def op10_score_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(spark, _table(spark, sf_dir, "documents"), _remainder(7) != 2, order=3)
 
 
+@_query("op13_encode_pieces")
+def op13_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.pieces import encode_documents, public_model
+
+    encoded = encode_documents(spark, _table(spark, sf_dir, "documents"), public_model())
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
