@@ -68,15 +68,15 @@ def unpack_tokens(data: bytes) -> list[bytes]:
 class _Batch:
     """Dictionaries and code streams of the batch being read."""
 
-    def __init__(self):
-        self.size, self.known, self.streams = 0, {}, []
+    def __init__(self, gap: bytes):
+        self.size, self.known, self.streams, self.gap = 0, {}, [], gap
 
     def add(self, space: str, tokens: list) -> None:
         known = self.known.get(space)
         if known is None:
             known = self.known[space] = defaultdict()
             known.default_factory = known.__len__
-            known[None]  # takes the code of a break
+            known[self.gap]  # takes the code of a break
         self.streams.append((space, np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens))))
 
     def close(self, shards: int, joined: bool, counted: bool) -> tuple[list[tuple], list[tuple]]:
@@ -85,7 +85,7 @@ class _Batch:
         for space, known in self.known.items():
             spaces[space] = len(keys)
             end = b" " + space.encode() if joined else b""
-            keys += [w + end for w in known if w is not None]
+            keys += [w + end for w in known if w != self.gap]
         hashes = pd.util.hash_array(np.array(keys, object)) if keys else np.zeros(0, np.uint64)
         shard = (hashes % np.uint64(shards)).astype(np.int64)
         order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
@@ -111,15 +111,15 @@ class _Batch:
 
 def code_texts(
     spark: SparkSession, docs: DataFrame, tokens_of: Callable[[bytes], list], purpose: str, carried: list[str] = (), space: str | None = None,
-    counted: bool = False, batch_bytes: int | None = None,
+    counted: bool = False, gap: bytes = b"",
 ) -> Coded:
     """Saved codes of the ``text`` of ``docs`` (null: empty): a row per document, or per batch and value of ``space`` if that is given.
 
-    ``tokens_of`` cuts UTF-8 text into tokens, None for a break. ``carried`` columns go along with the documents. With ``space`` (never
+    ``tokens_of`` cuts UTF-8 text into tokens; ``gap`` is the one that stands for a break. ``carried`` columns go along with the documents. With ``space`` (never
     null), texts of a batch that share its value make one stream with breaks between them, and the value is part of each
     entry: ``token + b" " + value``. ``counted`` adds to the entries how often each occurs in the batch.
     """
-    limit = batch_bytes or BATCH_BYTES
+    limit = BATCH_BYTES
     size, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     shards = max(1, -(-(size + rows) // SHARD_BYTES))
     buckets = min(MAX_BUCKETS, max(1, -(-(size + rows) // limit)))
@@ -130,7 +130,7 @@ def code_texts(
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.binary()]
 
     def run(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, batch, slices = TaskContext.get().partitionId() << 33, _Batch(), []
+        number, batch, slices = TaskContext.get().partitionId() << 33, _Batch(gap), []
         others: list[pa.Field] = []
 
         def rows_of(columns: list[list], along: list[pa.Array]) -> pa.RecordBatch:
@@ -162,7 +162,7 @@ def code_texts(
                     begun = i + 1
                 if batch.size >= limit:
                     yield from closed()
-                    number, batch, slices = number + 1, _Batch(), []
+                    number, batch, slices = number + 1, _Batch(gap), []
         if batch.streams:
             yield from closed()
 

@@ -194,6 +194,91 @@ def op10_score_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(spark, _table(spark, sf_dir, "documents"), _remainder(7) != 2, order=3)
 
 
+@_query("op11_mine_collocations", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), f1 AS (
+  SELECT lang, g, count(*) AS a FROM (SELECT lang, unnest(ws) AS g FROM w) GROUP BY ALL
+), f2 AS (
+  SELECT lang, x, y, count(*) AS a FROM (
+    SELECT lang, unnest(ws[:-2]) AS x, unnest(ws[2:]) AS y FROM w WHERE len(ws) >= 2) GROUP BY ALL HAVING count(*) >= 10
+), f3 AS (
+  SELECT lang, x, y, z, count(*) AS a FROM (
+    SELECT lang, unnest(ws[:-3]) AS x, unnest(ws[2:-2]) AS y, unnest(ws[3:]) AS z FROM w WHERE len(ws) >= 3) GROUP BY ALL HAVING count(*) >= 10
+), n AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f1 GROUP BY lang
+), b AS (
+  SELECT lang, x, y, max(a) AS longer FROM (SELECT lang, x, y, a FROM f3 UNION ALL SELECT lang, y, z, a FROM f3) GROUP BY ALL
+), c AS (
+  SELECT lang, x || ' ' || y AS phrase, f2.a, 1 AS k, u.a AS l, v.a AS r
+  FROM f2 LEFT JOIN b USING (lang, x, y) JOIN f1 u USING (lang) JOIN f1 v USING (lang)
+  WHERE u.g = x AND v.g = y AND 100 * coalesce(longer, 0) < 50 * f2.a
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.a, 1, u.a, v.a
+  FROM f3 JOIN f1 u ON u.lang = f3.lang AND u.g = f3.x JOIN f2 v ON v.lang = f3.lang AND v.x = f3.y AND v.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.a, 2, u.a, v.a
+  FROM f3 JOIN f2 u ON u.lang = f3.lang AND u.x = f3.x AND u.y = f3.y JOIN f1 v ON v.lang = f3.lang AND v.g = f3.z
+), s AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM c
+), t AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op11_mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.collocations import collocations
+
+    return collocations(spark, _table(spark, sf_dir, "documents"))
+
+
+def _lloyd_sql(rounds: int = 4) -> str:
+    """Every part against every entry, one pair of subqueries a round."""
+    nearest = """a{k} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, unnest(min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, entry := entry)))
+  FROM p JOIN c{k} USING (part) GROUP BY vec_id, label, part, x
+)"""
+    means = """c{n} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m, c) AS c FROM c{k} LEFT JOIN (
+    SELECT part, entry, list(m ORDER BY j) AS m FROM (
+      SELECT part, entry, j, floor(sum(y)::DOUBLE / count(*))::BIGINT AS m
+      FROM (SELECT part, entry, unnest(x) AS y, generate_subscripts(x, 1) AS j FROM a{k}) GROUP BY ALL
+    ) GROUP BY ALL
+  ) USING (part, entry)
+)"""
+    steps = [q.format(k=k, n=k + 1) for k in range(rounds) for q in (nearest, means)]
+    return """WITH e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, label, part, list_slice(v, part * (len(v) // 4) + 1, (part + 1) * (len(v) // 4)) AS x FROM e, range(4) AS t(part)
+), c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p QUALIFY entry < 256
+), """ + ",\n".join([*steps, nearest.format(k=rounds)]) + f""", r AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM r"""
+
+
+@_query("op12_compress_vectors", _lloyd_sql())
+def op12_compress_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripkit.llm.product_codes import codebooks_digest, compress_vectors, with_label_error
+
+    done = compress_vectors(spark, _table(spark, sf_dir, "embeddings"), ["vec_id", "label"])
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return with_label_error(done.rows).select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(codebooks_digest(done.codebooks)).alias("codebooks_sha256")
+    )
+
+
 @_query("op13_encode_pieces")
 def op13_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripkit.llm.pieces import encode_documents, public_model
