@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +20,8 @@ from tripkit.operators.schema import rename_columns
 from tripkit.schemas import RENAMES
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Path and size of the files below a folder, listed by Spark without opening them."""
+def list_files(spark: SparkSession, root: str | list[str], pattern: str = "*.parquet") -> DataFrame:
+    """Path and size of the files below folders (or of the files themselves), listed by Spark without opening them."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -26,22 +31,70 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     return listing.select("path", "length")
 
 
-def schema_groups(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, list[str]]:
-    """Paths (files, or folders of equal files) grouped by their footer schema.
+FOOTER = "path string, fields string, num_rows long, row_groups int"
 
-    Only footers are read, a few at a time. Nullability does not split groups.
+
+def _read_footer(path: str) -> tuple[str | None, int | None, int | None]:
+    """Leaf columns with their stored types, rows and row groups of one file; nulls where only Spark can open it."""
+    import pyarrow as pa
+    import pyarrow.fs
+    import pyarrow.parquet as pq
+
+    try:
+        if path.startswith("file:"):
+            path = "file:///" + path.removeprefix("file:").lstrip("/")
+        store, place = pyarrow.fs.FileSystem.from_uri(path)
+        with store.open_input_file(place) as source:
+            file = pq.ParquetFile(source)
+            columns = [file.schema.column(i) for i in range(len(file.schema))]
+            fields = json.dumps([(c.path, c.physical_type, str(c.logical_type)) for c in columns])
+            return fields, file.metadata.num_rows, file.metadata.num_row_groups
+    except (pa.ArrowException, OSError):
+        return None, None, None
+
+
+def footers(files: DataFrame) -> DataFrame:
+    """Footers of listed files (``path`` and any other columns), read where the tasks run: ``fields``, ``num_rows``, ``row_groups``.
+
+    ``fields`` is equal for files whose columns have the same names, order and stored types; nullability does not count. No data
+    page is read. A store that the workers cannot open without Spark gives nulls.
     """
+    kept = [f for f in files.schema if f.name != "length"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *FOOTER.split(", ")[1:]])
+
+    def read(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = pd.DataFrame([_read_footer(path) for path in frame["path"]], columns=["fields", "num_rows", "row_groups"], index=frame.index)
+            yield frame.join(found.astype({"num_rows": "Int64", "row_groups": "Int32"}))
+
+    return files.drop("length").mapInPandas(read, schema)
+
+
+def schema_groups(spark: SparkSession, paths: list[str], threads: int = 16) -> list[list[str]]:
+    """Paths (files, or folders) grouped by the schema of their footers; a folder with several schemas is given as its files.
 
-    def footer(path: str) -> str:
+    One job reads all footers. Files in stores that only Spark can open are asked one by one, a few at a time.
+    """
+    found = footers(list_files(spark, paths, "*")).where(F.element_at(F.split("path", "/"), -1).rlike("^[^_.]"))
+    rows = [(r.path, r.fields) for r in found.select("path", "fields").collect()]  # names of files, which the driver plans with anyway
+
+    def ask(path: str) -> str:
         schema = spark.read.parquet(path).schema
         return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]).json()
 
+    closed = [path for path, fields in rows if fields is None]
     with ThreadPoolExecutor(threads) as pool:
-        schemas = list(pool.map(footer, paths))
+        asked = dict(zip(closed, pool.map(ask, closed)))
+    kinds = {path: fields if fields is not None else asked[path] for path, fields in rows}
+    plain = {path: re.sub("^[a-z0-9]+:/*", "/", path) for path in kinds}
     groups: dict[str, list[str]] = {}
-    for path, schema in zip(paths, schemas):
-        groups.setdefault(schema, []).append(path)
-    return groups
+    for path in paths:
+        root = re.sub("^[a-z0-9]+:/*", "/", path).rstrip("/")
+        own = [p for p in sorted(kinds) if plain[p] == root or plain[p].startswith(f"{root}/")]
+        for kind in dict.fromkeys(kinds[p] for p in own):
+            same = [p for p in own if kinds[p] == kind]
+            groups.setdefault(kind, []).extend([path] if len(same) == len(own) else same)
+    return list(groups.values())
 
 
 def read_drifted(
@@ -57,7 +110,7 @@ def read_drifted(
     group lacks are null.
     """
     frames = []
-    for group in schema_groups(spark, sorted(paths)).values():
+    for group in schema_groups(spark, sorted(set(paths))):
         df = rename_columns(spark.read.parquet(*group), renames)
         if columns:
             df = df.select(
@@ -85,7 +138,7 @@ def read_partitioned(spark: SparkSession, root: str, year: int | list[int] | Non
 
 
 def row_counts(services: dict[str, DataFrame]) -> DataFrame:
-    """Rows per service. Spark answers a bare count from Parquet footers."""
+    """Rows per service of any frames. Spark answers a bare count from Parquet footers."""
     counts = [
         df.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(name).alias("service"), "num_rows")
         for name, df in services.items()
@@ -96,6 +149,19 @@ def row_counts(services: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def stored_rows(spark: SparkSession, services: dict[str, list[str]]) -> DataFrame:
+    """Files, row groups and rows per service, from the footers of all its files in one job.
+
+    Where a store can only be opened by Spark, ``num_rows`` is null: count such a service with `row_counts`.
+    """
+    listed = [list_files(spark, paths).withColumn("service", F.lit(name)) for name, paths in services.items()]
+    read = footers(reduce(lambda a, b: a.unionByName(b), listed))
+    whole = F.count_if(F.col("fields").isNull()) == 0
+    return read.groupBy("service").agg(
+        F.count(F.lit(1)).alias("files"), F.when(whole, F.sum("row_groups")).alias("row_groups"), F.when(whole, F.sum("num_rows")).alias("num_rows")
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str,

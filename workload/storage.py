@@ -87,6 +87,15 @@ def rowcount_by_service(spark, sf):
     return rd.row_counts({name: table(spark, sf, name) for name in ("customer", "orders", "lineitem")})
 
 
+@query("stored_rows_by_service", """
+SELECT 'customer' AS service, count(*) AS num_rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events""")
+def stored_rows_by_service(spark, sf):
+    """The same from footers alone, all services in one job."""
+    files = {name: [f"{sf}/{name}.parquet"] for name in ("customer", "orders", "lineitem", "events")}
+    return rd.stored_rows(spark, files).select("service", "num_rows")
+
+
 @query("csv_typed_scan", """
 SELECT c_custkey AS key, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_acctbal END AS balance, c_nationkey AS nation FROM customer""")
 def csv_typed_scan(spark, sf):
