@@ -1,11 +1,13 @@
 """A third of all rows share one key: the work must still be spread, and the result whole."""
 
 import re
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripkit.operators.proximity import nearest_place, within_distance
+from tripkit.operators import selection
 from tripkit.operators.selection import exact_median, rolling_last_n, sample_per_group, seeded_order
 
 ROWS = 120_000
@@ -89,8 +91,25 @@ def test_sample_ranks_slices_of_a_hot_group(spark):
     assert {r["key"]: r["count"] for r in got.groupBy("key").count().collect()} == {"hot": 500, "cold": 100}
 
 
-def test_median_of_a_hot_group_uses_value_buckets(spark):
+def test_median_of_a_hot_group_narrows_to_few_rows(spark, monkeypatch):
     rows = keyed(spark, 60_101).withColumn("v", F.sqrt("id"))
-    got = exact_median(rows, "v", ["key"], name="m")
-    assert re.search(r"hashpartitioning\(key#\d+, _b#\d+", final_plan(got))
+    sizes, real = [], selection._open_groups
+    monkeypatch.setattr(selection, "_open_groups", lambda bounds: sizes.append(real(bounds)) or sizes[-1])
+    got = exact_median(rows, "v", ["key"], name="m", sorted_rows=200)
     assert {r["key"]: r["m"] for r in got.collect()}["hot"] == pytest.approx(30_000**0.5)
+    assert sizes[0][1] > 200 >= sizes[-1][1]  # no more rows of a group than that are sorted in a task
+
+
+@pytest.mark.parametrize("make", [
+    lambda i: F.lit(1_700_000_000.0) + F.pmod(i * 7919, F.lit(40_000)) / 1000,  # a narrow range far from zero
+    lambda i: F.when(i % 2 == 0, F.lit(1.0)).otherwise(F.lit(1.0000000000000002)),  # neighbouring numbers
+    lambda i: F.exp(i / 30.0) * F.when(i % 3 == 0, -1).otherwise(1),  # many magnitudes
+    lambda i: F.when(i % 10 < 7, F.lit(3.25)).otherwise(i.cast("double")),  # one value most of the time
+    lambda i: F.when(i % 5 == 0, F.lit(float("inf"))).when(i % 5 == 1, F.lit(float("-inf"))).otherwise(-i.cast("double")),
+])
+def test_medians_of_hard_distributions(spark, make):
+    for count in (4001, 4000):
+        rows = spark.range(count).select(make(F.col("id")).cast("double").alias("v")).persist()
+        want = statistics.median([r.v for r in rows.collect()])
+        got = exact_median(rows, "v", name="m", sorted_rows=10).collect()
+        assert [r["m"] for r in got] == [pytest.approx(want, rel=1e-15)]

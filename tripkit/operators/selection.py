@@ -8,9 +8,13 @@ of each bucket's first row, and only rows inside one bucket are ever sorted toge
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripkit.session import shared_dir
+
 
 def _over(by: list[str]):
     return Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -23,54 +27,112 @@ def _matches(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
     return left.join(renamed, condition, "inner").drop(*[f"_r_{name}" for name in names])
 
 
-def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name: str) -> DataFrame:
-    """Interpolated median per group, exact at any size; null and NaN are ignored.
+SORTED_ROWS = 1_000_000  # rows of one group that a median may sort in one task
+_COARSE, _FINE = 2**6, 4096  # buckets per power of e in the first pass, buckets of a range in later ones
+_SMALL_TABLE = 100_000  # rows below which a counted table is broadcast
 
-    1. count equal values (combined map-side, so repeated prices cost nothing);
-    2. put values into buckets of a fixed relative width of 2**-14 — the bucket number is
-       monotone in the value, and there are well under a million of them;
-    3. a running count over buckets finds those holding the middle ranks;
-    4. only the values of these buckets are sorted.
+
+def _middle_buckets(histogram: DataFrame, by: list[str]) -> DataFrame:
+    """Where the middle ranks of each group lie, from counts, minimum and maximum per bucket ``_b``.
+
+    ``_value`` is the median if the buckets already tell it: the two middle ranks lie in two buckets, so they are the end of one
+    and the begin of the next, or the bucket holds a single value. Else ``_lo`` and ``_hi`` bound the bucket that holds both,
+    ``_rows`` is its size and ``_first``, ``_second`` are the ranks inside. A bucket holds about as many entries per group as the first
+    pass has buckets, whatever the number of rows.
     """
-    by = list(by or [])
-    v = F.col(value).cast("double")
-    counted = (
-        df.select(*by, v.alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn(
-            "_b",
-            F.floor(F.signum("_v") * F.ln(F.abs(F.col("_v")) + 1.0) * F.lit(float(2**14))).cast("bigint"),
-        )
-    )
-    per_bucket = counted.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
     group = _over(by)
-    targets = (
-        per_bucket.withColumn("_upto", F.sum("_bc").over(group.orderBy("_b")))
-        .withColumn("_n", F.sum("_bc").over(group))
-        .withColumn("_low", F.expr("(_n + 1) div 2"))
-        .withColumn("_high", F.expr("_n div 2 + 1"))
-        .withColumn("_before", F.col("_upto") - F.col("_bc"))
-        .where((F.col("_upto") >= F.col("_low")) & (F.col("_before") < F.col("_high")))
-        .select(*by, "_b", "_before", "_low", "_high")
+    ranked = (
+        histogram.withColumn("_upto", F.sum("_n").over(group.orderBy("_b")))
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .withColumn("_one", F.coalesce("_first", F.expr("(sum(_n) over (%s) + 1) div 2" % _partition(by))))
+        .withColumn("_two", F.coalesce("_second", F.expr("sum(_n) over (%s) div 2 + 1" % _partition(by))))
+        .where((F.col("_upto") >= F.col("_one")) & (F.col("_before") < F.col("_two")))
     )
-    if not by:
-        targets = F.broadcast(targets)  # at most two rows
-    inside = Window.partitionBy(*by, "_b").orderBy("_v")
-    middle = (
-        _matches(counted, targets, [*by, "_b"])
-        .withColumn("_upto", F.sum("_c").over(inside) + F.col("_before"))
-        .where((F.col("_upto") >= F.col("_low")) & (F.col("_upto") - F.col("_c") < F.col("_high")))
+    split = F.count(F.lit(1)) == 2
+    value = F.when(split, (F.min("_high") + F.max("_low")) / 2).when(F.min("_low") == F.max("_high"), F.min("_low"))
+    return ranked.groupBy(*by).agg(
+        value.alias("_value"), F.min("_low").alias("_lo"), F.max("_high").alias("_hi"), F.sum("_n").alias("_rows"),
+        F.min(F.col("_one") - F.col("_before")).alias("_first"), F.min(F.col("_two") - F.col("_before")).alias("_second"),
     )
-    return middle.groupBy(*by).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
+
+
+def _partition(by: list[str]) -> str:
+    return "partition by " + (", ".join(f"`{name}`" for name in by) or "0")
+
+
+def _histogram(rows: DataFrame, by: list[str], bucket: Column, ranks: list[Column]) -> DataFrame:
+    """Rows counted per group and bucket straight where they are read; only buckets are shuffled."""
+    return rows.groupBy(*by, bucket.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), *ranks
+    )
+
+
+def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name: str, sorted_rows: int | None = None) -> DataFrame:
+    """Interpolated median per group, exact at any size; null and NaN are ignored.
+
+    A histogram that narrows: the first pass over the rows counts buckets of equal relative width per group, which is
+    combined before the shuffle. The bucket with the middle ranks is cut into equal parts and counted again, in passes over the
+    rows inside it, until it holds at most ``sorted_rows`` rows or one value. Only those rows are sorted, and a group needs a
+    pass as long as its bucket is larger: each pass makes a bucket a few thousand times narrower. The bounds of buckets, a row
+    per group, are saved between passes, so a lost executor costs no more than a pass.
+    """
+    by = list(by or [])
+    spark, limit = df.sparkSession, sorted_rows or SORTED_ROWS
+    v = F.col(value).cast("double")
+    rows = df.select(*by, (v + 0.0).alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    none = [F.lit(None).cast("bigint").alias(rank) for rank in ("_first", "_second")]
+    relative = F.floor(F.signum("_v") * F.ln(F.abs(F.col("_v")) + 1.0) * F.lit(float(_COARSE))).cast("bigint")
+    unbounded = F.when(F.col("_v") == float("inf"), 2**40).when(F.col("_v") == float("-inf"), -(2**40)).otherwise(relative)
+    bounds = _saved(spark, _middle_buckets(_histogram(rows, by, unbounded, none), by), "median-bounds")
+    groups, largest = _open_groups(bounds)
+    while largest > limit:
+        inside = _inside(rows, bounds.where(F.col("_value").isNull() & (F.col("_rows") > limit)), by, groups)
+        width = (F.col("_hi") - F.col("_lo")) / F.lit(float(_FINE))
+        linear = F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("bigint"), F.lit(_FINE - 1))
+        # A range too narrow or too wide to be divided is cut at its middle and ends.
+        halves = F.when(F.col("_v") >= F.col("_hi"), 2).when(F.col("_v") > F.col("_lo"), 1).otherwise(0).cast("bigint")
+        bucket = F.when((width > 0) & (width < float("inf")), linear).otherwise(halves)
+        narrowed = _middle_buckets(_histogram(inside, by, bucket, [F.first(r).alias(r) for r in ("_first", "_second")]), by)
+        done = bounds.where(F.col("_value").isNotNull() | (F.col("_rows") <= limit))
+        bounds = _saved(spark, done.unionByName(narrowed), "median-bounds")
+        before, (groups, largest) = largest, _open_groups(bounds)
+        if largest >= before:
+            break  # neighbouring floating-point numbers: few values, which the last step counts before it sorts
+    solved = bounds.where(F.col("_value").isNotNull()).select(*by, F.col("_value").alias(name))
+    if not largest:
+        return solved if by else solved.agg(F.max(name).alias(name))
+    inside = _inside(rows, bounds.where(F.col("_value").isNull()), by, groups)
+    equal = inside.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"), F.first("_first").alias("_first"), F.first("_second").alias("_second"))
+    upto = F.sum("_n").over(_over(by).orderBy("_v"))
+    middle = equal.withColumn("_upto", upto).where((F.col("_upto") >= F.col("_first")) & (F.col("_upto") - F.col("_n") < F.col("_second")))
+    sorted_out = middle.groupBy(*by).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
+    both = solved.unionByName(sorted_out)
+    return both if by else both.agg(F.max(name).alias(name))
+
+
+def _saved(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _open_groups(bounds: DataFrame) -> tuple[int, int]:
+    """Number of groups, and the most rows a group still has to look at."""
+    rows = F.when(F.col("_value").isNull(), F.col("_rows"))
+    return tuple(bounds.agg(F.count(F.lit(1)), F.coalesce(F.max(rows), F.lit(0))).first())
+
+
+def _inside(rows: DataFrame, bounds: DataFrame, by: list[str], groups: int) -> DataFrame:
+    """Rows between the bounds of their group, with these."""
+    held = bounds.select(*[F.col(k).alias(f"_r_{k}") for k in by], "_lo", "_hi", "_first", "_second")
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in by], F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    return rows.join(F.broadcast(held) if groups <= _SMALL_TABLE else held, match).drop(*[f"_r_{k}" for k in by])
 
 
 def exact_medians(df: DataFrame, measures: dict[str, Column], by: list[str]) -> DataFrame:
-    """Several medians per group from one scan; a row counts for a measure where it is not null.
+    """Several medians per group from the same scans; a row counts for a measure where it is not null.
 
-    The measures are stacked into one long column, so they share every shuffle as well. A
-    group appears if any of its measures has a value.
+    The measures are stacked into one long column, so they share every pass. A group appears if any of its measures has a value.
     """
     entries = F.array(*[F.struct(F.lit(name).alias("_m"), c.cast("double").alias("_x")) for name, c in measures.items()])
     stacked = df.select(*by, F.inline(entries)).where(F.col("_x").isNotNull())
