@@ -95,5 +95,5 @@ def test_parts_rise_with_pairs_and_split_hot_words():
 
 
 def test_pairs_at_ends_are_counted():
-    pairs, thirds, counts = count_runs([np.array([1, 2, 0, 1, 2, 3], np.uint64), np.array([1], np.uint64)])
+    pairs, thirds, counts = count_runs([np.array([1, 2, 0, 1, 2, 3], np.uint32), np.array([1], np.uint32)])
     assert [(int(p) >> 32, int(p) & 0xFFFFFFFF, int(t), int(c)) for p, t, c in zip(pairs, thirds, counts)] == [(1, 2, 0, 1), (1, 2, 3, 1), (2, 3, 0, 1)]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tripkit.llm.coded import code_texts, pack_numbers, pack_tokens, unpack_numbers, unpack_tokens
 from tripkit.llm.common import saved
 
-PART_TOKENS = 4_000_000  # words of the corpus whose n-grams one part of an order holds
+PART_TOKENS = 2_000_000  # words of the corpus whose n-grams one part of an order holds
 FINENESS = 4  # quantiles of words per part, from which the ends of parts are taken
 GAP = b"."
 _FOLD = bytes(ord(".") if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -93,20 +93,25 @@ def count_runs(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
     A pair is counted once at each of its places, whatever stands behind it.
     """
-    padded = [np.concatenate([x, np.zeros(2, np.uint64)]) for x in ids]
-    stream = np.concatenate([np.zeros(0, np.uint64), *padded])
+    stream = np.concatenate([np.zeros(0, np.uint32), *(part for x in ids for part in (x, np.zeros(2, np.uint32)))]).astype(np.uint32, copy=False)
     first, second, third = stream[:-2], stream[1:-1], stream[2:]
-    whole = (first > 0) & (second > 0)
-    pairs, thirds = first[whole] << np.uint64(32) | second[whole], third[whole]
-    return merge_runs(pairs, thirds, np.ones(len(pairs), np.int64))
+    whole = np.flatnonzero((first > 0) & (second > 0))
+    pairs = first[whole].astype(np.uint64)
+    pairs <<= np.uint64(32)
+    pairs |= second[whole]
+    return merge_runs(pairs, third[whole])
 
 
-def merge_runs(pairs: np.ndarray, thirds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Equal n-grams in order, with their counts added."""
+def merge_runs(pairs: np.ndarray, thirds: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal n-grams in order, with their counts (1 each unless given) added."""
     order = np.lexsort((thirds, pairs))
-    pairs, thirds, counts = pairs[order], thirds[order], counts[order]
+    pairs, thirds = pairs[order], thirds[order]
     begin = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]) | (thirds[1:] != thirds[:-1]))[: len(pairs)])
-    return pairs[begin], thirds[begin], np.add.reduceat(counts, begin) if len(begin) else counts
+    if counts is None:
+        sums = _runs(begin, len(pairs))
+    else:
+        sums = np.add.reduceat(counts[order], begin, dtype=np.int64) if len(begin) else np.zeros(0, np.int64)
+    return pairs[begin], thirds[begin], sums
 
 
 def _words_of_part(spans: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -122,9 +127,9 @@ def prefix_order(runs: pd.DataFrame, spans: pd.DataFrame, least: int) -> pd.Data
     columns = [c.split()[0] for c in _GRAM.split(", ")]
     if not len(runs):
         return pd.DataFrame({c: [] for c in columns})
-    unpacked = [np.concatenate([unpack_numbers(x) for x in runs[c]]) for c in ("thirds", "counts")]
+    narrow = [np.concatenate([unpack_numbers(x).astype(np.uint32) for x in runs[c]]) for c in ("thirds", "counts")]
     pairs = np.concatenate([np.cumsum(unpack_numbers(x), dtype=np.uint64) for x in runs["pairs"]])
-    pairs, thirds, counts = merge_runs(pairs, unpacked[0], unpacked[1].astype(np.int64))
+    pairs, thirds, counts = merge_runs(pairs, *narrow)
     words, occurrences = _words_of_part(spans)
     begin = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
     pair_counts = np.add.reduceat(counts, begin)
@@ -221,12 +226,12 @@ def mine_candidates(spark: SparkSession, docs: DataFrame, least: int = 10, insid
 
     def count(streams: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         answers = answers.sort_values("shard")
-        known = [np.zeros(1, np.uint64)]
+        known = [np.zeros(1, np.uint32)]
         for shard, numbers in zip(answers["shard"], answers["numbers"]):
             rank = unpack_numbers(numbers)
-            known.append(np.where(rank > 0, rank + np.uint64(bases[shard]), np.uint64(0)))
+            known.append(np.where(rank > 0, rank + np.uint64(bases[shard]), np.uint64(0)).astype(np.uint32))
         ids = np.concatenate(known)
-        pairs, thirds, counts = count_runs([ids[unpack_numbers(c).astype(np.int64)] for c in streams["codes"]])
+        pairs, thirds, counts = count_runs([ids[unpack_numbers(c).astype(np.uint32)] for c in streams["codes"]])
         part = order.part(pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF))
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
         steps = lambda x: np.diff(x, prepend=np.zeros(1, np.uint64))
