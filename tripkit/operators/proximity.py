@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripkit.functions.geo import grid_index, usable_point
 from tripkit.functions.temporal import hours_between, micros
+from tripkit.session import saved
 
 
 @dataclass(frozen=True)
@@ -106,38 +108,65 @@ def spacetime_join(
     return timed.union(untimed).union(alone.select("*", *nulls))
 
 
-# The pyramid search below works on squares of side ``resolution * 2**k``.
-_STEP = 4  # levels between two rounds of the search: a node has at most 4**_STEP children
-_TOP_LEVEL = 24
-_ROOT_NODES = 64  # largest number of nodes the first round may start from
-_LEAF_PLACES = 16  # wanted number of places in a last-level node
+# The pyramid search below halves the square around all places ``_DEEPEST`` times: level k has 4**k cells.
+_DEEPEST = 24
+_ROOT_NODES = 16  # largest number of nodes per time slice the first round may start from
+_FEW_PLACES = 64  # places that each point may simply be compared with
+_LEAF_PLACES = 16  # places that share the last-level cell of a place, on average
+_SLICES = 2  # time slices per half window: a unit sees three of them whole and two in part
 
 
-def _levels(located: DataFrame) -> list[int] | None:
-    """Levels to search, coarse to fine; None without places, empty for a handful of places.
-
-    One job over the places returns two numbers per candidate level: the most nodes and the
-    most places per node (of one time slice). The first level is the finest with few nodes,
-    the last one the coarsest whose nodes hold few places.
+@dataclass(frozen=True)
+class _Pyramid:
+    """Square around all places (corner and side), their number, and the levels to search, coarse to fine."""
+
+    x: float
+    y: float
+    side: float
+    count: int
+    levels: tuple[int, ...]
+
+    def cell(self, x: Column, y: Column, level: int | None = None) -> list[Column]:
+        """Cell of a position; positions beyond the square share the cells around it."""
+        out = []
+        for value, corner in ((x, self.x), (y, self.y)):
+            scaled = (value - F.lit(corner)) / F.lit(self.side) * F.lit(float(2**_DEEPEST))
+            bounded = F.greatest(F.least(scaled, F.lit(float(2 ** (_DEEPEST + 1)))), F.lit(-float(2 ** (_DEEPEST + 1))))
+            whole = F.floor(bounded).cast("bigint")
+            out.append(whole if level is None else F.shiftright(whole, _DEEPEST - level))
+        return out
+
+
+def _pyramid(located: DataFrame) -> _Pyramid | None:
+    """None without places. Levels follow from the extent and the density of the places, whatever their unit of length.
+
+    The first level is the finest with few nodes per slice, the last one the coarsest at which a place shares its node with few
+    others on average, so that clusters deepen it as far as they need. One row of extremes and one row per level come back.
     """
-    candidates = list(range(0, _TOP_LEVEL + 1, _STEP))
+    x1, x2, y1, y2, count = located.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y"), F.count(F.lit(1))).first()
+    if not count:
+        return None
+    side = max(x2 - x1, y2 - y1) or 1.0
+    flat = _Pyramid(x1, y1, side * (1 + 1e-9), count, ())
+    if count <= _FEW_PLACES:
+        return flat
+    candidates = list(range(0, _DEEPEST + 1, 2))
     level = F.explode(F.array(*[F.lit(k) for k in candidates])).alias("_k")
-    shifted = located.select("_s", "_ix", "_iy", level).select(
-        "_k", "_s", F.expr("shiftright(_ix, _k)").alias("_ix"), F.expr("shiftright(_iy, _k)").alias("_iy")
+    cells = located.select("_s", *(c.alias(n) for c, n in zip(flat.cell(F.col("_x"), F.col("_y")), ("_ix", "_iy"))))
+    shifted = cells.select("_s", "_ix", "_iy", level).select(
+        "_k", "_s", *(F.expr(f"shiftright({c}, {_DEEPEST} - _k)").alias(c) for c in ("_ix", "_iy"))
     )
-    nodes = shifted.groupBy("_k", "_s", "_ix", "_iy").agg(F.count(F.lit(1)).alias("_n"))
-    slices = nodes.groupBy("_k", "_s").agg(
-        F.count(F.lit(1)).alias("_nodes"), F.max("_n").alias("_most"), F.sum("_n").alias("_all")
-    )
-    rows = slices.groupBy("_k").agg(F.max("_nodes"), F.max("_most"), F.max("_all")).collect()  # <= 7 rows
-    if not rows:
-        return None
-    if rows[0][3] <= _ROOT_NODES:
-        return []
-    by_level = {row[0]: row for row in rows}
-    root = next((k for k in candidates if by_level[k][1] <= _ROOT_NODES), _TOP_LEVEL)
-    leaf = next((k for k in reversed(candidates) if by_level[k][2] <= _LEAF_PLACES), 0)
-    return list(range(root, min(leaf, root) - 1, -_STEP))
+    nodes = shifted.groupBy("_k", "_s", "_ix", "_iy").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    slices = nodes.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_nodes"), F.sum(F.col("_n") * F.col("_n")).alias("_pairs"))
+    rows = sorted(slices.groupBy("_k").agg(F.max("_nodes"), F.sum("_pairs") / F.lit(float(count))).collect())  # a row per level
+    root = max(k for k, most, _ in rows if most <= _ROOT_NODES or k == 0)
+    leaf = next((k for k, _, shared in rows if shared <= _LEAF_PLACES), _DEEPEST)
+    shared = {k: mean for k, _, mean in rows}
+    if leaf > root and leaf >= 2 and math.sqrt(shared[leaf] * shared[leaf - 2]) <= _LEAF_PLACES:
+        leaf -= 1  # between two counted levels
+    leaf = max(leaf, root)
+    step = 1 if leaf - root <= 3 else 2
+    return replace(flat, levels=(*range(root, leaf, step), leaf))
 
 
 def _gap(low1: Column, high1: Column, low2: Column, high2: Column) -> Column:
@@ -150,80 +179,76 @@ def _reach(low: Column, high: Column, value: Column) -> Column:
     return F.greatest(F.abs(value - low), F.abs(high - value))
 
 
-def _nodes(located: DataFrame, level: int) -> DataFrame:
+def _nodes(located: DataFrame, pyramid: _Pyramid, level: int) -> DataFrame:
     """Bounding box and two sample places (earliest, latest) of each node of a level."""
     place = F.struct("_t", "_x", "_y")
-    return located.groupBy(
-        F.col("_s").alias("_ps"), F.shiftright("_ix", level).alias("_nx"), F.shiftright("_iy", level).alias("_ny")
-    ).agg(
+    nx, ny = pyramid.cell(F.col("_x"), F.col("_y"), level)
+    return located.groupBy(F.col("_s").alias("_ps"), nx.alias("_nx"), ny.alias("_ny")).agg(
         F.min("_x").alias("_x1"), F.max("_x").alias("_x2"), F.min("_y").alias("_y1"), F.max("_y").alias("_y2"),
         F.min(place).alias("_first"), F.max(place).alias("_last"),
     )
 
 
-def _candidates(
-    located: DataFrame,
-    positions: DataFrame,
-    levels: list[int],
-    time: TimeWindow | None,
-    resolution: float,
-    slice_us: Column,
-) -> DataFrame:
-    """Pairs of a position and a place that may be its nearest."""
+def _search(located: DataFrame, unit: DataFrame, names: list[str], pyramid: _Pyramid, time: TimeWindow | None, slice_us: Column) -> DataFrame:
+    """Last-level nodes that may hold the nearest place of some point of a unit, with the unit's box, times and bound.
+
+    The window of a unit splits into slices wholly inside, whose places all count, and slices at its edges. A sample place that is
+    inside the window of every point of the unit bounds the distance; nodes of any slice beyond the bound go.
+    """
     span = F.lit(time.span if time else 0)
-    leaf = levels[-1] if levels else 0
-    names = ["_u1", "_u2", "_u3"]
-    if time:
-        keys = [F.col("_qx"), F.col("_qy"), F.col("_qt")]
-    else:
-        keys = [F.shiftright(grid_index(F.col(c), resolution), leaf) for c in ("_qx", "_qy")] + [F.lit(0)]
-    # The unit is part of the distinct rows, so both uses below share one shuffle.
-    unit = positions.select("*", *[key.alias(name) for key, name in zip(keys, names)]).distinct()
     box = [F.min("_qx").alias("_bx1"), F.max("_qx").alias("_bx2"), F.min("_qy").alias("_by1"), F.max("_qy").alias("_by2")]
-    carried = [*names, "_qt", "_bx1", "_bx2", "_by1", "_by2"]
-    low, high = F.floor((F.col("_qt") - span) / slice_us), F.floor((F.col("_qt") + span) / slice_us)
-    frontier = unit.groupBy(*names).agg(F.min("_qt").alias("_qt"), *box)
+    times = [F.min("_qt").alias("_t1"), F.max("_qt").alias("_t2")]
+    carried = [*names, "_t1", "_t2", "_bx1", "_bx2", "_by1", "_by2"]
+    frontier = unit.groupBy(*names).agg(*times, *box)
+    low, high = F.floor((F.col("_t1") - span) / slice_us), F.floor((F.col("_t2") + span) / slice_us)
     frontier = frontier.select(*carried, F.explode(F.sequence(low, high)).alias("_s"))
 
-    def in_window(t: Column) -> Column:
-        return F.abs(F.col("_qt") - t) <= span
-
     def sample(name: str) -> Column:
         place = F.col(name)
         far_x = _reach(F.col("_bx1"), F.col("_bx2"), place["_x"])
         far_y = _reach(F.col("_by1"), F.col("_by2"), place["_y"])
-        return F.when(in_window(place["_t"]), far_x * far_x + far_y * far_y)
+        return F.when(place["_t"].between(F.col("_t2") - span, F.col("_t1") + span), far_x * far_x + far_y * far_y)
 
+    some = (F.col("_last")["_t"] >= F.col("_t1") - span) & (F.col("_first")["_t"] <= F.col("_t2") + span)
     gap_x = _gap(F.col("_bx1"), F.col("_bx2"), F.col("_x1"), F.col("_x2"))
     gap_y = _gap(F.col("_by1"), F.col("_by2"), F.col("_y1"), F.col("_y2"))
-    for depth, level in enumerate(levels):
-        nodes = _nodes(located, level)
-        match = F.col("_s") == F.col("_ps")
-        if depth == 0:
-            nodes = nodes if time else F.broadcast(nodes)  # at most _ROOT_NODES rows, as counted
-        else:
-            match &= F.col("_fx") == F.shiftright("_nx", _STEP)
-            match &= F.col("_fy") == F.shiftright("_ny", _STEP)
-        scored = frontier.join(nodes, match).select(
+    above = None
+    for level in pyramid.levels:
+        match = (F.col("_s") == F.col("_ps")) & some
+        if above is not None:
+            match &= F.col("_fx") == F.shiftright("_nx", level - above)
+            match &= F.col("_fy") == F.shiftright("_ny", level - above)
+        scored = frontier.join(_nodes(located, pyramid, level), match).select(
             *carried, "_s", F.col("_nx").alias("_fx"), F.col("_ny").alias("_fy"),
-            (gap_x * gap_x + gap_y * gap_y).alias("_near"),
-            F.least(sample("_first"), sample("_last")).alias("_sample"),
-        ).where(F.col("_sample").isNotNull())
-        best = F.min("_sample").over(Window.partitionBy(*names)).alias("_best")
+            (gap_x * gap_x + gap_y * gap_y).alias("_near"), F.least(sample("_first"), sample("_last")).alias("_sample"),
+        )
+        best = F.coalesce(F.min("_sample").over(Window.partitionBy(*names)), F.lit(float("inf"))).alias("_best")
         frontier = scored.select(*carried, "_s", "_fx", "_fy", "_near", best).where(F.col("_near") <= F.col("_best"))
+        above = level
+    return frontier
+
+
+def _candidates(located: DataFrame, positions: DataFrame, pyramid: _Pyramid, time: TimeWindow | None, slice_us: Column) -> DataFrame:
+    """Pairs of a position and a place that may be its nearest.
 
-    leaves = located.withColumnRenamed("_s", "_ps")
-    match = (F.col("_s") == F.col("_ps")) & in_window(F.col("_t"))
-    if levels:
-        place_x = _gap(F.col("_bx1"), F.col("_bx2"), F.col("_x"), F.col("_x"))
-        place_y = _gap(F.col("_by1"), F.col("_by2"), F.col("_y"), F.col("_y"))
-        match &= F.col("_fx") == F.shiftright("_ix", leaf)
-        match &= F.col("_fy") == F.shiftright("_iy", leaf)
-        match &= place_x * place_x + place_y * place_y <= F.col("_best")
-    near = frontier.join(leaves, match)
-    if time:
-        return near.select(F.col("_bx1").alias("_qx"), F.col("_by1").alias("_qy"), "_qt", "_x", "_y", "_p")
-    return unit.join(near.select(*names, "_x", "_y", "_p"), names)
+    A unit is all positions of one last-level cell and one time slice.
+    """
+    span, leaf = F.lit(time.span if time else 0), pyramid.levels[-1]
+    names = ["_u1", "_u2", "_u3"]
+    keys = [*pyramid.cell(F.col("_qx"), F.col("_qy"), leaf), F.floor(F.col("_qt") / slice_us)]
+    # The unit is part of the distinct rows, so both uses below share one shuffle.
+    unit = positions.select("*", *[key.alias(name) for key, name in zip(keys, names)]).distinct()
+    frontier = _search(located, unit, names, pyramid, time, slice_us)
+    nx, ny = pyramid.cell(F.col("_x"), F.col("_y"), leaf)
+    leaves = located.withColumnRenamed("_s", "_ps").withColumns({"_nx": nx, "_ny": ny})
+    place_x = _gap(F.col("_bx1"), F.col("_bx2"), F.col("_x"), F.col("_x"))
+    place_y = _gap(F.col("_by1"), F.col("_by2"), F.col("_y"), F.col("_y"))
+    match = (F.col("_s") == F.col("_ps")) & (F.col("_fx") == F.col("_nx")) & (F.col("_fy") == F.col("_ny"))
+    match &= F.col("_t").between(F.col("_t1") - span, F.col("_t2") + span)
+    match &= place_x * place_x + place_y * place_y <= F.col("_best")
+    near = frontier.join(leaves, match).select(*[F.col(n).alias(f"_n{n}") for n in names], "_x", "_y", "_t", "_p")
+    same = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"_n{n}") for n in names])
+    return unit.join(near, same & (F.abs(F.col("_qt") - F.col("_t")) <= span))
 
 
 def nearest_place(
@@ -236,7 +261,6 @@ def nearest_place(
     carry: dict[str, str],
     distance: str,
     time: TimeWindow | None = None,
-    resolution: float = 1.0,
 ) -> DataFrame:
     """The exactly nearest place of every point; equal distances go to the smallest id.
 
@@ -248,13 +272,14 @@ def nearest_place(
     points of one last-level cell together. From the coarsest level down, each unit keeps only
     nodes whose box can be nearer than the farthest its best sample can be, so a handful of
     nodes per unit survive; their places are then compared with each point of the unit. Work
-    per point does not grow with the number of places, and dense spots get a deeper pyramid.
-    Points at the same position, and places at the same position, are searched once.
+    per point does not grow with the number of places. The grid spans the places, so the unit of
+    length does not matter, and clusters get a deeper pyramid. Points at the same position, and
+    places at the same position, are searched once.
+
+    With a time window, places and points are also split into time slices of half of a half
+    window, and a unit is a cell and a slice: it sees three slices whole and two in part.
 
-    With a time window, each point (position and time) is its own unit, and places are also
-    split into time slices of a quarter window. A slice crosses at most one edge of the window,
-    so the earliest and the latest place of a node tell exactly whether it holds any place
-    inside the window.
+    Places are written once to the shared folder and measured there while the plan is built.
     """
     (px, py), (qx, qy) = point, place
     rest = [name for name in carry if name != place_id]
@@ -263,20 +288,19 @@ def nearest_place(
     if place_id in carry:
         outputs[carry[place_id]] = (places.schema[place_id].dataType, "_id")
     span = time.span if time else 0
-    slice_us = F.lit(max(span // 4, 1))
+    slice_us = F.lit(max(span // _SLICES, 1))
     place_time = micros(F.col(time.place_time)) if time else F.lit(0).cast("bigint")
     located = (
         places.where(usable_point(F.col(qx), F.col(qy)) & place_time.isNotNull())
         .groupBy(F.col(qx).cast("double").alias("_x"), F.col(qy).cast("double").alias("_y"), place_time.alias("_t"))
         .agg(F.min(payload).alias("_p"))
         .select(
-            "_x", "_y", "_t", "_p",
-            F.floor(F.col("_t") / slice_us).alias("_s"),
-            grid_index(F.col("_x"), resolution).alias("_ix"), grid_index(F.col("_y"), resolution).alias("_iy"),
+            "_x", "_y", "_t", "_p", F.floor(F.col("_t") / slice_us).alias("_s")
         )
     )
-    levels = _levels(located)
-    if levels is None:
+    located = saved(points.sparkSession, located, "places")
+    pyramid = _pyramid(located)
+    if pyramid is None:
         nulls = {name: F.lit(None).cast(kind) for name, (kind, _) in outputs.items()}
         return points.withColumns({distance: F.lit(None).cast("double"), **nulls})
 
@@ -289,11 +313,11 @@ def nearest_place(
         point_time.alias("_qt"),
     )
     positions = keyed.select(*query).where(F.col("_qx").isNotNull() & F.col("_qt").isNotNull())
-    if not levels and not time:
-        # At most _ROOT_NODES places, as counted: each position meets all of the only slice.
-        pairs = positions.distinct().join(F.broadcast(located), F.floor(F.col("_qt") / slice_us) == F.col("_s"))
+    if not pyramid.levels:
+        # At most _FEW_PLACES places, as counted: each position meets all of them.
+        pairs = positions.distinct().join(F.broadcast(located), F.abs(F.col("_qt") - F.col("_t")) <= F.lit(span))
     else:
-        pairs = _candidates(located, positions, levels, time, resolution, slice_us)
+        pairs = _candidates(located, positions, pyramid, time, slice_us)
     dx, dy = F.col("_qx") - F.col("_x"), F.col("_qy") - F.col("_y")
     hit = F.min(F.struct((dx * dx + dy * dy).alias("_d2"), "_p")).alias("_hit")
     found = pairs.groupBy(*query).agg(hit).withColumnsRenamed({n: f"_k{n}" for n in query})

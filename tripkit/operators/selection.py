@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripkit.session import shared_dir
+from tripkit.session import saved
 
 
 def _over(by: list[str]):
@@ -83,7 +83,7 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
     none = [F.lit(None).cast("bigint").alias(rank) for rank in ("_first", "_second")]
     relative = F.floor(F.signum("_v") * F.ln(F.abs(F.col("_v")) + 1.0) * F.lit(float(_COARSE))).cast("bigint")
     unbounded = F.when(F.col("_v") == float("inf"), 2**40).when(F.col("_v") == float("-inf"), -(2**40)).otherwise(relative)
-    bounds = _saved(spark, _middle_buckets(_histogram(rows, by, unbounded, none), by), "median-bounds")
+    bounds = saved(spark, _middle_buckets(_histogram(rows, by, unbounded, none), by), "median-bounds")
     groups, largest = _open_groups(bounds)
     while largest > limit:
         inside = _inside(rows, bounds.where(F.col("_value").isNull() & (F.col("_rows") > limit)), by, groups)
@@ -94,7 +94,7 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
         bucket = F.when((width > 0) & (width < float("inf")), linear).otherwise(halves)
         narrowed = _middle_buckets(_histogram(inside, by, bucket, [F.first(r).alias(r) for r in ("_first", "_second")]), by)
         done = bounds.where(F.col("_value").isNotNull() | (F.col("_rows") <= limit))
-        bounds = _saved(spark, done.unionByName(narrowed), "median-bounds")
+        bounds = saved(spark, done.unionByName(narrowed), "median-bounds")
         before, (groups, largest) = largest, _open_groups(bounds)
         if largest >= before:
             break  # neighbouring floating-point numbers: few values, which the last step counts before it sorts
@@ -110,12 +110,6 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
     return both if by else both.agg(F.max(name).alias(name))
 
 
-def _saved(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _open_groups(bounds: DataFrame) -> tuple[int, int]:
     """Number of groups, and the most rows a group still has to look at."""
     rows = F.when(F.col("_value").isNull(), F.col("_rows"))

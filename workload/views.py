@@ -166,9 +166,9 @@ SHOPS = f"""shops AS (
   FROM customer)"""
 
 
-# etrips / happenings: purchases and sign-ups as trips and events ---------------------------
+# etrips / happenings: events with even and odd ids as trips and happenings ---------------------------
 def etrips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_type = 'purchase'").select(
+    return table(spark, sf_dir, "events").where("event_id % 2 = 0").select(
         F.col("event_id").alias("trip_id"), F.col("ts").alias("trip_ts"), "user_id", "value",
         lon_of("event_id").alias("lon"), lat_of("event_id").alias("lat"),
         mercator_x(lon_of("event_id")).alias("x"), mercator_y(lat_of("event_id")).alias("y"),
@@ -176,7 +176,7 @@ def etrips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def happenings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_type = 'signup'").select(
+    return table(spark, sf_dir, "events").where("event_id % 2 = 1").select(
         F.col("event_id").alias("happening_id"), F.col("ts").alias("start_ts"),
         mercator_x(lon_of("event_id")).alias("hx"), mercator_y(lat_of("event_id")).alias("hy"),
     )
@@ -186,12 +186,12 @@ ETRIPS = f"""etrips AS (
   SELECT event_id AS trip_id, ts AS trip_ts, user_id, value,
          {sql_lon('event_id')} AS lon, {sql_lat('event_id')} AS lat,
          {sql_x(sql_lon('event_id'))} AS x, {sql_y(sql_lat('event_id'))} AS y
-  FROM events WHERE event_type = 'purchase')"""
+  FROM events WHERE event_id % 2 = 0)"""
 
 HAPPENINGS = f"""happenings AS (
   SELECT event_id AS happening_id, ts AS start_ts,
          {sql_x(sql_lon('event_id'))} AS hx, {sql_y(sql_lat('event_id'))} AS hy
-  FROM events WHERE event_type = 'signup')"""
+  FROM events WHERE event_id % 2 = 1)"""
 
 
 # weather: event values averaged by UTC hour ------------------------------------------------
