@@ -43,7 +43,7 @@ def brute(rows, least=10, best=2000):
 
 def shrink(monkeypatch):
     """Many batches, buckets, shards and parts for small data."""
-    monkeypatch.setattr(coded, "BATCH_BYTES", 5000)
+    monkeypatch.setattr(collocations, "BATCH_BYTES", 5000)
     monkeypatch.setattr(coded, "SHARD_BYTES", 30_000)
     monkeypatch.setattr(coded, "MAX_BUCKETS", 6)
     monkeypatch.setattr(collocations, "PART_TOKENS", 2000)

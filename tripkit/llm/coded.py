@@ -111,15 +111,16 @@ class _Batch:
 
 def code_texts(
     spark: SparkSession, docs: DataFrame, tokens_of: Callable[[bytes], list], purpose: str, carried: list[str] = (), space: str | None = None,
-    counted: bool = False, gap: bytes = b"",
+    counted: bool = False, gap: bytes = b"", batch_bytes: int | None = None,
 ) -> Coded:
     """Saved codes of the ``text`` of ``docs`` (null: empty): a row per document, or per batch and value of ``space`` if that is given.
 
     ``tokens_of`` cuts UTF-8 text into tokens; ``gap`` is the one that stands for a break. ``carried`` columns go along with the documents. With ``space`` (never
     null), texts of a batch that share its value make one stream with breaks between them, and the value is part of each
     entry: ``token + b" " + value``. ``counted`` adds to the entries how often each occurs in the batch.
+    Smaller batches take less memory of a task and repeat more tokens in their dictionaries.
     """
-    limit = BATCH_BYTES
+    limit = batch_bytes or BATCH_BYTES
     size, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     shards = max(1, -(-(size + rows) // SHARD_BYTES))
     buckets = min(MAX_BUCKETS, max(1, -(-(size + rows) // limit)))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tripkit.llm.coded import code_texts, pack_numbers, pack_tokens, unpack_numbers, unpack_tokens
 from tripkit.llm.common import saved
 
+BATCH_BYTES = 6 << 20  # text whose n-grams a task counts at a time
 PART_TOKENS = 2_000_000  # words of the corpus whose n-grams one part of an order holds
 FINENESS = 4  # quantiles of words per part, from which the ends of parts are taken
 GAP = b"."
@@ -186,7 +187,7 @@ def mine_candidates(spark: SparkSession, docs: DataFrame, least: int = 10, insid
     the driver.
     """
     named = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    coded = code_texts(spark, named, phrase_words, "phrase-words", space="lang", counted=True, gap=GAP)
+    coded = code_texts(spark, named, phrase_words, "phrase-words", space="lang", counted=True, gap=GAP, batch_bytes=BATCH_BYTES)
     counted = saved(spark, coded.entries.groupBy("shard").applyInPandas(lambda asked: _count_words(asked, least), _COUNTED), "phrase-counts")
     listed = counted.filter("kind = 'words'")
     sizes, masses = np.zeros(coded.shards + 1, np.int64), np.zeros(coded.shards + 1, np.int64)
