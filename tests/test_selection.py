@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripkit.operators import selection as sel
-from tripkit.streaming.rolling import RollingStream, rolling_average_spec, rolling_batch, rolling_stats_spec
+from tripkit.streaming.rolling import RollingStream, live_runs, rolling_average_spec, rolling_batch, rolling_stats_spec
 
 
 def test_exact_median_matches_statistics(spark):
@@ -123,3 +123,30 @@ def test_rolling_stream_replays_a_batch_after_a_failure(spark, tmp_path):
     assert got["id"].tolist() == want["id"].tolist()
     assert got["seq"].tolist() == want["seq"].tolist()
     assert got["rolling_avg"].tolist() == want["rolling_avg"].tolist()
+
+
+def test_stream_state_follows_the_touched_keys(spark, tmp_path):
+    """A batch of two keys writes the state of two keys; results stay those of one batch job, merges included."""
+    spec = rolling_average_spec("key", ["ts", "id"], "fare")
+    job = RollingStream(spec, str(tmp_path / "state"), str(tmp_path / "out"))
+    start, rows, batches = datetime(2024, 1, 1), [], []
+    for batch in range(7):
+        keys = range(200) if batch == 0 else [batch, 7]
+        part = [(len(rows) + i, start + timedelta(minutes=len(rows) + i), f"k{k}", float(k + i), 1, 1.0) for i, k in enumerate(list(keys) * 3)]
+        rows += part
+        batches.append(part)
+    written = []
+    for i, part in enumerate(batches):
+        job(spark.createDataFrame(part, SCHEMA), i)
+        written.append(spark.read.parquet(job._place(live_runs(i + 1)[-1])).count())
+    assert written[0] == 600 and written[2] == written[4] == written[6] == 8  # two keys with four rows each
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("id").toPandas()
+    want = rolling_batch(spark.createDataFrame(rows, SCHEMA), spec).orderBy("id").toPandas()
+    assert got["seq"].tolist() == want["seq"].tolist() and got["rolling_avg"].tolist() == want["rolling_avg"].tolist()
+
+
+def test_runs_of_batches_are_binary_digits():
+    assert live_runs(0) == [] and live_runs(6) == [(2, 0), (1, 2)] and live_runs(7) == [(2, 0), (1, 2), (0, 6)]
+    for n in range(1, 200):
+        kept = [run for run in live_runs(n) if run in live_runs(n - 1)]
+        assert live_runs(n)[:-1] == kept  # one new run, which ends with the last batch

@@ -113,3 +113,23 @@ def test_medians_of_hard_distributions(spark, make):
         want = statistics.median([r.v for r in rows.collect()])
         got = exact_median(rows, "v", name="m", sorted_rows=10).collect()
         assert [r["m"] for r in got] == [pytest.approx(want, rel=1e-15)]
+
+
+def test_half_of_all_rows_at_one_time(spark):
+    """Rows of one key and one stamp are ranked in many tasks, by their tie-break."""
+    at = F.when(F.col("id") % 2 == 0, F.lit(7_000)).otherwise(F.col("id"))
+    rows = spark.range(40_000).select("id", F.lit("k").alias("key"), at.alias("at"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("tie"))
+    got = selection.numbered(rows, "key", ["at", "tie", "id"], F.floor(F.col("at") / 1000), slice_rows=1000)
+    assert re.search(r"hashpartitioning\(key#\d+, _bkt#\d+L?, _sub#\d+", final_plan(got))
+    found = sorted(map(tuple, got.select("seq", "id").collect()))
+    want = sorted((r.at, r.tie, r.id) for r in rows.collect())
+    assert [i for _, i in found] == [i for *_, i in want] and [n for n, _ in found] == list(range(1, 40_001))
+
+
+def test_sample_of_equal_orders_is_cut_by_the_tie(spark):
+    rows = spark.range(30_000).select("id", F.when(F.col("id") < 100, F.lit(None)).otherwise(F.lit("g")).alias("g"))
+    got = sample_per_group(rows, ["g"], 1234, order=F.lit(5), tie=["id"], slice_rows=500)
+    ids = {None: set(), "g": set()}
+    for r in got.collect():
+        ids[r.g].add(r.id)
+    assert ids == {None: set(range(100)), "g": set(range(100, 1334))}

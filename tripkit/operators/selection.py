@@ -163,6 +163,46 @@ def seeded_order(*ids: str, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(i) for i in ids]), F.lit(2**32))
 
 
+SLICE_ROWS = 500_000  # rows of one group that a rank may sort in one task
+
+
+def _ranked(rows: DataFrame, counts: DataFrame, by: list[str], part: str, order: list[str | Column], name: str, slice_rows: int) -> DataFrame:
+    """Rank of each row inside its group, from counts per (group, slice).
+
+    ``part`` numbers slices that follow ``order``; ``counts`` has ``by``, ``part``, ``_c`` (rows) and ``_before`` (rows in earlier slices), and only rows of
+    its slices are returned. A slice of more than ``slice_rows`` rows, as when most rows share a time stamp, is cut at quantiles of
+    the whole order, tie-breaks included: its rows are ranged over as many parts as its size needs and saved, so that the parts stay
+    as they are counted.
+    """
+    keys = [*by, part]
+    most, crowd = counts.agg(F.max("_c"), F.sum(F.when(F.col("_c") > slice_rows, F.col("_c")))).first()
+    plain = counts.withColumn("_sub", F.lit(0))
+    if (most or 0) <= slice_rows:
+        cut = _matches(rows, plain.drop("_c"), keys)
+    else:
+        crowded = counts.where(F.col("_c") > slice_rows).select(*keys, F.col("_before").alias("_base"))
+        ordered = _matches(rows, crowded, keys).withColumns({f"_k{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(order)})
+        parts = -(-2 * crowd // slice_rows)
+        ranged = ordered.repartitionByRange(parts, *keys, *[f"_k{i}" for i in range(len(order))]).withColumn("_sub", F.spark_partition_id())
+        ranged = saved(rows.sparkSession, ranged.drop(*[f"_k{i}" for i in range(len(order))]), "crowded-slices")
+        sizes = ranged.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_n"), F.first("_base").alias("_base"))
+        upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_sub"))
+        starts = sizes.select(*keys, "_sub", (F.col("_base") + upto - F.col("_n")).alias("_before"))
+        extra = [c for c in counts.columns if c not in (*keys, "_c", "_before")]
+        starts = _matches(starts, counts.select(*keys, *extra), keys)
+        sorted_out = _matches(ranged.drop("_base"), starts, [*keys, "_sub"])
+        cut = _matches(rows, plain.where(F.col("_c") <= slice_rows).drop("_c"), keys).unionByName(sorted_out)
+    rank = F.row_number().over(Window.partitionBy(*keys, "_sub").orderBy(*order))
+    return cut.withColumn(name, (rank + F.col("_before")).cast("bigint")).drop("_sub", "_before")
+
+
+def _slice_counts(rows: DataFrame, by: list[str], part: str) -> DataFrame:
+    """Saved rows per slice, and rows in earlier slices of the group: one entry per slice, whatever the number of rows."""
+    sizes = rows.groupBy(*by, part).agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy(*by).orderBy(part)) - F.col("_c")
+    return saved(rows.sparkSession, sizes.withColumn("_before", before), "slices")
+
+
 def sample_per_group(
     df: DataFrame,
     by: list[str],
@@ -171,29 +211,24 @@ def sample_per_group(
     order: Column,
     tie: list[str],
     buckets: int = 4096,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Keep the ``quota`` rows of each group with the smallest ``order`` in [0, 2**32).
 
     ``quota`` is a number, or a frame of the group keys plus a ``quota`` column. Rows are
-    counted per (group, slice of the order range); slices wholly below the quota are kept,
-    the slice that crosses it is ranked, later ones are dropped before any shuffle of rows.
+    counted per (group, slice of the order range); later slices are dropped before any shuffle of rows,
+    and a slice in which very many rows share their order is cut by ``tie`` as well.
     """
     width = 2**32 // buckets
     ordered = df.withColumn("_o", order.cast("bigint")).withColumn("_b", F.expr(f"_o div {width}").cast("int"))
-    slices = ordered.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    slices = slices.withColumn("_before", F.sum("_c").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_c"))
+    slices = _slice_counts(ordered, by, "_b")
     if isinstance(quota, DataFrame):
         slices = _matches(slices, quota.withColumnRenamed("quota", "_q"), by)
     else:
         slices = slices.withColumn("_q", F.lit(quota).cast("bigint"))
-    needed = slices.where(F.col("_before") < F.col("_q")).select(*by, "_b", "_before", "_q")
-    rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_o", *tie))
-    return (
-        _matches(ordered, needed, [*by, "_b"])
-        .withColumn("_rank", rank + F.col("_before"))
-        .where(F.col("_rank") <= F.col("_q"))
-        .drop("_o", "_b", "_before", "_q", "_rank")
-    )
+    needed = slices.where(F.col("_before") < F.col("_q"))
+    ranked = _ranked(ordered, needed, by, "_b", ["_o", *tie], "_rank", slice_rows or SLICE_ROWS)
+    return ranked.where(F.col("_rank") <= F.col("_q")).drop("_o", "_b", "_q", "_rank")
 
 
 def balanced_quota(df: DataFrame, batch: list[str], label: str, classes: list[str], cap: int | None = None) -> DataFrame:
@@ -231,25 +266,15 @@ def shuffle_rows(df: DataFrame, *ids: str, seed: int = 42) -> DataFrame:
     return df.orderBy(seeded_order(*ids, seed=seed), *ids)
 
 
-def numbered(df: DataFrame, key: str, order: list[str], bucket: Column, *, name: str = "seq") -> DataFrame:
+def numbered(df: DataFrame, key: str, order: list[str], bucket: Column, *, name: str = "seq", slice_rows: int | None = None) -> DataFrame:
     """Running number of each row inside its key, starting at 1.
 
     ``bucket`` must be monotone in the first order column (say, its day). Ranks are taken
-    inside (key, bucket) and shifted by the count of the key's earlier buckets.
+    inside (key, bucket) and shifted by the count of the key's earlier buckets; a crowded bucket is
+    cut further, down to single rows of one time stamp.
     """
     cut = df.withColumn("_bkt", bucket)
-    starts = (
-        cut.groupBy(key, "_bkt")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_before", F.sum("_c").over(Window.partitionBy(key).orderBy("_bkt")) - F.col("_c"))
-        .drop("_c")
-    )
-    rank = F.row_number().over(Window.partitionBy(key, "_bkt").orderBy(*order))
-    return (
-        _matches(cut, starts, [key, "_bkt"])
-        .withColumn(name, (rank + F.col("_before")).cast("bigint"))
-        .drop("_bkt", "_before")
-    )
+    return _ranked(cut, _slice_counts(cut, [key], "_bkt"), [key], "_bkt", order, name, slice_rows or SLICE_ROWS).drop("_bkt")
 
 
 def rolling_last_n(

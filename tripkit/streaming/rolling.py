@@ -1,15 +1,17 @@
 """Rolling statistics over the last N records of every key, batch and stream.
 
 A stream keeps, per key, the last N - 1 records and the number of records seen. Each
-micro-batch puts these in front of its new rows and runs the batch operator on both, so a
-busy key is split over tasks just as in a batch job. State is Parquet in three folders used
-in turn: a batch that is run again after a failure reads the same previous version and
-overwrites its own output.
+micro-batch puts those of its own keys in front of its new rows and runs the batch operator on both, so a
+busy key is split over tasks just as in a batch job. A batch writes the state of the keys it touched, and
+nothing of others: state is a handful of Parquet folders, each with the keys that some run of batches touched, and
+runs of equal length merge like the digits of a binary counter. A key is so rewritten a few times, not in every batch.
+A batch that is run again after a failure reads the same folders and overwrites its own output.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,6 +90,19 @@ def last_rows(rows: DataFrame, key: str, count: int) -> DataFrame:
     return near.where(F.col("seq") > F.col("_top") - count).drop("_key", "_top")
 
 
+STATE_BUCKETS = 64  # folders per run of batches; a batch reads those that its keys fall into
+
+
+def live_runs(batches: int) -> list[tuple[int, int]]:
+    """Level and number of the runs of batches that hold the state after so many batches: a run per binary digit, oldest first."""
+    runs, start = [], 0
+    for level in range(batches.bit_length() - 1, -1, -1):
+        if batches >> level & 1:
+            runs.append((level, start >> level))
+            start += 1 << level
+    return runs
+
+
 class RollingStream:
     """``foreachBatch`` function that keeps rolling state in ``folder``.
 
@@ -98,15 +113,36 @@ class RollingStream:
     def __init__(self, spec: RollingSpec, folder: str, output: str, emit=None):
         self.spec, self.folder, self.output, self.emit = spec, folder.rstrip("/"), output.rstrip("/"), emit
 
-    def _version(self, batch_id: int) -> str:
-        # Three folders in turn: a repeated batch still finds the version before it.
-        return f"{self.folder}/slot={batch_id % 3}"
+    def _place(self, run: tuple[int, int]) -> str:
+        # Three folders in turn per level: a run is overwritten only when no batch can need it again.
+        level, number = run
+        return f"{self.folder}/level={level}/slot={number % 3}"
+
+    def _bucket(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", F.pmod(F.xxhash64(self.spec.key), F.lit(STATE_BUCKETS)).cast("int"))
+
+    def state(self, spark, schema, runs: list[tuple[int, int]], buckets: list[int] | None = None) -> DataFrame:
+        """Rows of ``runs`` (``_bucket`` and ``_version`` besides ``schema``), for each key those of its latest version."""
+        kinds = f"{schema}, _version bigint, _bucket int"
+        found = [spark.read.schema(kinds).parquet(self._place(run)) for run in runs]
+        rows = reduce(lambda a, b: a.unionByName(b), found)
+        if buckets is not None:
+            rows = rows.where(F.col("_bucket").isin(buckets))
+        latest = rows.groupBy(F.col(self.spec.key).alias("_key")).agg(F.max("_version").alias("_latest"))
+        newest = F.col(self.spec.key).eqNullSafe(F.col("_key")) & (F.col("_version") == F.col("_latest"))
+        return rows.join(latest, newest).drop("_key", "_latest")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spec, spark = self.spec, batch.sparkSession
         fresh = numbered(_rows(batch, spec), spec.key, spec.order, _bucket(spec))
-        if batch_id > 0:
-            state = spark.read.schema(fresh.schema).parquet(self._version(batch_id - 1))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
+        before, after = live_runs(batch_id), live_runs(batch_id + 1)
+        if before:
+            keys = self._bucket(batch.select(spec.key).distinct())
+            touched = [r[0] for r in keys.select("_bucket").distinct().collect()]  # at most STATE_BUCKETS numbers
+            known = self.state(spark, schema, before, touched)
+            keys = keys.select(F.col(spec.key).alias("_key"))
+            state = known.join(keys, F.col(spec.key).eqNullSafe(F.col("_key")), "left_semi").drop("_version", "_bucket")
             seen = state.groupBy(F.col(spec.key).alias("_key")).agg(F.max("seq").alias("_seen"))
             fresh = (
                 fresh.join(seen, F.col(spec.key).eqNullSafe(F.col("_key")), "left")
@@ -125,8 +161,14 @@ class RollingStream:
         target = f"{self.output}/batch={batch_id}"
         results.write.mode("overwrite").parquet(target)
         # One row more than the window needs keeps the count of keys when size is 1.
-        keep = last_rows(everything.drop("_new"), spec.key, max(spec.size - 1, 1))
-        keep.write.mode("overwrite").parquet(self._version(batch_id))
+        keep = last_rows(everything.drop("_new"), spec.key, max(spec.size - 1, 1)).withColumn("_version", F.lit(batch_id).cast("bigint"))
+        keep = self._bucket(keep)
+        merged = [run for run in before if run not in after]
+        if merged:
+            older = self.state(spark, schema, merged)
+            own = keep.select(F.col(spec.key).alias("_key")).distinct()
+            keep = older.join(own, F.col(spec.key).eqNullSafe(F.col("_key")), "left_anti").unionByName(keep)
+        keep.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(self._place(after[-1]))
         everything.unpersist()
         if self.emit:
             self.emit(spark.read.parquet(target), batch_id)
