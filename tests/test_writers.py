@@ -1,5 +1,7 @@
 """Loads of one dataset, and classes and pivots that must not depend on caps and lists."""
 
+import pytest
+
 from tripkit.operators import analytics
 from tripkit.operators.metrics import majority_class
 from tripkit.plans.trips import classifier_frame
@@ -21,6 +23,35 @@ def test_loads_of_one_year_stay_side_by_side(spark, tmp_path):
     assert readers.read_partitioned(spark, root, 2023).count() == 31
 
 
+def test_a_load_written_again_leaves_no_year_behind(spark, tmp_path):
+    root = str(tmp_path / "trips")
+    rows = lambda *years: spark.createDataFrame([(y * 10 + i, y) for y in years for i in range(5)], "id int, year int")
+    writers.write_by_year(rows(2021, 2022, 2023), root, load="a", sources=["a1", "a2"])
+    writers.write_by_year(rows(2023), root, load="b", sources=["b1"])
+    writers.write_by_year(rows(2021, 2023), root, load="a", sources=["a1"])
+    count = lambda: {r.year: r["count"] for r in readers.read_partitioned(spark, root).groupBy("year").count().collect()}
+    assert count() == {2021: 5, 2023: 10}
+    with pytest.raises(ValueError):
+        writers.write_by_year(rows(2020), root, load="c", sources=["b1", "c1"])
+    writers.write_by_year(rows(2024), root, load="c", sources=["a2"])  # given up by load a
+    assert count() == {2021: 5, 2023: 10, 2024: 5}
+    assert readers.read_partitioned(spark, root, [2022]).count() == 0 and readers.read_partitioned(spark, root, 2024).count() == 5
+    assert len(readers.read_partitioned(spark, root, 2024).inputFiles()) <= len(readers.read_partitioned(spark, root).inputFiles()) // 2
+    assert writers.drop_superseded(spark, root) == 1 and writers.drop_superseded(spark, root) == 0
+    assert count() == {2021: 5, 2023: 10, 2024: 5}
+    writers.write_by_year(rows(), root, load="b")
+    assert count() == {2021: 5, 2023: 5, 2024: 5}
+
+
+def test_a_failed_write_leaves_the_load_as_it_was(spark, tmp_path):
+    root = str(tmp_path / "trips")
+    writers.write_by_year(spark.range(10).selectExpr("id", "2020 AS year"), root)
+    broken = spark.range(10).selectExpr("IF(id < 9, id, raise_error('broken')) AS id", "2020 AS year")
+    with pytest.raises(Exception, match="broken"):
+        writers.write_by_year(broken, root)
+    assert readers.read_partitioned(spark, root).count() == 10
+
+
 def test_a_cap_would_change_the_majority(spark):
     frame = lambda n: spark.range(n).selectExpr(
         "timestamp_ntz'2020-01-01 10:00:00' AS pickup_datetime", "timestamp_ntz'2020-01-01 10:30:00' AS dropoff_datetime",

@@ -81,11 +81,13 @@ def ingest(
 ) -> None:
     """Raw monthly files of one service to one Parquet dataset by year, next to what other calls wrote.
 
-    The set of file names is the load: the same call again replaces its own rows. Give a file to one set only.
+    The set of file names is the load: the same call again replaces its own rows, whatever years they are of now. A file
+    belongs to one set: a call with a file of another set is refused.
     """
     raw = read_drifted(spark, paths, raw_kinds(profile))
-    load = hashlib.sha256("\n".join(sorted(p.rsplit("/", 1)[-1] for p in paths)).encode()).hexdigest()[:16]
-    write_by_year(normalise(raw, zones, profile), f"{root}/{profile.folder}", load=load)
+    names = sorted(p.rsplit("/", 1)[-1] for p in paths)
+    load = hashlib.sha256("\n".join(names).encode()).hexdigest()[:16]
+    write_by_year(normalise(raw, zones, profile), f"{root}/{profile.folder}", load=load, sources=names)
 
 
 def clean(df: DataFrame, profile: ServiceProfile) -> tuple[DataFrame, DataFrame]:

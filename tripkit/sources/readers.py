@@ -10,7 +10,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,13 +128,47 @@ def read_drifted(
     return out
 
 
+# A dataset by year holds a folder per write and a folder of manifest entries, one per finished write.
+MANIFEST, VERSION = "_loads", "version"
+MANIFEST_SCHEMA = "load string, version string, at bigint, years array<string>, rows bigint, sources array<string>"
+
+
+def _entries(spark: SparkSession, root: str) -> list[Row]:
+    """The latest word on each write of a dataset: a row per write, without the rows of data."""
+    try:
+        found = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/{MANIFEST}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    emptied = F.struct((F.col("rows") == 0).alias("emptied"), "years", "rows", "sources")
+    once = found.groupBy("load", "version", "at").agg(F.max(emptied).alias("e"))
+    return once.select("load", "version", "at", "e.years", "e.rows", "e.sources").collect()
+
+
+def live_loads(spark: SparkSession, root: str) -> list[Row]:
+    """The newest finished write of each load: ``load``, ``version``, ``at``, ``years``, ``rows``, ``sources``."""
+    newest: dict[str, Row] = {}
+    for entry in sorted(_entries(spark, root), key=lambda e: (e.at, e.version)):
+        newest[entry.load] = entry
+    return list(newest.values())
+
+
 def read_partitioned(spark: SparkSession, root: str, year: int | list[int] | None = None) -> DataFrame:
-    """A dataset partitioned by year, all its loads; given years prune partitions before any file is opened."""
-    df = spark.read.parquet(root).drop("load")
-    if year is None:
-        return df
-    years = [year] if isinstance(year, int) else list(year)
-    return df.where(F.col("year").isin(*years))
+    """A dataset partitioned by year: the newest write of each load, and no other.
+
+    Given years leave out loads without them and prune partitions before any file is opened. A dataset without manifest is
+    read as it is.
+    """
+    years = None if year is None else [year] if isinstance(year, int) else list(year)
+    loads = live_loads(spark, root)
+    if loads:
+        filled = [entry for entry in loads if entry.rows] or loads
+        wanted = [entry for entry in filled if years is None or {str(y) for y in years} & set(entry.years)] or filled[:1]
+        df = spark.read.option("basePath", root).parquet(*[f"{root}/{VERSION}={entry.version}" for entry in wanted]).drop(VERSION)
+    else:
+        df = spark.read.parquet(root)
+    return df if years is None else df.where(F.col("year").isin(*years))
 
 
 def row_counts(services: dict[str, DataFrame]) -> DataFrame:

@@ -3,38 +3,56 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.sources.readers import list_files
+from tripkit.sources.readers import MANIFEST, MANIFEST_SCHEMA, VERSION, _entries, list_files, live_loads
 
 MAX_ROWS_PER_FILE = 2_000_000
 
 
-LOAD = "load"  # partition that tells one load's files from another's
-
-
 def write_by_year(
-    df: DataFrame, root: str, partition: str = "year", files_per_year: int | None = None, load: str = "all"
+    df: DataFrame, root: str, partition: str = "year", files_per_year: int | None = None, load: str = "all", sources: list[str] = (),
 ) -> None:
-    """Snappy Parquet partitioned by year and load; a load that is written again replaces only its own rows.
+    """Snappy Parquet partitioned by year, with a manifest that says which rows of which load count.
 
-    ``load`` names what the rows come from, such as a month. Rows of other loads stay, also in years that
-    both touch. Tasks write the years they hold, so nothing is shuffled and no year lands in one task.
+    ``load`` names what the rows come from, such as a month. A load that is written again replaces all its own rows, also
+    in years that it no longer holds, and no others. Each write goes to a folder of its own; the manifest entry that
+    names the folder is added last, so a failed write leaves what was there, and readers of `read_partitioned` never see
+    half a load. ``sources`` (such as file names) may belong to one load only: a write that holds a source of another load is refused
+    before anything is written. Tasks write the years they hold, so nothing is shuffled and no year lands in one task.
     ``files_per_year`` first spreads every year over that many tasks, for inputs of many small files.
     """
+    spark = df.sparkSession
+    taken = {source: entry.load for entry in live_loads(spark, root) if entry.load != load for source in entry.sources}
+    shared = sorted(set(sources) & set(taken))
+    if shared:
+        raise ValueError(f"{shared[0]} already belongs to load {taken[shared[0]]}")
     if files_per_year:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != partition]), F.lit(files_per_year))
         df = df.withColumn("_salt", salt).repartition(partition, "_salt").drop("_salt")
-    (
-        df.withColumn(LOAD, F.lit(load)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .partitionBy(partition, LOAD)
-        .parquet(root)
-    )
+    version = uuid.uuid4().hex
+    folder = f"{root}/{VERSION}={version}"
+    writer = df.write.option("compression", "snappy").option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+    writer.partitionBy(partition).parquet(folder)
+    held = spark.read.schema(df.schema).parquet(folder).groupBy(partition).agg(F.count(F.lit(1)).alias("n"))
+    values = [(r[0], r[1]) for r in held.collect()]  # a row per year; counts come from footers
+    entry = (load, version, time.time_ns(), [str(v) for v, _ in values], sum(n for _, n in values), list(sources))
+    spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
+
+
+def drop_superseded(spark: SparkSession, root: str) -> int:
+    """Empty the folders of writes that later ones have replaced; returns how many. Run it when no reader uses an old state."""
+    kept = {entry.version for entry in live_loads(spark, root)}
+    old = [entry for entry in _entries(spark, root) if entry.version not in kept and entry.rows]
+    empty = spark.createDataFrame([], "nothing int")
+    for entry in old:
+        empty.write.mode("overwrite").parquet(f"{root}/{VERSION}={entry.version}")
+        done = (entry.load, entry.version, entry.at, [], 0, list(entry.sources))
+        spark.createDataFrame([done], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
+    return len(old)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -71,6 +71,23 @@ def incremental_write(spark, sf):
     return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
 
 
+@query("load_written_again", f"""
+WITH {RIDES}
+SELECT year, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM rides
+WHERE l_orderkey % 2 = 1 OR year <> (SELECT min(year) FROM rides) GROUP BY 1""")
+def load_written_again(spark, sf):
+    """Two loads; the first is written again without its first year, whose rows of that load must go."""
+    root = shared_dir(spark, "again")
+    rows = rides(spark, sf).select("year", "l_orderkey")
+    even, odd = rows.where("l_orderkey % 2 = 0"), rows.where("l_orderkey % 2 = 1")
+    wr.write_by_year(even, root, load="even", sources=["even"])
+    wr.write_by_year(odd, root, load="odd", sources=["odd"])
+    first = rows.agg(F.min("year").alias("first"))
+    wr.write_by_year(even.join(F.broadcast(first), F.col("year") != F.col("first")).drop("first"), root, load="even", sources=["even"])  # one row
+    back = rd.read_partitioned(spark, root)
+    return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
+
+
 @query("partition_pruned_scan", f"""
 WITH {RIDES} SELECT service, year, count(*) AS n FROM rides WHERE year IN (1997, 1999) GROUP BY 1, 2""")
 def partition_pruned_scan(spark, sf):
