@@ -7,17 +7,21 @@ probabilities are combined with column expressions, so scoring stays inside the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tripkit.operators.features import CATEGORICAL, CLASSES, HASH_SLOTS, NUMERIC
+from tripkit.session import shared_dir
 
+# Fixed value: the name under which results list all categories together.
 HASHED_LABEL = "Borough categories (hashed total)"
 
 
@@ -87,14 +91,38 @@ def score(model: ServiceModel, valid: DataFrame, label: str = "service") -> Data
     return shares.withColumn("prediction", ranked["c"])
 
 
+def split_gains(model: ServiceModel) -> DataFrame:
+    """A row per split of a tree model: ``class``, ``tree``, ``node``, ``feature``, rows below (``rows``) and total ``gain``, from the saved node tables.
+
+    The gain of a split is the fall of impurity it gives, times the rows it splits.
+    """
+    spark = SparkSession.getActiveSession()
+    frames = []
+    for name, one in model.models.items():
+        path = shared_dir(spark, "trees")
+        one.save(path)
+        node = F.col("nodeData")
+        frames.append(
+            spark.read.parquet(f"{path}/data").where(node["leftChild"] >= 0).select(
+                F.lit(name).alias("class"), F.col("treeID").cast("int").alias("tree"), node["id"].cast("int").alias("node"),
+                node["split"]["featureIndex"].cast("int").alias("feature"), node["rawCount"].cast("bigint").alias("rows"),
+                (node["gain"] * node["rawCount"]).alias("gain"),
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def feature_importance(model: ServiceModel) -> list[tuple[str, float]]:
     """Importance per numeric feature and of all hashed slots together, largest first.
 
-    Linear models: length of the coefficient vector over the classes. Trees: mean gain.
+    Linear models: length of the coefficient vector over the classes. Trees: total gain, summed over all splits of all trees.
     """
     parts = list(model.models.values())
     if model.trees:
-        weights = sum(m.featureImportances.toArray() for m in parts) / len(parts)
+        table = split_gains(model).groupBy("feature").agg(F.sum("gain").alias("gain"))
+        weights = np.zeros(parts[0].numFeatures)
+        for feature, gain in table.collect():  # a row per feature that splits
+            weights[feature] = gain
     else:
         weights = sum(m.coefficients.toArray() ** 2 for m in parts) ** 0.5
     named = [(name, float(weights[i])) for i, name in enumerate(NUMERIC)]
