@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -138,32 +138,60 @@ def predict_language(
     average: with n n-grams, counts c and probabilities p in the language, c.p is n |p|^2 on average, so the cosine is
     |p| n / |c|, at most 1. ``prototypes`` must be those of ``learn_prototypes`` then, whose lengths tell |p|.
     """
+    judge = _judge(prototypes, order, expected)
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in chunks(frames, "__text"):
+            yield frame.drop(columns="__text").join(judge(frame["__text"]))
+
+    selected = docs.select(*columns, F.col("text").cast("binary").alias("__text"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in selected.schema if f.name != "__text")
+    return selected.mapInPandas(run, f"{fields}, {_JUDGED}" + (", expected double" if expected else ""))
+
+
+_JUDGED = "lang_pred string, score double"
+
+
+def _judge(prototypes: dict[str, np.ndarray], order: int, expected: bool) -> Callable[[pd.Series], pd.DataFrame]:
+    """The function that judges UTF-8 texts, with the prototypes packed for the workers."""
     names = list(prototypes)
     dimensions = len(next(iter(prototypes.values()))) if names else DIMENSIONS
     table = np.array([prototypes[n] for n in names]).reshape(len(names), dimensions)
     norms = np.linalg.norm(table, axis=1)
     packed = pickle.dumps((table / np.maximum(norms, 1e-300)[:, None], norms))
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(texts: pd.Series) -> pd.DataFrame:
         unit, norms = pickle.loads(packed)
-        for frame in chunks(frames, "__text"):
-            out = frame.drop(columns="__text")
-            if not names:
-                yield out.assign(lang_pred=UNKNOWN, score=0.0, **({"expected": 0.0} if expected else {}))
-                continue
-            grams = Grams([None if t is None else t.decode() for t in frame["__text"]], order, dimensions)
-            vectors = grams.bundles().astype(float)
-            lengths = np.linalg.norm(vectors, axis=1)
-            cosine = (vectors @ unit.T) / np.maximum(lengths, 1e-300)[:, None]
-            best = cosine.argmax(axis=1)
-            score = np.clip(cosine[np.arange(len(best)), best], 0, 1)
-            if expected:
-                usual = norms[best] * np.bincount(grams.text, minlength=len(best)) / np.maximum(lengths, 1e-300)
-                out = out.assign(expected=np.where(grams.has_letter, np.minimum(usual, 1), 0.0))
-            yield out.assign(
-                lang_pred=np.where(grams.has_letter, np.array(names, object)[best], UNKNOWN), score=np.where(grams.has_letter, score, 0.0)
-            )
+        if not names:
+            return pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0, **({"expected": 0.0} if expected else {})}, index=texts.index)
+        grams = Grams([None if t is None else bytes(t).decode() for t in texts], order, dimensions)
+        vectors = grams.bundles().astype(float)
+        lengths = np.linalg.norm(vectors, axis=1)
+        cosine = (vectors @ unit.T) / np.maximum(lengths, 1e-300)[:, None]
+        best = cosine.argmax(axis=1)
+        score = np.clip(cosine[np.arange(len(best)), best], 0, 1)
+        out = {
+            "lang_pred": np.where(grams.has_letter, np.array(names, object)[best], UNKNOWN), "score": np.where(grams.has_letter, score, 0.0)
+        }
+        if expected:
+            usual = norms[best] * np.bincount(grams.text, minlength=len(best)) / np.maximum(lengths, 1e-300)
+            out["expected"] = np.where(grams.has_letter, np.minimum(usual, 1), 0.0)
+        return pd.DataFrame(out, index=texts.index)
+
+    return judge
+
+
+def language_column(text: Column, prototypes: dict[str, np.ndarray], order: int = ORDER) -> Column:
+    """``lang_pred``, ``score`` and ``expected`` of a text as a struct, as ``predict_language`` gives them.
+
+    Only the text goes to the workers, and only the answer comes back: other columns of the row stay where they are.
+    """
+    judge = _judge(prototypes, order, True)
 
-    selected = docs.select(*columns, F.col("text").cast("binary").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in selected.schema if f.name != "__text")
-    return selected.mapInPandas(run, f"{fields}, lang_pred string, score double" + (", expected double" if expected else ""))
+    @F.pandas_udf(f"{_JUDGED}, expected double")
+    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            parts = list(chunks([texts.to_frame("text")], "text"))
+            yield pd.concat([judge(part["text"]) for part in parts]) if parts else judge(texts)
+
+    return judged(text.cast("binary"))
