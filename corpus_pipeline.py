@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.llm.common import saved
-from tripkit.llm.langid import DIMENSIONS, UNKNOWN, learn_prototypes, predict_language
+from tripkit.llm.langid import DIMENSIONS, UNKNOWN, language_column, learn_prototypes
 from tripkit.llm.mixing import mix_sources, mixed_texts
 from tripkit.llm.neardup import without_near_duplicates
 from tripkit.llm.packing import pack_documents, public_tokenizer
@@ -30,9 +30,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     prototypes = learn_prototypes(docs)
     if not prototypes:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    judged = predict_language(docs, prototypes, columns=docs.columns, expected=True)
-    floor = F.col("expected") * MIN_SCORE - NOISE
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= floor)).select(*docs.columns)
+    judged = docs.withColumn("__judged", language_column(F.col("text"), prototypes))
+    language, score, expected = (F.col("__judged")[name] for name in ("lang_pred", "score", "expected"))
+    floor = expected * MIN_SCORE - NOISE
+    return judged.filter((language != UNKNOWN) & (score >= floor)).drop("__judged")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
