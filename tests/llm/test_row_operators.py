@@ -331,3 +331,32 @@ def test_mixed_texts_and_empty_tables(spark):
     assert pieces.count() == listed.count() == 0
     pieces, listed = mixing.mix_sources(spark, frame.filter("text is null"))
     assert pieces.count() == 0 and listed.first().target == 0
+
+
+def test_hostile_assignments_are_scanned_in_bounded_work():
+    import time
+
+    start = time.time()
+    doubling = 'a = "q7Zr9Lx2Wk"\n' + "a = a + a\n" * 2000 + "password = a\n"
+    base, spans = secret_scan.all_spans(doubling)
+    assert [s for s in spans if s[2] == "literal"] == [(5, 15, "literal")]
+    growing = "".join(f'k = k + "v{i}Xy{i * 7919}"\n' for i in range(20_000)) + "api_secret = k\n"
+    assert len(secret_scan.all_spans('k = "seed0Seed"\n' + growing)[1]) == 20_001
+    many = "".join(f'token_{i} = "Ab3{i:06d}xYz"\npassword: hunter{i:06d}x\n' for i in range(50_000))
+    base, spans = secret_scan.all_spans(many)
+    assert len(base) == 50_000 and len(spans) == 100_000
+    assert time.time() - start < 60
+
+
+def test_values_are_scored_as_their_joined_text():
+    def plain(value):
+        if len(value) < 8 or secret_scan.PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+            return 0.0
+        share = [n / len(value) for n in Counter(value).values()]
+        kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", r"\d", r"[^A-Za-z0-9]"))
+        return min(1.0, -sum(p * math.log2(p) for p in share) / 4) * (0.4 if kinds == 1 else 0.8 if kinds == 2 else 1.0)
+
+    for parts in (["abc", "DEF9", "$$x"], ["change", "_me"], ["xxxx", "xxxx"], ["a b", "c12345678"], ["short"], ["q7Zr9Lx2Wk"] * 40):
+        value = secret_scan.Value([(p, 0, len(p)) for p in parts])
+        nested = secret_scan.Value([secret_scan.Value([(p, 0, len(p))]) for p in parts])
+        assert value.score() == nested.score() == pytest.approx(plain("".join(parts)), abs=1e-12)

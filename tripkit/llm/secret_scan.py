@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +30,7 @@ NAME_WEIGHTS = {
 }
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|sample|dummy|todo|none|null|true|false|your[_-]?\w*|<.*>|\$\{.*\}|\{\{.*\}\}|%\w+%)$")
 LITERAL_CHARS, THRESHOLD = 8, 1.0
+HEAD_CHARS = 4096  # beginning of a value that is compared with placeholders
 
 # An operand: a quoted string, or a bare run of value characters.
 _OPERAND = re.compile(r"""[bruf]?"((?:[^"\\\n]|\\.)*)"|[bruf]?'((?:[^'\\\n]|\\.)*)'|([A-Za-z0-9_$@%+/~^!?*.:=-]+)""")
@@ -61,67 +64,100 @@ def name_score(name: str) -> float:
     return max(score, 1.0 if re.search(r"(?i)password|passwd|secret|api_?key|token", name) else 0.0)
 
 
-def literal_score(value: str) -> float:
-    """0 for short values, placeholders and prose; up to 1 for values that look random."""
-    if len(value) < LITERAL_CHARS or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
-        return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", r"\d", r"[^A-Za-z0-9]"))
-    return min(1.0, entropy / 4) * (0.4 if kinds == 1 else 0.8 if kinds == 2 else 1.0)
+class Value:
+    """What a name stands for: literals and earlier values, without joining them.
 
+    Known of the joined text are its length, how often it holds each character (rounded beyond 2 ** 53 characters) and its beginning, so
+    a value that doubles with every line stays small.
+    """
 
-def assignments(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
-    """(name, value, spans of the literals it is made of) of each assignment, in order.
+    __slots__ = ("parts", "length", "counts", "head")
+
+    def __init__(self, parts: list[Value | tuple[str, int, int]]):
+        self.parts = parts
+        if len(parts) == 1 and isinstance(parts[0], Value):
+            self.length, self.counts, self.head = parts[0].length, parts[0].counts, parts[0].head
+            return
+        self.length, self.counts, self.head = 0, Counter(), ""
+        for part in parts:
+            inner = isinstance(part, Value)
+            self.length += part.length if inner else len(part[0])
+            self.counts.update(part.counts if inner else part[0])
+            if len(self.head) < HEAD_CHARS:
+                self.head += (part.head if inner else part[0])[: HEAD_CHARS - len(self.head)]
+        if self.length > 1 << 53:
+            self.counts = Counter({c: max(1, n >> 10) for c, n in self.counts.items()})
+            self.length = self.counts.total()
+
+    def score(self) -> float:
+        """0 for short values, placeholders and prose; up to 1 for values that look random. Only the beginning tells a placeholder."""
+        if self.length < LITERAL_CHARS or PLACEHOLDER.match(self.head) or any(c.isspace() for c in self.counts):
+            return 0.0
+        entropy = -sum(n / self.length * math.log2(n / self.length) for n in self.counts.values())
+        present = "".join(self.counts)
+        kinds = sum(bool(re.search(p, present)) for p in ("[a-z]", "[A-Z]", r"\d", r"[^A-Za-z0-9]"))
+        return min(1.0, entropy / 4) * (0.4 if kinds == 1 else 0.8 if kinds == 2 else 1.0)
+
+
+def assignments(text: str) -> Iterator[tuple[str, Value]]:
+    """(name, value) of each assignment, in order.
 
     Understood are ``name = value``, ``name: value``, ``"name": "value"``, ``name := value`` and ``name => value`` with
     quoted or bare values, and sums of literals and names. A name stands for what was last assigned to it, so
-    constants reach the targets they are passed on to; a name without a value counts as bare text.
+    constants reach the targets they are passed on to; a name without a value counts as bare text. Names are read up to 128
+    characters, of longer ones the end.
     """
-    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    known: dict[str, Value] = {}
     at = 0
     while m := _TARGET.search(text, at):
         at = m.end()
-        value, spans, position, sums = [], [], m.end(), 0
+        parts, position, sums = [], m.end(), 0
         while operand := _OPERAND.match(text, position):
             group = operand.lastindex
             literal = operand[group]
-            bare = group == 3
-            if bare and _NAME.match(literal) and literal in known:
-                value.append(known[literal][0])
-                spans += known[literal][1]
+            if group == 3 and _NAME.match(literal) and literal in known:
+                parts.append(known[literal])
             else:
-                value.append(literal)
-                spans.append(operand.span(group))
+                parts.append((literal, *operand.span(group)))
             position = operand.end()
             step = _PLUS.match(text, position)
             if not step:
                 break
             position, sums = step.end(), sums + 1
-        if not value:
+        if not parts:
             continue
-        known[m[1]] = ("".join(value), spans)
-        yield m[1], known[m[1]][0], spans
+        known[m[1]] = Value(parts)
+        yield m[1], known[m[1]]
         # A bare value may itself hold an assignment (a=b=c), a quoted one is passed over.
         at = max(at, position) if sums or text[m.end() : m.end() + 1] in "\"'bruf" else at
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
-    """Spans of literals whose target name and shape together reach the threshold."""
+    """Spans of literals whose target name and shape together reach the threshold. Each value is opened once."""
     if not _SIGN.search(text):
         return []
-    found = set()
-    for name, value, spans in assignments(text):
+    found, opened, held = set(), set(), []
+    for name, value in assignments(text):
         weight = name_score(name)
-        if weight and weight + literal_score(value) * 1.0 >= THRESHOLD + 0.5 and literal_score(value) > 0:
-            found.update((a, b, "literal") for a, b in spans if b > a)
-    return sorted(found)
+        if weight and (score := value.score()) > 0 and weight + score >= THRESHOLD + 0.5:
+            todo = [value]
+            while todo:
+                one = todo.pop()
+                if not isinstance(one, Value):
+                    found.add((one[1], one[2], "literal"))
+                elif id(one) not in opened:
+                    opened.add(id(one))
+                    held.append(one)  # so that no later value gets its identity
+                    todo += one.parts
+    return sorted(s for s in found if s[1] > s[0])
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """The base spans, and these with the literals that no base span covers."""
     base = base_spans(text)
-    extra = [s for s in literal_spans(text) if not any(a <= s[0] and s[1] <= b for a, b, _ in base)]
+    starts, reach = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
+    covered = lambda a, b: (i := bisect_right(starts, a)) > 0 and reach[i - 1] >= b
+    extra = [s for s in literal_spans(text) if not covered(s[0], s[1])]
     return base, sorted(base + extra, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
