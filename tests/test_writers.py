@@ -2,7 +2,9 @@
 
 import pytest
 
-from tripkit.operators import analytics
+from pyspark.sql import functions as F
+
+from tripkit.operators import analytics, sketches
 from tripkit.operators.metrics import majority_class
 from tripkit.plans.trips import classifier_frame
 from tripkit.sources import readers, writers
@@ -67,3 +69,18 @@ def test_pivots_show_all_that_occurs(spark):
     assert set(analytics.borough_share_matrix(shares).columns) == {"service", "A", "new"}
     operators = spark.createDataFrame([("d", "Uber", 0.5), ("d", "Other", 0.5)], "date string, operator string, share double")
     assert analytics.pivot_operator_share(operators).columns == ["date", "Other", "Uber"]
+
+
+def test_stored_sketches_merge_over_loads(spark, tmp_path):
+    root = str(tmp_path / "sketches")
+    rows = spark.range(30_000).selectExpr("id", "2020 + id % 2 AS year", "IF(id % 10 = 0, NULL, IF(id % 11 = 0, double('NaN'), id / 7)) AS v", "CAST(NULL AS DOUBLE) AS none")
+    values = {"v": F.col("v"), "none": F.col("none")}
+    for load in (0, 1, 2, 0):
+        sketches.store_sketches(rows.where(f"id % 3 = {load}"), values, root, load=str(load))
+    for by in (["year"], []):
+        for q in (0.1, 0.5, 0.9):
+            got = {r[0] if by else None: r for r in sketches.stored_quantiles(spark, root, ["v", "none"], by, q).collect()}
+            for key, r in got.items():
+                known = sorted(x.v for x in rows.where("v IS NOT NULL AND NOT isnan(v)").collect() if key in (None, x.year))
+                assert r.v_rows == len(known) and r.none_rows == 0 and r.none is None
+                assert abs(sum(x < r.v for x in known) / len(known) - q) < 0.005

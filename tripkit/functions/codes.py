@@ -15,10 +15,10 @@ VENDOR_WORDS = {"CMT": 1, "DDS": 2, "VTS": 2}
 VENDOR_IDS = (1, 2, 6, 7)
 RATE_CODES = (1, 2, 3, 4, 5, 6, 99)
 PAYMENT_WORDS = {
-    "credit": 1, "cre": 1, "crd": 1,
-    "cash": 2, "cas": 2, "csh": 2,
-    "no charge": 3, "noc": 3, "no": 3,
-    "dispute": 4, "dis": 4,
+    "credit": 1, "crd": 1, "cre": 1,
+    "cash": 2, "csh": 2, "cas": 2,
+    "noc": 3, "no charge": 3, "no": 3,
+    "dis": 4, "dispute": 4,
     "na": 5,
 }
 PAYMENT_IDS = (0, 1, 2, 3, 4, 5, 6)

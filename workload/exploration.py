@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tripkit.functions import codes
 from tripkit.operators import analytics as a
+from tripkit.operators import sketches as sk
 from tripkit.operators.quality import keep_clean, valid_distance, valid_timestamps
 from tripkit.schemas import SERVICES
+from tripkit.session import shared_dir
 from workload.registry import query
 from workload.views import RIDES, TRIPS, rides, table, trips
 
@@ -90,6 +92,24 @@ def approximate_median_bound(spark, sf):
     return ranks.select("year", "rows", ((F.col("below") <= middle + slack) & (F.col("upto") >= middle - slack)).alias("within_bound"))
 
 
+@query("stored_median_bound", f"""
+WITH {RIDES} SELECT year, count(fare_amount) AS rows, true AS within_bound FROM rides GROUP BY 1""")
+def stored_median_bound(spark, sf):
+    """Medians per year merged from the sketches of three loads, one of them written twice: ranks within 0.5 % of the middle."""
+    root, r = shared_dir(spark, "sketches"), rides(spark, sf)
+    for i in (0, 1, 2, 1):
+        part = r.where(F.pmod("l_orderkey", F.lit(3)) == i)
+        sk.store_sketches(part, {"fare": F.col("fare_amount")}, root, load=f"load-{i}", sources=[f"part-{i}"])
+    found = sk.stored_quantiles(spark, root, ["fare"]).withColumnRenamed("year", "_y")
+    fares = r.select("year", "fare_amount").where(F.col("fare_amount").isNotNull())
+    ranks = fares.join(found, F.col("year") == F.col("_y")).groupBy("year").agg(
+        F.max("fare_rows").alias("rows"), F.count_if(F.col("fare_amount") < F.col("fare")).alias("below"),
+        F.count_if(F.col("fare_amount") <= F.col("fare")).alias("upto"),
+    )
+    slack, middle = F.col("rows") * 0.005 + 1, F.col("rows") / 2
+    return ranks.select("year", "rows", ((F.col("below") <= middle + slack) & (F.col("upto") >= middle - slack)).alias("within_bound"))
+
+
 @query("tip_percentage", f"""
 WITH {RIDES}, s AS (
   SELECT avg(CASE WHEN tip_amount > 0 THEN 1.0 ELSE 0.0 END) * 100 AS p FROM rides)
