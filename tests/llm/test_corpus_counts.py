@@ -21,6 +21,7 @@ def small(request, monkeypatch):
     """Once with the usual sizes, once with many batches and shards."""
     if request.param:
         monkeypatch.setattr(batches, "BATCH_BYTES", request.param)
+        monkeypatch.setattr(batches, "MAX_BUCKETS", 5)  # more batches than buckets
         monkeypatch.setattr(batches, "SHARD_BYTES", 10 * request.param)
 
 

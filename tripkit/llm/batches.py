@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tripkit.session import shared_dir
 
 BATCH_BYTES, SHARD_BYTES = 4 << 20, 8 << 20
+MAX_BUCKETS = 50_000  # several batches share a bucket beyond it: Spark takes no more than 100,000
 SPARE_BITS = 18  # a key shares its hash with another of the corpus with a chance below 2 ** -SPARE_BITS
 ANSWERS = "batch long, shard int, answers binary"
 
@@ -78,7 +79,7 @@ def save_batched(spark: SparkSession, docs: DataFrame, purpose: str) -> Batched:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema)
     name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
-    buckets = int(max(1, -(-(size + rows) // BATCH_BYTES)))
+    buckets = int(min(MAX_BUCKETS, max(1, -(-(size + rows) // BATCH_BYTES))))
     carried.mapInPandas(number, f"{fields}, batch long").write.bucketBy(buckets, "batch").option(
         "path", shared_dir(spark, purpose)
     ).saveAsTable(name)
