@@ -22,6 +22,7 @@ from tripkit.llm.common import saved
 
 BLOCK_ROWS = 1 << 14  # vectors below one tree
 LEAF_ROWS = 64  # at most so many parts in a leaf
+_FIRST_LOOK, _HARDLY = 2, 0.9  # from this depth on, two depths that keep more than this share of the pairs end the walk
 _EXACT = 1 << 53  # whole numbers below it are exact as doubles, so that leaves can be compared by matrix products
 
 
@@ -87,7 +88,11 @@ class Walked(NamedTuple):
 
 
 def nearest_entries(points: np.ndarray, leaf: Level, entries: np.ndarray) -> Walked:
-    """The nearest entry of each ordered point by squared distance, the first of several equally near ones."""
+    """The nearest entry of each ordered point by squared distance, the first of several equally near ones.
+
+    Where the parts have no clusters, boxes overlap all entries and no bound can help: the walk then ends after a few depths, and its
+    nodes are compared with the entries they have left, so that it costs little more than comparing all at once.
+    """
     count, width = entries.shape
     order, starts = ordered(entries, 1)
     tree = levels(leaves(entries[order], starts))
@@ -95,7 +100,7 @@ def nearest_entries(points: np.ndarray, leaf: Level, entries: np.ndarray) -> Wal
     chosen = np.full(len(points), -1, np.int64)
     counts, sums = np.zeros(count, np.int64), np.zeros((count, width), np.int64)
     nodes, others = np.zeros(1, np.int64), np.zeros(1, np.int64)  # pairs of nodes that may matter, by node
-    deepest = max(len(blocks), len(tree)) - 1
+    deepest, idle = max(len(blocks), len(tree)) - 1, 0
     for depth in range(deepest + 1):
         here, there = blocks[min(depth, len(blocks) - 1)], tree[min(depth, len(tree) - 1)]
         if depth:
@@ -123,6 +128,9 @@ def nearest_entries(points: np.ndarray, leaf: Level, entries: np.ndarray) -> Wal
             most = (favourite**2 - rival**2).sum(axis=1) + np.where(apart > 0, apart * high, apart * low).sum(axis=1)
             keep &= (most >= 0) | (entry == np.repeat(entry[best], sizes))
         nodes, others = nodes[keep], others[keep]
+        idle = idle + 1 if depth >= _FIRST_LOOK and keep.mean() > _HARDLY else 0
+        if idle == 2 and not single:
+            break  # the bounds rule out hardly anything here: compare at this depth, with larger products
         if single:
             begins = np.flatnonzero(np.diff(nodes, prepend=-1))
             sizes = np.diff(np.append(begins, len(nodes)))
@@ -141,11 +149,10 @@ def nearest_entries(points: np.ndarray, leaf: Level, entries: np.ndarray) -> Wal
     if len(nodes):
         largest = max(int(np.abs(points).max(initial=0)), int(np.abs(entries).max(initial=0)))
         kind = np.float64 if 4 * max(width, 1) * largest**2 < _EXACT else np.int64
-        here, there = blocks[-1], tree[-1]
         norms, doubled = (entries**2).sum(axis=1).astype(kind), (2 * entries).astype(kind)
         begins = np.flatnonzero(np.diff(nodes, prepend=-1)).tolist()
         for a, b in zip(begins, [*begins[1:], len(nodes)]):
-            left = np.sort(order[there.starts[others[a:b]]])
+            left = np.sort(np.concatenate([order[there.starts[o] : there.starts[o + 1]] for o in others[a:b].tolist()]))
             part = slice(here.starts[nodes[a]], here.starts[nodes[a] + 1])
             chosen[part] = left[(norms[left] - points[part].astype(kind) @ doubled[left].T).argmin(axis=1)]
             compared += len(left) * (part.stop - part.start)
