@@ -71,23 +71,32 @@ class Value:
     a value that doubles with every line stays small.
     """
 
-    __slots__ = ("parts", "length", "counts", "head")
+    __slots__ = ("parts", "length", "_counts", "head")
 
     def __init__(self, parts: list[Value | tuple[str, int, int]]):
         self.parts = parts
         if len(parts) == 1 and isinstance(parts[0], Value):
-            self.length, self.counts, self.head = parts[0].length, parts[0].counts, parts[0].head
+            self.length, self._counts, self.head = parts[0].length, parts[0].counts, parts[0].head
             return
-        self.length, self.counts, self.head = 0, Counter(), ""
+        if len(parts) == 1:  # a literal is counted when it is needed
+            self.length, self._counts, self.head = len(parts[0][0]), None, parts[0][0][:HEAD_CHARS]
+            return
+        self.length, self._counts, self.head = 0, Counter(), ""
         for part in parts:
             inner = isinstance(part, Value)
             self.length += part.length if inner else len(part[0])
-            self.counts.update(part.counts if inner else part[0])
+            self._counts.update(part.counts if inner else part[0])
             if len(self.head) < HEAD_CHARS:
                 self.head += (part.head if inner else part[0])[: HEAD_CHARS - len(self.head)]
         if self.length > 1 << 53:
-            self.counts = Counter({c: max(1, n >> 10) for c, n in self.counts.items()})
-            self.length = self.counts.total()
+            self._counts = Counter({c: max(1, n >> 10) for c, n in self._counts.items()})
+            self.length = self._counts.total()
+
+    @property
+    def counts(self) -> Counter:
+        if self._counts is None:
+            self._counts = Counter(self.parts[0][0])
+        return self._counts
 
     def score(self) -> float:
         """0 for short values, placeholders and prose; up to 1 for values that look random. Only the beginning tells a placeholder."""
