@@ -2,7 +2,7 @@
 
 import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -115,6 +115,47 @@ def test_packing_of_the_table(spark):
     pieces = queries.QUERIES["op7_pack_documents"](spark, SF).collect()
     groups = check_packing(pieces, {r.doc_id: r.text for r in docs.collect()})
     assert max(groups.values()) - min(groups.values()) <= 6 * 2048
+    check_tiers(pieces)
+
+
+def check_tiers(pieces):
+    """Each tier has windows of its own size, with ids of documents of that tier only; opened windows are closed by shorter ones."""
+    by_sequence = defaultdict(list)
+    for p in pieces:
+        by_sequence[p.sequence_id].append(p)
+    contexts = Counter(own[0].context for own in by_sequence.values())
+    assert all(contexts[size] > 1 for size in (2048, *packing.TIERS))
+    tail = set()
+    for size in sorted(contexts):  # less than a window of each tier is left: one sequence of each power of two
+        tail.add(max(s for s, own in by_sequence.items() if own[0].context == size))
+    halves = {p.doc_id for p in pieces if p.offset == 0 and p.length == 1024 and p.context == 1024}
+    for s, own in by_sequence.items():
+        size = own[0].context
+        if size == 2048 and len(own) > 1:
+            lead = next(p for p in own if p.offset == 0)
+            assert lead.length > 1024 and all(p.doc_tokens % 2048 <= 1024 or p.doc_id in halves for p in own if p is not lead)
+        elif size < 2048 and s not in tail and not (size == 1024 and len(own) == 1):
+            for p in own:
+                rest = p.doc_tokens % 2048
+                rest -= 1024 * (rest > 1024)
+                upper = -(-rest // 32) * 32 if p.doc_tokens % 2048 > 1024 else rest
+                assert min(t for t in packing.TIERS if t >= upper) == size
+
+
+def test_tiers_share_the_ids():
+    random = np.random.default_rng(3)
+    for trial in range(200):
+        total = {c: tuple(int(x) for x in random.integers(0, 10 ** (trial % 6) + 1, 3)) for c in range(-1, packing.CLASSES + 3) if random.random() < 0.7}
+        layout = packing.lay_out_tiers(total)
+        opened = set(layout.classes[layout.classes["opened"]]["class"])
+        ids = sum(v[2] for c, v in total.items() if c >= 0 and c not in opened)
+        assert layout.gaps == sum(v[1] for c, v in total.items() if c in opened) <= packing.GAP_SHARE * ids
+        ends = [r.begin for r in layout.runs[1:]] + [ids]
+        at, sequence = layout.gaps, sum(v[0] for c, v in total.items() if c < packing.CLASSES)
+        for run, end in zip(layout.runs, ends):
+            assert run.begin == at and (end - at) % run.size == 0 and run.sequence >= sequence
+            at = end
+        assert at == (ids if layout.runs else layout.gaps)
 
 
 @pytest.mark.parametrize("block", [1 << 17, 700])

@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 import os
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -18,6 +20,7 @@ from tripkit.llm.common import chunks, saved
 
 WINDOW = 2048
 TIERS = [1024, 512, 256]  # the smallest that holds a document's remainder is its tier
+GAP_SHARE = 0.5  # at most this share of the shorter tiers' ids fills gaps of long windows
 END = 1  # the id after each document
 CLASSES = 32  # classes of remainders over half a window, by length
 FULL, LONG, SHORT = "full", "long", "short"
@@ -161,16 +164,81 @@ def _powers(count: int) -> list[int]:
     return [1 << b for b in range(count.bit_length() - 1, -1, -1) if count >> b & 1]
 
 
+class Run(NamedTuple):
+    """Windows of one ``size`` that follow each other in the fill stream from ``begin``, numbered from ``sequence``."""
+
+    begin: int
+    size: int
+    sequence: int
+
+
+class Layout(NamedTuple):
+    """Where the rows of each class go (a row per class), the ids that fill gaps, the runs of windows behind these, and the
+    first sequence and the context size of each kind of sequence."""
+
+    classes: pd.DataFrame
+    gaps: int
+    runs: list[Run]
+    kinds: list[tuple[int, int]]
+    sequences: int
+
+
+def lay_out_tiers(total: dict[int, tuple[int, int, int]]) -> Layout:
+    """``total``: rows, gaps and ids for the fill stream of each class.
+
+    The rests of windows that stay closed join the tier that holds them. Of each tier the same share of ids fills gaps; the
+    others are packed in whole windows of the tier's size, and what is too little for these makes falling powers of two.
+    """
+    of = lambda c: total.get(c, (0, 0, 0))
+    opened = _opened_classes(total)
+    split = [c for c in range(CLASSES) if c not in opened]
+    row_base, sequence = {-1: 0}, of(-1)[0]
+    kinds = [(0, WINDOW)]
+    for some, size in ((opened, WINDOW), (split, WINDOW // 2)):
+        kinds.append((sequence, size))
+        for c in some:
+            row_base[c], sequence = sequence, sequence + of(c)[0]
+    gap_base, gaps = {}, 0
+    for c in opened:
+        gap_base[c], gaps = gaps, gaps + of(c)[1]
+    tiers = {CLASSES + t: t for t in range(len(TIERS))} | {c: _tier((c + 1) * (WINDOW // 2) // CLASSES) for c in split}
+    fill_base, ids = {}, [0] * len(TIERS)
+    for c, t in tiers.items():
+        fill_base[c], ids[t] = ids[t], ids[t] + of(c)[2]
+    supply = sum(ids)
+    beyond = supply - gaps
+    own = [n * beyond // max(supply, 1) // size * size for n, size in zip(ids, TIERS)]
+    runs, position, own_at = [], supply - sum(own), []
+    for n, size in zip(own, TIERS):
+        kinds.append((sequence, size))
+        own_at.append(position)
+        runs.append(Run(position, size, sequence))
+        position, sequence = position + n, sequence + n // size
+    tail = []
+    for size in _powers(beyond - sum(own)):
+        kinds.append((sequence, size))
+        tail.append(Run(gaps + sum(r.size for r in tail), size, sequence))
+        sequence += 1
+    rest_at = [sum(ids[:t]) - sum(own[:t]) for t in range(len(TIERS))]
+    rows = [
+        (c, row_base.get(c, 0), gap_base.get(c, 0), fill_base.get(c, 0), c in opened, *((own[t], own_at[t], rest_at[t]) if (t := tiers.get(c)) is not None else (0, 0, 0)))
+        for c in range(-1, CLASSES + len(TIERS))
+    ]
+    columns = ["class", "rows_base", "gaps_base", "fills_base", "opened", "own", "own_at", "rest_at"]
+    return Layout(pd.DataFrame(rows, columns=columns), gaps, tail + runs, kinds, sequence)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, group_size: int = 64) -> DataFrame:
     """One row per piece of a document: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``,
     ``offset``, ``context`` (tokens of the sequence) and ``step_group``.
 
-    Full windows of a document are sequences of their own. A remainder over half a window opens one, and the gap behind it
-    is filled with shorter remainders, tier after tier, which are cut where a window ends. As many windows are opened,
-    longest remainders first, as the shorter tiers can fill; other long remainders give their first half as a sequence
-    of that context size and join the shorter tiers with the rest. What is left after the gaps forms further windows,
-    the last one falling powers of two. So every sequence has a power of two as length and none is padded. Step groups take
-    equal shares of each kind of sequence, and among opened windows, which stand in order of length, of each length.
+    Full windows of a document are sequences of their own. A remainder over half a window belongs to the longest tier: it
+    opens a window, and the gap behind it is filled with ids of the shorter tiers. As many windows are opened, longest
+    remainders first, as GAP_SHARE of the shorter tiers' ids can fill; other long remainders give their first half as a
+    sequence of that context size and the rest joins the tier that holds it. Each tier packs the ids that fill no gap in
+    windows of its own size, documents cut where a window ends. Less than a window of each tier is left, which makes
+    falling powers of two. So every sequence has a power of two as length and none is padded. Step groups take equal
+    shares of each kind of sequence, and among opened windows, which stand in order of length, of each length.
 
     ``docs``: ``doc_id``, ``text`` (null: empty); other columns are ignored; repeated rows are packed each. Positions come from
     running numbers of saved rows and sums per partition and class, so no task sorts or gathers a class.
@@ -184,33 +252,15 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, group_s
     ), "packing-sums")
     # A row per class: full windows, CLASSES lengths, three tiers.
     total = {r["class"]: (r["rows"], r["gaps"], r["fills"]) for r in per_part.groupBy("class").agg(*(F.sum(c).alias(c) for c in ("rows", "gaps", "fills"))).collect()}
-    zero = (0, 0, 0)
-    opened = _opened_classes(total)
-    gap_total = sum(total.get(c, zero)[1] for c in opened)
-    split = [c for c in range(CLASSES) if c not in opened]
-    row_base, gap_base, fill_base = {}, {}, {}
-    n_full = total.get(-1, zero)[0]
-    row_base[-1], at = 0, n_full
-    for c in opened:
-        row_base[c], at = at, at + total.get(c, zero)[0]
-    n_open = at - n_full
-    for c in split:
-        row_base[c], at = at, at + total.get(c, zero)[0]
-    first_chunk, position = at, 0
-    for c in opened:
-        gap_base[c], position = position, position + total.get(c, zero)[1]
-    position = 0
-    for c in [*range(CLASSES, CLASSES + len(TIERS)), *split]:
-        fill_base[c], position = position, position + total.get(c, zero)[2]
-    beyond = position - gap_total
-    tail = _powers(beyond % WINDOW)
-    bases = pd.DataFrame([(c, row_base.get(c, 0), gap_base.get(c, 0), fill_base.get(c, 0), c in opened) for c in range(-1, CLASSES + len(TIERS))],
-                         columns=["class", "row_base", "gap_base", "fill_base", "opened"])
-    bases = spark.createDataFrame(bases, "class int, row_base long, gap_base long, fill_base long, opened boolean")
+    layout = lay_out_tiers(total)
+    gap_total, runs, begins_of_runs = layout.gaps, layout.runs, [r.begin for r in layout.runs]
+    bases = spark.createDataFrame(
+        layout.classes, "class int, rows_base long, gaps_base long, fills_base long, opened boolean, own long, own_at long, rest_at long"
+    )
     earlier = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0)) + F.col(f"{c[:-1]}_base")
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0)) + F.col(f"{c}_base")
     offsets = per_part.join(F.broadcast(bases), "class").select(  # a row per class
-        "class", "part", "opened", before("rows").alias("rows_at"), before("gaps").alias("gaps_at"), before("fills").alias("fills_at")
+        "class", "part", "opened", "own", "own_at", "rest_at", before("rows").alias("rows_at"), before("gaps").alias("gaps_at"), before("fills").alias("fills_at")
     )
     placed = parts.join(offsets, ["class", "part"])
     number = F.col("rows_at") + F.col("number")
@@ -220,9 +270,14 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, group_s
         "doc_id", "start", length.cast("long").alias("length"), crc.alias("ids_crc32"), "doc_tokens", number.alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     half = WINDOW // 2
+    place = F.col("fills_at") + F.col("fill_before")
+    inside = F.greatest(F.lit(0), F.least(fill_ids, F.col("own") - place))  # ids that stay in windows of their tier
+    part = lambda skip, length, at: F.struct(skip.cast("long").alias("skip"), length.cast("long").alias("length"), at.alias("at"))
+    in_stream = F.filter(F.array(
+        part(F.lit(0), inside, F.col("own_at") + place), part(inside, fill_ids - inside, F.col("rest_at") + place + inside - F.col("own")),
+    ), lambda p: p["length"] > 0)
     fill = placed.filter((F.col("kind") == SHORT) | ((F.col("kind") == LONG) & ~F.col("opened"))).select(
-        "doc_id", F.when(F.col("kind") == LONG, F.col("start") + half).otherwise(F.col("start")).alias("start"), fill_ids.alias("length"),
-        "doc_tokens", (F.col("fills_at") + F.col("fill_before")).alias("at"), "ids",
+        "doc_id", F.when(F.col("kind") == LONG, F.col("start") + half).otherwise(F.col("start")).alias("start"), "doc_tokens", "ids", F.inline(in_stream)
     )
     gaps = placed.filter((F.col("kind") == LONG) & F.col("opened")).select(
         (F.col("gaps_at") + F.col("gap_before")).alias("at"), (WINDOW - F.col("length")).alias("length"), number.alias("sequence_id"), F.col("length").alias("offset")
@@ -237,59 +292,43 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, group_s
             begins = gaps["at"].to_numpy(np.int64)
             ends = begins + gaps["length"].to_numpy(np.int64)
             sequences, behind = gaps["sequence_id"].to_numpy(np.int64), gaps["offset"].to_numpy(np.int64)
-            for doc, start, size, total_ids, at, ids in zip(*(fills[c] for c in ("doc_id", "start", "length", "doc_tokens", "at", "ids"))):
+            for doc, start, skip, size, total_ids, at, ids in zip(*(fills[c] for c in ("doc_id", "start", "skip", "length", "doc_tokens", "at", "ids"))):
                 here, stop = max(at, low), min(at + size, low + _BLOCK)
                 while here < stop:
                     if here < gap_total:
                         g = int(np.searchsorted(begins, here, "right")) - 1
                         edge, sequence, offset = int(ends[g]), int(sequences[g]), int(behind[g] + here - begins[g])
                     else:
-                        edge, sequence, offset = _chunk(here - gap_total, beyond, tail)
-                        edge, sequence = edge + gap_total, sequence + first_chunk
-                    until = min(edge, stop)
-                    crc = zlib.crc32(ids[(here - at) * 4 : (until - at) * 4])
-                    rows.append((doc, start + here - at, until - here, crc, total_ids, sequence, offset))
+                        run = runs[bisect_right(begins_of_runs, here) - 1]
+                        window, offset = divmod(here - run.begin, run.size)
+                        edge, sequence = run.begin + (window + 1) * run.size, run.sequence + window
+                    until, shift = min(edge, stop), skip - at
+                    crc = zlib.crc32(ids[(here + shift) * 4 : (until + shift) * 4])
+                    rows.append((doc, start + here + shift, until - here, crc, total_ids, sequence, offset))
                     here = until
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
         return out
 
     filled = blocked(fill).groupBy("block").cogroup(blocked(gaps).groupBy("block")).applyInPandas(lay_out, PIECES.format(id=kind))
     pieces = leading.unionByName(filled)
-    n_chunks = beyond // WINDOW + len(tail)
-    groups = max(1, -(-(first_chunk + n_chunks) // group_size))
+    groups = max(1, -(-layout.sequences // group_size))
     sequence = F.col("sequence_id")
-    in_kind = (
-        F.when(sequence < n_full, sequence).when(sequence < n_full + n_open, sequence - n_full)
-        .when(sequence < first_chunk, sequence - n_full - n_open).otherwise(sequence - first_chunk)
-    )
-    context = F.when(sequence < n_full + n_open, WINDOW).when(sequence < first_chunk, half)
-    for k, size in enumerate(tail):
-        context = context.when(sequence == first_chunk + beyond // WINDOW + k, size)
-    return pieces.withColumns({"context": context.otherwise(WINDOW), "step_group": (in_kind % groups).cast("long")})
+    context = F.lit(WINDOW)
+    for first, size in layout.kinds[1:]:
+        context = F.when(sequence >= first, size).otherwise(context)
+    return pieces.withColumns({"context": context, "step_group": (sequence % groups).cast("long")})
 
 
 def _opened_classes(total: dict[int, tuple[int, int, int]]) -> list[int]:
-    """Classes of long remainders, longest first, whose gaps the shorter tiers and the other classes' rests can fill."""
+    """Classes of long remainders, longest first, whose gaps GAP_SHARE of the shorter tiers and of the other classes' rests can fill."""
     zero = (0, 0, 0)
     fill = sum(total.get(c, zero)[2] for c in range(CLASSES, CLASSES + len(TIERS)))
     rests = sum(total.get(c, zero)[2] for c in range(CLASSES))
     opened, gaps = [], 0
     for c in range(CLASSES - 1, -1, -1):
         _, gap, rest = total.get(c, zero)
-        if gaps + gap > fill + rests - rest:
+        if gaps + gap > GAP_SHARE * (fill + rests - rest):
             break
         opened, gaps, rests = [*opened, c], gaps + gap, rests - rest
     return opened
 
-
-def _chunk(position: int, total: int, tail: list[int]) -> tuple[int, int, int]:
-    """End, number and offset of the sequence at ``position`` of the ``total`` ids behind the gaps."""
-    whole = total // WINDOW
-    if position < whole * WINDOW:
-        return (position // WINDOW + 1) * WINDOW, position // WINDOW, position % WINDOW
-    begin = whole * WINDOW
-    for k, size in enumerate(tail):
-        if position < begin + size:
-            return begin + size, whole + k, position - begin
-        begin += size
-    raise ValueError("a position beyond the last id")
