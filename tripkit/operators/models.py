@@ -14,7 +14,7 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -81,12 +81,17 @@ def score(model: ServiceModel, valid: DataFrame, label: str = "service") -> Data
         named = one.copy({one.probabilityCol: f"_p{i}", one.rawPredictionCol: f"_r{i}", one.predictionCol: f"_h{i}"})
         df = named.transform(df)
     each = [F.get(vector_to_array(f"_p{i}"), F.lit(1)) for i in range(len(model.models))]
+    return class_shares(df, each, model.classes, [label])
+
+
+def class_shares(df: DataFrame, each: list[Column], classes: list[str], keep: list[str]) -> DataFrame:
+    """``keep``, a probability per class (``each`` scaled to sum 1; all zero: even shares) and the ``prediction``."""
     total = F.nullif(sum(each[1:], each[0]), F.lit(0.0))
     even = F.lit(1.0 / len(each))
-    shares = df.select(label, *[F.coalesce(p / total, even).alias(f"p_{c}") for p, c in zip(each, model.classes)])
+    shares = df.select(*keep, *[F.coalesce(p / total, even).alias(f"p_{c}") for p, c in zip(each, classes)])
     # Highest probability; equal ones go to the class listed first.
     ranked = F.array_max(
-        F.array(*[F.struct(F.col(f"p_{c}").alias("p"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(model.classes)])
+        F.array(*[F.struct(F.col(f"p_{c}").alias("p"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(classes)])
     )
     return shares.withColumn("prediction", ranked["c"])
 

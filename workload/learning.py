@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkit.operators import boosting as boost
 from tripkit.operators import features as ft
 from tripkit.operators import incremental as inc
 from tripkit.operators import metrics as mt
 from tripkit.operators import selection as sel
 from tripkit.operators.models import feature_importance, fit, linear_model, score, tree_model
-from tripkit.session import shared_dir
+from tripkit.session import saved, shared_dir
 from workload.registry import query
 from workload.views import RIDES, TRIPS, rides, table, trips
 
@@ -242,6 +243,19 @@ def incremental_classifier(spark, sf):
     return _sound(spark, inc.score_linear(model, valid))
 
 
+@query("boosted_classifier", _SOUND.replace("SELECT count(*) AS rows", "SELECT true AS gains_add_up, true AS gains_positive, count(*) AS rows"))
+def boosted_classifier(spark, sf):
+    """Trees added quarter by quarter at the library's settings; their gains, from the node tables, add up to those per feature."""
+    rows, valid = _training(spark, sf)
+    model = boost.train(rows.withColumn("quarter", F.ceil(F.col("month") / 3)), "quarter")
+    gains = saved(spark, boost.boosted_gains(model, spark), "boosted-gains")
+    whole, least = gains.agg(F.sum("gain"), F.min("gain")).first()
+    parts = boost.boosted_importance(gains).agg(F.sum("gain")).first()[0]
+    return _sound(spark, boost.score_boosted(model, valid)).withColumns(
+        {"gains_add_up": F.lit(abs(parts - whole) <= 1e-9 * whole), "gains_positive": F.lit(least > 0)}
+    )
+
+
 @query("linear_classifier", None)
 def linear_classifier(spark, sf):
     train, valid = _split(spark, sf)
