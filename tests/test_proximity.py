@@ -1,8 +1,10 @@
 import math
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripkit.operators.proximity import TimeWindow, closest_event, nearest_place, spacetime_join, within_distance
 
@@ -121,3 +123,27 @@ def test_spacetime_equals_brute_force(spark, semantics):
     elif semantics == "filter_after":
         want |= {(a[0], None) for a in points if a[0] not in {i for i, _ in near}}
     assert {(r[0], r[1]) for r in got} == want and len(got) == len(want)
+
+
+def test_listed_places_are_not_broadcast(spark):
+    """20,000 places are listed 180,000 times and more; Spark sees only the places."""
+    hour = F.timestamp_add("SECOND", (F.col("id") % 86_400).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    x, y = (F.col("id") * 7919 % 70_001).cast("double"), (F.col("id") * 6271 % 70_003).cast("double")
+    p = spark.range(500).select("id", x.alias("x"), y.alias("y"), hour.alias("at"))
+    q = spark.range(20_000).select(F.col("id").alias("pid"), x.alias("px"), y.alias("py"), hour.alias("start"))
+    window = TimeWindow("at", "start", 3600)
+    for semantics in ("left", "inner", "filter_after"):
+        got = spacetime_join(p, q, 5000.0, window, point=("x", "y"), place=("px", "py"), semantics=semantics)
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "_gx" not in "".join(re.findall(r"BroadcastHashJoin.*", plan))
+
+
+def test_filter_after_with_a_spot_just_out_of_reach(spark):
+    """Points at a radius and the next number beyond it; places without a time, points without a position."""
+    far = math.nextafter(100.0, 200.0)
+    points = [(1, 0.0, 0.0, BASE), (2, -(far - 100.0), 0.0, BASE), (3, None, 0.0, BASE), (4, 5000.0, 0.0, BASE), (5, 300.0, 0.0, BASE)]
+    p, q = frames(spark, points, [(7, 100.0, 0.0, BASE), (8, 4950.0, 0.0, None), (9, 350.0, 0.0, BASE + timedelta(days=2))])
+    got = spacetime_join(p, q, 100.0, TimeWindow("at", "start", 3600), point=("x", "y"), place=("px", "py"), semantics="filter_after")
+    assert got.columns == [*p.columns, *q.columns]
+    assert {(r["id"], r["pid"]) for r in got.collect()} == {(1, 7), (2, None), (3, None), (4, 8)}

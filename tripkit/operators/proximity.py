@@ -49,7 +49,8 @@ def within_distance(
     most once, through an equi-join on its own cell. The exact test is part of the join
     condition, so ``how="left"`` keeps every unmatched point. ``salts`` splits each cell's
     points into that many keys when one cell is known to be very hot; Spark's own skew
-    handling covers the usual cases.
+    handling covers the usual cases. Spark takes the listed places for as few as the places, so they are
+    merged, never broadcast: the driver would have to hold all of them.
     """
     (px, py), (qx, qy) = point, place
     left_keys = [
@@ -76,7 +77,19 @@ def within_distance(
         pairs.append(("_cs", "_gs"))
     left = points.select("*", *left_keys)
     condition = reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in pairs] + tests)
-    return left.join(right, condition, how).drop(*[name for pair in pairs for name in pair])
+    return left.join(right.hint("merge"), condition, how).drop(*[name for pair in pairs for name in pair])
+
+
+def _without_place(points: DataFrame, places: DataFrame, radius: float, *, point: tuple[str, str], place: tuple[str, str]) -> DataFrame:
+    """Points that have no place within ``radius``: their nearest one, by the same arithmetic, is farther or there is none.
+
+    A point meets a few places only, however many are near it.
+    """
+    (px, py), (qx, qy) = point, place
+    found = nearest_place(points, places, point=point, place=place, place_id=qx, carry={qx: "_nx", qy: "_ny"}, distance="_nd")
+    dx, dy = F.col(px) - F.col("_nx"), F.col(py) - F.col("_ny")
+    near = dx * dx + dy * dy <= F.lit(float(radius) ** 2)
+    return found.where(~F.coalesce(near, F.lit(False))).drop("_nx", "_ny", "_nd")
 
 
 def spacetime_join(
@@ -103,7 +116,7 @@ def spacetime_join(
     near = {"point": point, "place": place}
     timed = within_distance(points, places, radius, how="inner", time=time, **near)
     untimed = within_distance(points, places.where(F.col(time.place_time).isNull()), radius, how="inner", **near)
-    alone = within_distance(points, places, radius, how="left_anti", **near)
+    alone = _without_place(points, places, radius, **near)
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in places.schema]
     return timed.union(untimed).union(alone.select("*", *nulls))
 
