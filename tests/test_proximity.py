@@ -147,3 +147,32 @@ def test_filter_after_with_a_spot_just_out_of_reach(spark):
     got = spacetime_join(p, q, 100.0, TimeWindow("at", "start", 3600), point=("x", "y"), place=("px", "py"), semantics="filter_after")
     assert got.columns == [*p.columns, *q.columns]
     assert {(r["id"], r["pid"]) for r in got.collect()} == {(1, 7), (2, None), (3, None), (4, 8)}
+
+
+def test_places_are_listed_a_few_times(spark):
+    """A shuffled place is one row per cell it reaches: 2 per dimension on average, 8 with time, not 27."""
+    places = spark.range(3000).select(
+        F.col("id").alias("pid"), (F.col("id") * 7919 % 70_001 / 1.0).alias("px"), (F.col("id") * 6271 % 70_003 / 1.0).alias("py"),
+        F.timestamp_add("SECOND", (F.col("id") * 104_729 % 864_000).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("start"),
+    )
+    points = spark.createDataFrame([(1, 35_000.0, 35_000.0, BASE)], "id bigint, x double, y double, at timestamp_ntz")
+    joined = within_distance(points, places, 5000.0, point=("x", "y"), place=("px", "py"), how="inner", time=TimeWindow("at", "start", 3600))
+    listed = joined._jdf.queryExecution().analyzed()
+    while not listed.toString().startswith("Join"):
+        listed = listed.children().head()
+    side = listed.children().last()
+    rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, side).count()
+    assert 3000 * 7 < rows < 3000 * 9
+
+
+@pytest.mark.parametrize("radius", [0.001, 7.0, 1e6])
+def test_edges_of_cells(spark, radius):
+    """Points and places on the edges of cells and exactly a radius apart, near zero and far from it."""
+    spots = [base + k * radius / 2 for base in (0.0, -3e7, 1e7 + 0.1) for k in range(-6, 7)]
+    points = [(i, v, v / 2, BASE + timedelta(seconds=1800 * (i % 9))) for i, v in enumerate(spots)]
+    places = [(i, v, v / 2, BASE + timedelta(seconds=1800 * (i % 7))) for i, v in enumerate(spots)]
+    p, q = frames(spark, points, places)
+    near = lambda a, b: (a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2 <= radius**2 and abs((a[3] - b[3]).total_seconds()) <= 3600
+    got = within_distance(p, q, radius, point=("x", "y"), place=("px", "py"), how="inner", time=TimeWindow("at", "start", 3600)).select("id", "pid").collect()
+    want = {(a[0], b[0]) for a in points for b in places if near(a, b)}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)

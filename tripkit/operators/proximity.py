@@ -27,8 +27,12 @@ class TimeWindow:
         return int(round(self.seconds * 1_000_000))
 
 
-def _neighbours(index: Column) -> Column:
-    return F.explode(F.sequence(index - 1, index + 1))
+_CELL_REACHES = 2  # side of a cell in reaches: a place is listed in (1 + 2 / this) cells per dimension, on average
+
+
+def _touched(low: Column, high: Column, index) -> Column:
+    """A row per cell from that of ``low`` to that of ``high``."""
+    return F.explode(F.sequence(index(low), index(high)))
 
 
 def within_distance(
@@ -44,8 +48,8 @@ def within_distance(
 ) -> DataFrame:
     """All places within ``radius`` of each point, and inside the time window if given.
 
-    Space is cut into squares of side ``radius`` (and time into slices as long as the
-    window): a place is listed in its own and the adjacent cells, so each point meets it at
+    Space is cut into squares of twice the ``radius`` (and time into slices of twice the
+    window): a place is listed in the cells that its reach touches, so each point meets it at
     most once, through an equi-join on its own cell. The exact test is part of the join
     condition, so ``how="left"`` keeps every unmatched point. ``salts`` splits each cell's
     points into that many keys when one cell is known to be very hot; Spark's own skew
@@ -53,20 +57,23 @@ def within_distance(
     merged, never broadcast: the driver would have to hold all of them.
     """
     (px, py), (qx, qy) = point, place
+    cell = lambda value: grid_index(value, _CELL_REACHES * radius)
     left_keys = [
-        F.when(usable_point(F.col(px), F.col(py)), grid_index(F.col(c), radius)).alias(k)
-        for c, k in ((px, "_cx"), (py, "_cy"))
+        F.when(usable_point(F.col(px), F.col(py)), cell(F.col(c))).alias(k) for c, k in ((px, "_cx"), (py, "_cy"))
     ]
     right = places.where(usable_point(F.col(qx), F.col(qy)))
-    right = right.withColumn("_gx", _neighbours(grid_index(F.col(qx), radius)))
-    right = right.withColumn("_gy", _neighbours(grid_index(F.col(qy), radius)))
+    for c, k in ((qx, "_gx"), (qy, "_gy")):
+        # A little more than the radius, for what rounding may take away.
+        reach = F.lit(radius * (1 + 1e-9)) + F.least(F.abs(F.col(c)) * F.lit(1e-14), F.lit(float(radius)))
+        right = right.withColumn(k, _touched(F.col(c) - reach, F.col(c) + reach, cell))
     pairs = [("_cx", "_gx"), ("_cy", "_gy")]
     dx, dy = F.col(px) - F.col(qx), F.col(py) - F.col(qy)
     tests = [dx * dx + dy * dy <= F.lit(float(radius) ** 2)]
     if time is not None:
-        span = max(time.span, 1)
-        left_keys.append(F.floor(micros(F.col(time.point_time)) / F.lit(span)).alias("_ct"))
-        right = right.withColumn("_gt", _neighbours(F.floor(micros(F.col(time.place_time)) / F.lit(span))))
+        slice_us, at = F.lit(_CELL_REACHES * max(time.span, 1)), micros(F.col(time.place_time))
+        piece = lambda value: F.floor(value / slice_us)
+        left_keys.append(piece(micros(F.col(time.point_time))).alias("_ct"))
+        right = right.withColumn("_gt", _touched(at - F.lit(time.span), at + F.lit(time.span), piece))
         pairs.append(("_ct", "_gt"))
         gap = F.timestamp_diff("MICROSECOND", F.col(time.place_time), F.col(time.point_time))
         tests.append(F.abs(gap) <= F.lit(time.span))
