@@ -1,9 +1,11 @@
 """What several passes read is computed once: a counted column runs once per row, whatever the number of passes."""
 
+from datetime import datetime, timedelta
+
 import pytest
-from pyspark.sql import functions as F
 
 from tripkit.operators import features as ft
+from tripkit.sources import writers
 from workload import learning
 
 
@@ -14,6 +16,16 @@ def counted(spark, df, column):
     return df.withColumn(column, same(column)), calls
 
 
+@pytest.mark.parametrize("formats", [writers.FORMATS, ["csv", "json"], ["json", "orc", "csv"]])
+def test_formats(spark, tmp_path, formats):
+    rows = [(i, f"n{i % 7}", i / 3, datetime(2024, 1, 1) + timedelta(seconds=i)) for i in range(200)] + [(200, None, None, None)]
+    df, calls = counted(spark, spark.createDataFrame(rows, "id long, name string, x double, at timestamp_ntz"), "id")
+    frames = writers.write_formats(df, str(tmp_path / "formats"), formats)
+    assert list(frames) == list(formats) and calls.value == len(rows)
+    for frame in frames.values():
+        assert frame.columns == df.columns and sorted(map(tuple, frame.collect())) == rows
+
+
 @pytest.mark.parametrize("prepare", [learning._split, learning._training])
 def test_training_rows(spark, monkeypatch, prepare):
     row = F.col("id")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripkit.session import saved
 from tripkit.sources.readers import MANIFEST, MANIFEST_SCHEMA, VERSION, _entries, list_files, live_loads
 
 MAX_ROWS_PER_FILE = 2_000_000
@@ -97,18 +98,26 @@ def _writers(df: DataFrame) -> dict[str, tuple]:
 
 
 FORMATS = ["parquet", "orc", "json", "csv", "csv_gzip"]
+_TYPED = ("parquet", "orc")
 
 
 def write_formats(df: DataFrame, root: str, formats: list[str] = FORMATS) -> dict[str, DataFrame]:
-    """Write one frame in several formats; returns the read-back frame of each."""
-    spark, kinds = df.sparkSession, _writers(df)
-    frames = {}
-    for name in formats:
-        write, read = kinds[name]
+    """Write one frame in several formats; returns the read-back frame of each.
+
+    The frame is computed once: the first format that keeps its types is written from it, the others from what that one holds.
+    """
+    spark, frames = df.sparkSession, {}
+    first = next((name for name in formats if name in _TYPED), None)
+    if first is None and len(formats) > 1:
+        df = saved(spark, df, "formats")
+    for name in sorted(formats, key=lambda name: name != first):
+        write, read = _writers(df)[name]
         path = f"{root}/{name}"
         write(path)
         frames[name] = read(spark.read, path)
-    return frames
+        if name == first:
+            df = frames[name]
+    return {name: frames[name] for name in formats}
 
 
 def time_reads(frames: dict[str, DataFrame], root: str, repeats: int = 10) -> DataFrame:
