@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripkit.functions.codes import flow_label, operator_name
 from tripkit.functions.temporal import month_start
 from tripkit.operators.selection import approximate_median, exact_median, exact_medians, top_k, top_k_per_group
+from tripkit.session import saved
 
 
 def _count(df: DataFrame, keys: list[str | Column], name: str = "num_trips") -> DataFrame:
@@ -109,8 +110,12 @@ def median_duration(
     return median_of(timed, "_seconds", by, name=name, approximate=approximate)
 
 
+def _has_tip(tip: str) -> Column:
+    return F.coalesce(F.nanvl(F.col(tip), F.lit(0.0)) > 0, F.lit(False))
+
+
 def _tipped(tip: str) -> Column:
-    return F.avg(F.coalesce(F.nanvl(F.col(tip), F.lit(0.0)) > 0, F.lit(False)).cast("double")) * 100.0
+    return F.avg(_has_tip(tip).cast("double")) * 100.0
 
 
 def tip_percentage(df: DataFrame, tip: str = "tip_amount") -> DataFrame:
@@ -227,7 +232,10 @@ def service_summary(
     dropoff: str = "dropoff_datetime",
     approximate: bool = False,
 ) -> DataFrame:
-    """Per service: percent tipped, median tip, median fare, median minutes; null where unknown."""
+    """Per service: percent tipped, median tip, median fare, median minutes; null where unknown.
+
+    For exact medians, what is measured is saved once; all passes read that.
+    """
     by = [service]
     seconds = F.timestamp_diff("MICROSECOND", F.col(pickup), F.col(dropoff)) / F.lit(1e6)
     measures = {
@@ -235,12 +243,16 @@ def service_summary(
         "median_fare": F.when(_known(fare) > 0, F.col(fare)),
         "_seconds": F.when(F.col(dropoff) > F.col(pickup), seconds),
     }
-    tipped = _tipped(tip).alias("tipped_pct")
     if approximate:
+        tipped = _tipped(tip).alias("tipped_pct")
         middle = [F.percentile_approx(c.cast("double"), 0.5, 10000).alias(name) for name, c in measures.items()]
         joined = df.groupBy(*by).agg(tipped, *middle)
     else:
-        joined = df.groupBy(*by).agg(tipped).join(exact_medians(df, measures, by), by, "left")
+        measured = df.select(*by, _has_tip(tip).alias("_tipped"), *[c.cast("double").alias(name) for name, c in measures.items()])
+        measured = saved(df.sparkSession, measured, "measures")
+        tipped = (F.avg(F.col("_tipped").cast("double")) * 100.0).alias("tipped_pct")
+        medians = exact_medians(measured, {name: F.col(name) for name in measures}, by, stored=True)
+        joined = measured.groupBy(*by).agg(tipped).join(medians, by, "left")
     return joined.withColumn("median_duration_min", F.col("_seconds") / 60.0).drop("_seconds")
 
 

@@ -67,9 +67,11 @@ def _histogram(rows: DataFrame, by: list[str], bucket: Column, ranks: list[Colum
     )
 
 
-def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name: str, sorted_rows: int | None = None) -> DataFrame:
+def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name: str, sorted_rows: int | None = None, stored: bool = False) -> DataFrame:
     """Interpolated median per group, exact at any size; null and NaN are ignored.
 
+    Groups and values are saved first, as every pass reads them, unless ``df`` only reads what is ``stored`` already.
+
     A histogram that narrows: the first pass over the rows counts buckets of equal relative width per group, which is
     combined before the shuffle. The bucket with the middle ranks is cut into equal parts and counted again, in passes over the
     rows inside it, until it holds at most ``sorted_rows`` rows or one value. Only those rows are sorted, and a group needs a
@@ -80,6 +82,8 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None, *, name
     spark, limit = df.sparkSession, sorted_rows or SORTED_ROWS
     v = F.col(value).cast("double")
     rows = df.select(*by, (v + 0.0).alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if not stored:
+        rows = saved(spark, rows, "median-rows")
     none = [F.lit(None).cast("bigint").alias(rank) for rank in ("_first", "_second")]
     relative = F.floor(F.signum("_v") * F.ln(F.abs(F.col("_v")) + 1.0) * F.lit(float(_COARSE))).cast("bigint")
     unbounded = F.when(F.col("_v") == float("inf"), 2**40).when(F.col("_v") == float("-inf"), -(2**40)).otherwise(relative)
@@ -123,14 +127,18 @@ def _inside(rows: DataFrame, bounds: DataFrame, by: list[str], groups: int) -> D
     return rows.join(F.broadcast(held) if groups <= _SMALL_TABLE else held, match).drop(*[f"_r_{k}" for k in by])
 
 
-def exact_medians(df: DataFrame, measures: dict[str, Column], by: list[str]) -> DataFrame:
+def exact_medians(df: DataFrame, measures: dict[str, Column], by: list[str], *, stored: bool = False) -> DataFrame:
     """Several medians per group from the same scans; a row counts for a measure where it is not null.
 
     The measures are stacked into one long column, so they share every pass. A group appears if any of its measures has a value.
+    They are saved before that, unless ``df`` only reads what is ``stored`` already.
     """
+    if not stored:
+        df = saved(df.sparkSession, df.select(*by, *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(measures.values())]), "median-rows")
+        measures = {name: F.col(f"_x{i}") for i, name in enumerate(measures)}
     entries = F.array(*[F.struct(F.lit(name).alias("_m"), c.cast("double").alias("_x")) for name, c in measures.items()])
     stacked = df.select(*by, F.inline(entries)).where(F.col("_x").isNotNull())
-    medians = exact_median(stacked, "_x", [*by, "_m"], name="_median")
+    medians = exact_median(stacked, "_x", [*by, "_m"], name="_median", stored=True)
     return medians.groupBy(*by).agg(
         *[F.max(F.when(F.col("_m") == name, F.col("_median"))).alias(name) for name in measures]
     )
