@@ -113,6 +113,24 @@ def test_links_beyond_the_leader_of_a_bucket(spark, monkeypatch, block):
     assert got == naive_classes(docs) and len(set(got.values())) > 1
 
 
+def test_shingles_stay_with_their_batches(spark, small, monkeypatch):
+    """Pairs come to the shingles of a row; only those of leaders move. Before, joins shuffled all shingles more than once."""
+    plans, real = {}, neardup.saved
+
+    def seen(session, frame, purpose):
+        plans[purpose] = frame._jdf.queryExecution().executedPlan().toString()
+        return real(session, frame, purpose)
+
+    monkeypatch.setattr(neardup, "saved", seen)
+    docs = {i: t for i, t in variants().items() if i > 100}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    got = neardup.near_duplicates(spark, frame).collect()
+    assert {r.doc_id: r.class_id for r in got} == naive_classes(docs)
+    assert "FlatMapCoGroupsInPandas" in plans["dedup-judged"] and "Join" not in plans["dedup-judged"]
+    weights = np.random.default_rng(1).uniform(0, 9, 100).astype(np.float32)
+    assert np.array_equal(neardup.unpack_weights(neardup.pack_weights(weights)), weights)
+
+
 def test_near_duplicates_of_the_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.QUERIES["op9_near_duplicates"](spark, SF).collect()

@@ -10,7 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.llm.batches import ANSWERS, SHARDED, answer_rows, answers_of, collected, merge_entries, pack_keys, save_batched, to_shards, unpack_keys
+from tripkit.llm.batches import (
+    ANSWERS, SHARDED, answer_rows, answers_of, collected, merge_entries, pack_counts, pack_keys, save_batched, save_bucketed,
+    to_shards, unpack_counts, unpack_keys,
+)
 from tripkit.llm.common import WORD, hash_words, mix, ngram_hashes, row_key, saved
 
 SHINGLE = 5
@@ -98,15 +101,24 @@ def weighted_jaccard(a_keys, a_weights, b_keys, b_weights) -> float:
     return both / total if total > 0 else 0.0
 
 
+def pack_weights(weights: np.ndarray) -> bytes:
+    """32-bit floats byte plane by byte plane: most differ in few bits, which compresses."""
+    return pack_counts(weights.view(np.uint32)[:, None])
+
+
+def unpack_weights(data: bytes) -> np.ndarray:
+    return unpack_counts(data, 1)[:, 0].astype(np.uint32).view(np.float32)
+
+
 def _signed(spark: SparkSession, docs: DataFrame, threshold: float, strength: float) -> DataFrame:
-    """Each document with its digests and, where it may have a near copy, its bands and weighted shingles.
+    """Each document with its digests and, where it may have a near copy, its bands and weighted shingles, bucketed by batch.
 
     Shingles of all documents are counted in shards, and each batch learns the frequencies of its own. A text whose shingles
     of other texts don't carry ``threshold`` of its weight can't be that similar to any and gets no bands.
     """
     batched = save_batched(spark, docs, "dedup-batches")
     bits, shards, documents = batched.bits, batched.shards, batched.rows
-    carried = [f for f in batched.docs.schema if f.name not in ("text", "batch")]
+    carried = [f for f in batched.docs.schema if f.name != "text"]
     groups = batched.docs.groupBy("batch")
 
     def emit(frame: pd.DataFrame) -> pd.DataFrame:
@@ -137,57 +149,81 @@ def _signed(spark: SparkSession, docs: DataFrame, threshold: float, strength: fl
                 hashed = mix(hashed * _FACTOR + samples[:, k : BANDS * BAND_ROWS : BAND_ROWS])
             for n, i in enumerate(np.flatnonzero(maybe)):
                 bands[i], sketches[i] = hashed[n].view(np.int64), (samples[n] & np.uint64(255)).astype(np.uint8).tobytes()
-                keys[i], weights[i] = pack_keys(key[first[n] : first[n + 1]]), kept[first[n] : first[n + 1]].tobytes()
+                keys[i], weights[i] = pack_keys(key[first[n] : first[n + 1]]), pack_weights(kept[first[n] : first[n + 1]])
         out = frame[[f.name for f in carried]].reset_index(drop=True)
         return out.assign(d1=s.digests[:, 0].view(np.int64), d2=s.digests[:, 1].view(np.int64), bands=bands, sketch=sketches, keys=keys, weights=weights) if len(out) else out
 
     answers = groups.applyInPandas(emit, SHARDED).groupBy("shard").applyInPandas(merge, ANSWERS)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
     schema = f"{fields}, d1 long, d2 long, bands array<long>, sketch binary, keys binary, weights binary"
-    signed = saved(spark, groups.cogroup(answers.groupBy("batch")).applyInPandas(sign, schema), "dedup-signed")
+    signed = save_bucketed(spark, groups.cogroup(answers.groupBy("batch")).applyInPandas(sign, schema), batched.buckets, "dedup-signed")
     collected(spark)
     return signed
 
 
-def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (``a``, ``b``) of rows with their weighted Jaccard similarity."""
-    member = sets.select(F.col("row").alias("b"), F.col("keys").alias("keys_b"), F.col("weights").alias("weights_b"))
-    leader = sets.select(F.col("row").alias("a"), F.col("keys").alias("keys_a"), F.col("weights").alias("weights_a"))
+def _sets(signed: DataFrame):
+    """Bands, sketch, shingles and weights of the rows by batch."""
+    return signed.filter("bands IS NOT NULL").select("batch", "row", "bands", "sketch", "keys", "weights").groupBy("batch")
+
+
+def _looked_up(rows: pd.Series, sets: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
+    """``columns`` of ``sets`` for each of ``rows``, all of which are there."""
+    order = np.argsort(sets["row"].to_numpy())
+    at = order[np.searchsorted(sets["row"].to_numpy()[order], rows.to_numpy())]
+    return sets[columns].iloc[at].reset_index(drop=True)
 
-    def judge(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        floats = lambda x: np.frombuffer(x, np.float32)
-        for f in frames:
-            similarity = [
-                weighted_jaccard(unpack_keys(a), floats(v), unpack_keys(b), floats(w))
-                for a, v, b, w in zip(f["keys_a"], f["weights_a"], f["keys_b"], f["weights_b"])
-            ]
-            yield pd.DataFrame({"a": f["a"], "b": f["b"], "similarity": similarity})
 
-    return pairs.join(member, "b").join(leader, "a").mapInPandas(judge, "a long, b long, similarity double")
+def _judged(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """``pairs`` (``row``, ``batch``, ``leader``, ``leader_batch``) of rows with their weighted Jaccard similarity.
 
+    Shingles stay with their batches: only those of leaders move, once to each batch that has rows to compare with them.
+    """
+    heavy = ["keys", "weights"]
+
+    def give(asked: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        return _looked_up(asked["leader"], sets, heavy).assign(batch=asked["batch"].to_numpy(), leader=asked["leader"].to_numpy())
+
+    def judge(f: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        given, met = f[f["keys"].notna()], f[f["keys"].isna()]
+        leaders = {r.leader: (unpack_keys(r.keys), unpack_weights(r.weights)) for r in given.itertuples()}
+        own = _looked_up(met["row"], sets, heavy)
+        similarity = [
+            weighted_jaccard(unpack_keys(k), unpack_weights(w), *leaders[leader])
+            for k, w, leader in zip(own["keys"], own["weights"], met["leader"])
+        ]
+        return met[["row", "leader"]].assign(similarity=np.array(similarity, float))
 
-def _links(spark: SparkSession, signed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Links (``a``, ``b``) between rows of ``signed`` that are similar to the leader of a bucket, and all pairs of rows that
+    asked = pairs.select("leader_batch", "leader", "batch").distinct()
+    given = asked.groupBy("leader_batch").cogroup(_sets(signed)).applyInPandas(give, "batch long, leader long, keys binary, weights binary")
+    met = pairs.select("batch", "row", "leader").unionByName(given.withColumn("row", F.col("leader")), allowMissingColumns=True)
+    return met.groupBy("batch").cogroup(_sets(signed)).applyInPandas(judge, "row long, leader long, similarity double")
+
+
+def _links(spark: SparkSession, chosen: DataFrame, signed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (``a``, ``b``) between rows of ``chosen`` that are similar to the leader of a bucket, and all pairs of rows that
     were compared with one: ``band``, ``value``, ``row``, ``leader``, ``far`` (the distance).
 
     A bucket's leader is the row whose buckets are the largest: in a group of copies that is the text most like their
     common origin. So a group gives as many pairs as rows.
     """
-    at = saved(spark, signed.select("row", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
+    at = saved(spark, chosen.select("row", "batch", F.posexplode("bands").alias("band", "value")), "dedup-buckets")
     sizes = at.groupBy(*BUCKET).agg(F.count("*").alias("n")).filter("n > 1")
-    shared = saved(spark, at.join(sizes, BUCKET).select("row", *BUCKET, "n"), "dedup-buckets")
+    shared = saved(spark, at.join(sizes, BUCKET).select("row", "batch", *BUCKET, "n"), "dedup-buckets")
     weight = shared.groupBy("row").agg(F.sum("n").alias("popular"))
     first = F.struct(-F.col("popular"), F.col("row"))
-    leaders = shared.join(weight, "row").groupBy(*BUCKET).agg(F.min_by("row", first).alias("leader"))
-    met = saved(spark, shared.join(leaders, BUCKET).filter("row <> leader").select(
-        *BUCKET, "row", "leader", F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")
+    leaders = shared.join(weight, "row").groupBy(*BUCKET).agg(F.min_by(F.struct("row", "batch"), first).alias("first"))
+    met = saved(spark, shared.join(leaders, BUCKET).filter("row <> first.row").select(
+        *BUCKET, "row", "batch", F.col("first.row").alias("leader"), F.col("first.batch").alias("leader_batch"),
+        F.least("row", "first.row").alias("a"), F.greatest("row", "first.row").alias("b"),
     ), "dedup-met")
-    judged = saved(spark, _judged(met.select("a", "b").distinct(), signed.select("row", "keys", "weights")), "dedup-judged")
+    pairs = met.groupBy("a", "b").agg(F.min(F.struct("row", "batch", "leader", "leader_batch")).alias("pair")).select("pair.*")
+    least = [F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")]
+    judged = saved(spark, _judged(pairs, signed).select(*least, "similarity"), "dedup-judged")
     far = met.join(judged, ["a", "b"]).select(*BUCKET, "row", "leader", (1 - F.col("similarity")).alias("far"))
     return judged.filter(F.col("similarity") >= threshold).select("a", "b"), saved(spark, far, "dedup-far")
 
 
-def _label_links(spark: SparkSession, signed: DataFrame, far: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+def _label_links(spark: SparkSession, chosen: DataFrame, signed: DataFrame, far: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """Links (``a``, ``b``) between labels: every two rows of a bucket that have different labels after the first links are
     compared unless they can't be similar or their labels have been joined by another pair of the same task.
 
@@ -254,7 +290,7 @@ def _label_links(spark: SparkSession, signed: DataFrame, far: DataFrame, labels:
         i = np.concatenate([np.full(len(them), k) for k, them, _ in found]) if found else np.zeros(0, int)
         j = np.concatenate([them for _, them, _ in found]) if found else i
         best = np.argsort(-np.concatenate([same for *_, same in found]), kind="stable") if found else i
-        keys, weights = [unpack_keys(k) for k in f["keys"]], [np.frombuffer(w, np.float32) for w in f["weights"]]
+        keys, weights = [unpack_keys(k) for k in f["keys"]], [unpack_weights(w) for w in f["weights"]]
         label, joined, links = f["label"].tolist(), {}, []
 
         def root(x):
@@ -269,11 +305,15 @@ def _label_links(spark: SparkSession, signed: DataFrame, far: DataFrame, labels:
                 links.append((label[x], label[y]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
+    def whole(f: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        heavy = ["bands", "sketch", "keys", "weights"]
+        return pd.concat([f[columns].reset_index(drop=True), _looked_up(f["row"], sets, heavy)], axis=1)
+
     schema = "band int, value long, kind int, left int, right int, side int, row long, label long, far double"
-    pending = tasks.join(signed.select("row", "bands", "sketch"), "row").groupBy(*group).applyInPandas(wanted, schema)
-    pending = saved(spark, pending, "dedup-pending")
-    whole = pending.join(signed.select("row", "bands", "sketch", "keys", "weights"), "row")
-    return whole.groupBy(*group).applyInPandas(verify, "a long, b long")
+    pending = tasks.join(chosen.select("row", "bands", "sketch"), "row").groupBy(*group).applyInPandas(wanted, schema)
+    pending = saved(spark, pending, "dedup-pending").join(chosen.select("row", "batch"), "row")
+    full = pending.groupBy("batch").cogroup(_sets(signed)).applyInPandas(whole, f"{schema}, bands array<long>, sketch binary, keys binary, weights binary")
+    return full.groupBy(*group).applyInPandas(verify, "a long, b long")
 
 
 def _least_agreement(similarity: float) -> int:
@@ -281,11 +321,12 @@ def _least_agreement(similarity: float) -> int:
     return int(SAMPLES * similarity - 5 * (SAMPLES * similarity * (1 - similarity)) ** 0.5)
 
 
-def linked_labels(spark: SparkSession, signed: DataFrame, threshold: float) -> DataFrame:
-    """``row`` and ``label`` of every row of ``signed`` that is linked to another."""
-    links, far = _links(spark, signed, threshold)
+def linked_labels(spark: SparkSession, chosen: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """``row`` and ``label`` of every row of ``chosen`` (``row``, ``batch``, ``bands``, ``sketch``) that is linked to another;
+    ``signed`` holds their shingles."""
+    links, far = _links(spark, chosen, signed, threshold)
     labels = components(spark, links)
-    wider = components(spark, _label_links(spark, signed, far, labels, threshold)).withColumnRenamed("label", "wider").withColumnRenamed("row", "label")
+    wider = components(spark, _label_links(spark, chosen, signed, far, labels, threshold)).withColumnRenamed("label", "wider").withColumnRenamed("row", "label")
     single = wider.join(labels, wider["label"] == labels["row"], "left_anti").select(F.col("label").alias("row"), F.col("wider").alias("label"))
     return labels.join(wider, "label", "left").select("row", F.coalesce("wider", "label").alias("label")).unionByName(single)
 
@@ -317,8 +358,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
     alone = signed.filter("bands IS NULL").select("doc_id", "row_key", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
     rows = signed.filter("bands IS NOT NULL")
     texts = saved(spark, rows.groupBy("d1", "d2").agg(F.min("row").alias("text_row")), "dedup-texts")
-    chosen = rows.join(texts.select(F.col("text_row").alias("row")), "row", "left_semi")
-    labels = linked_labels(spark, chosen, threshold)
+    chosen = rows.select("row", "batch", "bands", "sketch").join(texts.select(F.col("text_row").alias("row")), "row", "left_semi")
+    labels = linked_labels(spark, saved(spark, chosen, "dedup-chosen"), signed, threshold)
     placed = (
         rows.select("doc_id", "row_key", "row", "d1", "d2").join(texts, ["d1", "d2"])
         .join(labels.select(F.col("row").alias("text_row"), "label"), "text_row", "left")
