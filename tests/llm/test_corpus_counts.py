@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +34,26 @@ def test_packed_arrays_round_trip():
     assert np.array_equal(batches.unpack_counts(batches.pack_counts(counts), 6), counts)
 
 
+def test_packed_arrays_are_small():
+    """Before, a key took 8 bytes and a count 4, all of which went through Spark's memory."""
+    keys = np.sort(np.random.default_rng(2).integers(0, 2**40, 4000).astype(np.uint64))
+    assert len(batches.pack_keys(keys)) <= 1 + 5 * len(keys)
+    counts = 1 + (np.random.default_rng(2).random((4000, 5)) < 0.1).astype(np.int64)
+    assert len(batches.pack_counts(counts)) < counts.size
+    for some in (counts, counts[:0], counts[:1] * 0, counts * 2**33):
+        assert np.array_equal(batches.unpack_counts(batches.pack_counts(some), 5), some)
+    for some in (keys, keys[:0], keys[:1] * np.uint64(0)):
+        assert np.array_equal(batches.unpack_keys(batches.pack_keys(some)), some)
+
+
+def test_entries_are_owned_by_the_first_that_counts():
+    rows = [([5, 9], [0, 2]), ([5, 7], [3, 0]), ([5, 7, 9], [1, 0, 4])]
+    frame = [(batches.pack_keys(np.array(k, np.uint64)), batches.pack_counts(np.array(c)[:, None])) for k, c in rows]
+    m = batches.merge_entries(pd.DataFrame(frame, columns=["keys", "counts"]), 1)
+    assert m.keys.tolist() == [5, 7, 9] and m.sums[:, 0].tolist() == [4, 0, 6]
+    assert m.first.tolist() == [False, True, True, False, False, False, False]
+
+
 def naive_classes(docs, threshold=0.8, strength=neardup.IDF_STRENGTH):
     """docs: {id: text} -> {id: class id}."""
     sets, frequency = {}, Counter()
@@ -271,3 +292,26 @@ def test_triple_scores_of_odd_rows(spark, small):
         assert {r.doc_id: r.triple_score for r in got} == pytest.approx(naive_triples(texts, train), rel=1e-9)
     with pytest.raises(ValueError):
         kneser_ney.score_documents(spark, frame, F.lit(True), order=1)
+
+
+def test_documents_are_scored_by_the_answers_of_the_fit(spark, small, monkeypatch):
+    """Before, all n-grams were sent to the shards once more to look their counts up."""
+    texts = {0: "a b a b c", 1: None, 2: "b c d a b", 3: "a b c, never seen", 4: "B A b a"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(kneser_ney, "look_up", None)
+    train = [0, 1, 2, 4]
+    got = kneser_ney.score_documents(spark, frame, F.col("doc_id").isin(train), order=3).collect()
+    check_scores(got, naive_model(texts, train))
+    assert {r.doc_id: r.triple_score for r in got} == pytest.approx(naive_triples(texts, train), rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_a_stored_model_scores_other_documents(spark, order):
+    texts = {0: "a b a b c", 1: None, 2: "b c d a b", 3: "a b c, never seen", 4: "B A b a", 5: ""}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("train", F.lit(True))
+    old, new = (batches.save_batched(spark, frame.filter(c), "lm-batches") for c in ("doc_id < 3", "doc_id >= 3"))
+    got = kneser_ney.score(spark, new, kneser_ney.fit(spark, old, order=order), ["doc_id"]).collect()
+    want = naive_model(texts, [0, 1, 2])
+    check_scores(got, {i: want[i] for i in (3, 4, 5)})
+    if order > 2:
+        assert {r.doc_id: r.triple_score for r in got} == pytest.approx({i: naive_triples(texts, [0, 1, 2])[i] for i in (3, 4, 5)}, rel=1e-9)
