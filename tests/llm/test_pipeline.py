@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -34,6 +35,15 @@ def test_language_keeps_texts_with_letters(stages):
     assert sorted(after) == sorted(r for r in before if re.search(r"[^\W\d_]", r.text or ""))
 
 
+@pytest.mark.parametrize("number", [0, 1, 2, 4])
+def test_stages_send_texts_to_workers_in_small_batches(spark, number):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "repeat('text ', 800) AS text", "'en' AS lang", "'a' AS source", "4000 AS n_chars")
+    corpus_pipeline.STAGES[number][1](spark, docs.limit(3), SF)
+    sizes = docs.select("text").mapInPandas(lambda frames: (pd.DataFrame({"n": [f["text"].str.len().sum()]}) for f in frames), "n long").collect()
+    assert sum(r.n for r in sizes) == 24_000_000 and max(r.n for r in sizes) < 5 << 20
+
+
 def test_language_keeps_labelled_clean_texts_however_short(spark):
     """And still drops a longer text of an alphabet that no learned language has."""
     at = "/root/testdata/sf0.1"

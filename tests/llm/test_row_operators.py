@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,6 +184,25 @@ def test_bundles_are_sums_of_bound_letter_vectors():
     assert not grams.bundles()[1].any() and np.array_equal(grams.bundles()[2], vector(" a "))
 
 
+def test_judging_holds_few_texts_at_a_time():
+    """Neither many short texts nor some MB of long ones are held at once; answers come in the order of the texts."""
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(400)]
+    short = [" ".join(rng.choice(words, 3)).encode() for _ in range(10_000)]
+    long = [" ".join(rng.choice(words, 5_000)).encode() for _ in range(100)]
+    judge = langid._judge({"a": rng.normal(size=2048), "b": rng.normal(size=2048)}, 3, True)
+    judge(pd.Series([b"warm"]))
+    for texts in (short, long):
+        tracemalloc.start()
+        got = judge(pd.Series(texts, index=range(7, 7 + len(texts))))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 130 << 20
+        assert list(got.index) == list(range(7, 7 + len(texts)))
+        for i in (0, len(texts) // 2, len(texts) - 1):
+            assert judge(pd.Series([texts[i]])).iloc[0].to_dict() == pytest.approx(got.iloc[i].to_dict())
+
+
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 

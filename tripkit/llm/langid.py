@@ -16,7 +16,8 @@ from tripkit.llm.common import chunks
 DIMENSIONS, ORDER = 2048, 3
 UNKNOWN = "und"
 _POINTS = 0x110000
-_CELLS = 4 << 20  # counts held at once
+_CELLS, _GRAMS = 4 << 20, 1024  # counts and n-gram vectors held at once
+_BYTES, _ROWS = 1 << 20, 512  # of the texts whose n-grams and sums are held at once
 _SCALE = float(1 << 24)
 
 
@@ -65,15 +66,16 @@ class Grams:
             self.gram = index[code]
         else:
             self.codes, self.gram = np.unique(code, return_inverse=True)
-        self.order, self.base, self.texts = order, base, len(texts)
+        self.order, self.base, self.texts, self.table = order, base, len(texts), None
         self.has_letter = np.array([bool(t) and any(map(str.isalpha, t)) for t in lowered], bool)
 
     def vectors(self, a: int, b: int) -> np.ndarray:
         """Bound vectors of the n-grams a..b: the product of the letters' vectors, each turned by its place."""
-        table = np.stack([letter_vector(int(p), self.dimensions) for p in self.letters])
+        if self.table is None:
+            self.table = np.stack([letter_vector(int(p), self.dimensions) for p in self.letters])
         out, rest = None, self.codes[a:b].copy()
         for k in range(self.order):
-            turned = np.roll(table, k, axis=1)[rest % self.base]
+            turned = np.roll(self.table, k, axis=1)[rest % self.base]
             out, rest = turned if out is None else out * turned, rest // self.base
         return out.astype(np.float32)
 
@@ -83,7 +85,7 @@ class Grams:
         row = self.text if groups is None else groups[self.text]
         weight = None if weights is None else weights[self.text]
         out = np.zeros((n, self.dimensions), np.float32 if weights is None else np.float64)
-        width = max(1, min(4096, _CELLS // max(1, n)))
+        width = max(1, min(_GRAMS, _CELLS // max(1, n)))
         for a in range(0, len(self.codes), width):
             b = min(a + width, len(self.codes))
             inside = slice(None) if b - a == len(self.codes) else (self.gram >= a) & (self.gram < b)
@@ -104,7 +106,7 @@ def learn_prototypes(docs: DataFrame, order: int = ORDER, dimensions: int = DIME
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
-        for frame in chunks(frames, "text"):
+        for frame in chunks(frames, "text", _BYTES, _ROWS):
             names, groups = np.unique(frame["lang"].to_numpy(str), return_inverse=True)
             grams = Grams([t.decode() for t in frame["text"]], order, dimensions)
             sizes = np.bincount(grams.text, minlength=len(frame))
@@ -141,7 +143,7 @@ def predict_language(
     judge = _judge(prototypes, order, expected)
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames, "__text"):
+        for frame in frames:
             yield frame.drop(columns="__text").join(judge(frame["__text"]))
 
     selected = docs.select(*columns, F.col("text").cast("binary").alias("__text"))
@@ -153,7 +155,7 @@ _JUDGED = "lang_pred string, score double"
 
 
 def _judge(prototypes: dict[str, np.ndarray], order: int, expected: bool) -> Callable[[pd.Series], pd.DataFrame]:
-    """The function that judges UTF-8 texts, with the prototypes packed for the workers."""
+    """The function that judges UTF-8 texts, some at a time, with the prototypes packed for the workers."""
     names = list(prototypes)
     dimensions = len(next(iter(prototypes.values()))) if names else DIMENSIONS
     table = np.array([prototypes[n] for n in names]).reshape(len(names), dimensions)
@@ -161,6 +163,10 @@ def _judge(prototypes: dict[str, np.ndarray], order: int, expected: bool) -> Cal
     packed = pickle.dumps((table / np.maximum(norms, 1e-300)[:, None], norms))
 
     def judge(texts: pd.Series) -> pd.DataFrame:
+        parts = [judge_part(part["text"]) for part in chunks([texts.to_frame("text")], "text", _BYTES, _ROWS)]
+        return pd.concat(parts) if parts else judge_part(texts)
+
+    def judge_part(texts: pd.Series) -> pd.DataFrame:
         unit, norms = pickle.loads(packed)
         if not names:
             return pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0, **({"expected": 0.0} if expected else {})}, index=texts.index)
@@ -191,7 +197,6 @@ def language_column(text: Column, prototypes: dict[str, np.ndarray], order: int
     @F.pandas_udf(f"{_JUDGED}, expected double")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            parts = list(chunks([texts.to_frame("text")], "text"))
-            yield pd.concat([judge(part["text"]) for part in parts]) if parts else judge(texts)
+            yield judge(texts)
 
     return judged(text.cast("binary"))
