@@ -12,8 +12,9 @@ from functools import reduce
 import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -25,10 +26,21 @@ from tripkit.session import shared_dir
 HASHED_LABEL = "Borough categories (hashed total)"
 
 
-def design(slots: int = HASH_SLOTS) -> Pipeline:
-    """Scaled numeric columns followed by ``slots`` hashed category slots, as ``features``."""
-    hasher = FeatureHasher(inputCols=CATEGORICAL, categoricalCols=CATEGORICAL, outputCol="_hashed", numFeatures=slots)
-    return Pipeline(stages=[hasher, VectorAssembler(inputCols=[*NUMERIC, "_hashed"], outputCol="features")])
+def _hasher(slots: int) -> FeatureHasher:
+    return FeatureHasher(inputCols=CATEGORICAL, categoricalCols=CATEGORICAL, outputCol="_hashed", numFeatures=slots)
+
+
+def design(slots: int = HASH_SLOTS, kept: list[int] | None = None) -> Pipeline:
+    """Scaled numeric columns followed by ``slots`` hashed category slots, or the ``kept`` ones of them, as ``features``."""
+    last = [] if kept is None else [VectorSlicer(inputCol="_hashed", outputCol="_kept", indices=kept)]
+    hashed = "_hashed" if kept is None else "_kept"
+    return Pipeline(stages=[_hasher(slots), *last, VectorAssembler(inputCols=[*NUMERIC, hashed], outputCol="features")])
+
+
+def filled_slots(df: DataFrame, slots: int = HASH_SLOTS) -> list[int]:
+    """The hash slots that a category of any row falls into; the first one if there is none. A number per slot reaches the driver."""
+    counts = _hasher(slots).transform(df).select(Summarizer.numNonZeros(F.col("_hashed")))
+    return np.flatnonzero(counts.first()[0].toArray()).tolist() or [0]
 
 
 def linear_model(epochs: int = 100, l1_ratio: float = 0.15, strength: float = 1e-4) -> LogisticRegression:
@@ -45,10 +57,11 @@ def tree_model(rounds: int = 50, depth: int = 6, step: float = 0.1, subsample: f
 
 @dataclass
 class ServiceModel:
-    """A design transformation and one binary model per class."""
+    """A design transformation, one binary model per class and the hash slots the models have columns for."""
 
     design: PipelineModel
     models: dict[str, Model]
+    kept: list[int]
 
     @property
     def classes(self) -> list[str]:
@@ -62,16 +75,21 @@ class ServiceModel:
 def fit(
     train: DataFrame, estimator: Estimator, slots: int = HASH_SLOTS, classes: list[str] = CLASSES, label: str = "service"
 ) -> ServiceModel:
-    """Train on a scaled feature frame. The vectors are kept between passes, spilling to disk."""
-    shaped = design(slots).fit(train)
-    vectors = shaped.transform(train.where(F.col(label).isin(*classes))).select(label, "features")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    """Train on a scaled feature frame. The vectors are kept between passes, spilling to disk.
+
+    A slot that no training row fills tells nothing: its weight would be 0 and no tree would split by it. So the models only have
+    columns for the filled slots, and an empty one costs nothing however many there are.
+    """
+    known = train.where(F.col(label).isin(*classes))
+    kept = filled_slots(known, slots)
+    shaped = design(slots, kept).fit(train)
+    vectors = shaped.transform(known).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
     models = {}
     for name in classes:
         binary = vectors.withColumn("_is", (F.col(label) == name).cast("double"))
         models[name] = estimator.copy({estimator.labelCol: "_is"}).fit(binary)
     vectors.unpersist()
-    return ServiceModel(shaped, models)
+    return ServiceModel(shaped, models, kept)
 
 
 def score(model: ServiceModel, valid: DataFrame, label: str = "service") -> DataFrame:
@@ -102,6 +120,9 @@ def split_gains(model: ServiceModel) -> DataFrame:
     The gain of a split is the fall of impurity it gives, times the rows it splits.
     """
     spark = SparkSession.getActiveSession()
+    # At most as many rows as hash slots: the place of each column among all slots.
+    wide = [*range(len(NUMERIC)), *[len(NUMERIC) + slot for slot in model.kept]]
+    places = spark.createDataFrame(list(enumerate(wide)), "column int, feature int")
     frames = []
     for name, one in model.models.items():
         path = shared_dir(spark, "trees")
@@ -110,11 +131,12 @@ def split_gains(model: ServiceModel) -> DataFrame:
         frames.append(
             spark.read.parquet(f"{path}/data").where(node["leftChild"] >= 0).select(
                 F.lit(name).alias("class"), F.col("treeID").cast("int").alias("tree"), node["id"].cast("int").alias("node"),
-                node["split"]["featureIndex"].cast("int").alias("feature"), node["rawCount"].cast("bigint").alias("rows"),
+                node["split"]["featureIndex"].cast("int").alias("column"), node["rawCount"].cast("bigint").alias("rows"),
                 (node["gain"] * node["rawCount"]).alias("gain"),
             )
         )
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    splits = reduce(lambda a, b: a.unionByName(b), frames)
+    return splits.join(F.broadcast(places), "column").select("class", "tree", "node", "feature", "rows", "gain")
 
 
 def feature_importance(model: ServiceModel) -> list[tuple[str, float]]:
@@ -124,9 +146,9 @@ def feature_importance(model: ServiceModel) -> list[tuple[str, float]]:
     """
     parts = list(model.models.values())
     if model.trees:
-        table = split_gains(model).groupBy("feature").agg(F.sum("gain").alias("gain"))
-        weights = np.zeros(parts[0].numFeatures)
-        for feature, gain in table.collect():  # a row per feature that splits
+        table = split_gains(model).groupBy(F.least("feature", F.lit(len(NUMERIC)))).agg(F.sum("gain"))
+        weights = np.zeros(len(NUMERIC) + 1)
+        for feature, gain in table.collect():  # a row per numeric feature and one of all slots
             weights[feature] = gain
     else:
         weights = sum(m.coefficients.toArray() ** 2 for m in parts) ** 0.5

@@ -278,5 +278,5 @@ def tree_classifier(spark, sf):
 @query("feature_importance", None)
 def importance(spark, sf):
     train, _ = _split(spark, sf)
-    ranked = feature_importance(fit(train, linear_model(epochs=5), slots=2**10))
+    ranked = feature_importance(fit(train, linear_model()))
     return spark.createDataFrame(ranked, "feature string, importance double")
