@@ -32,7 +32,7 @@ def trained_by(spark, monkeypatch, query):
     return seen[0]
 
 
-@pytest.mark.parametrize("query", [learning.importance])
+@pytest.mark.parametrize("query", [learning.importance, learning.linear_classifier])
 def test_linear_queries_train_at_the_settings_of_the_library(spark, monkeypatch, query):
     """Before, they stopped after 5 iterations and hashed into 2^10 slots."""
     estimator, slots = trained_by(spark, monkeypatch, query)
@@ -40,13 +40,13 @@ def test_linear_queries_train_at_the_settings_of_the_library(spark, monkeypatch,
 
 
 def test_empty_slots_change_no_linear_model(spark, monkeypatch):
-    data = rows(spark)
-    model = models.fit(data, models.linear_model(), slots=64)
+    data = rows(spark).coalesce(1)
+    model = models.fit(data, models.linear_model(epochs=4), slots=64)
     assert 1 < len(model.kept) <= 5 and {m.numFeatures for m in model.models.values()} == {len(NUMERIC) + len(model.kept)}
     monkeypatch.setattr(models, "filled_slots", lambda df, slots: list(range(slots)))
-    wide = models.fit(data, models.linear_model(), slots=64)
+    wide = models.fit(data, models.linear_model(epochs=4), slots=64)
     assert dict(models.feature_importance(model)) == pytest.approx(dict(models.feature_importance(wide)), rel=1e-6)
-    new = rows(spark, 90).withColumn("dropoff_borough", F.lit("never seen"))
+    new = rows(spark, 90).coalesce(1).withColumn("dropoff_borough", F.lit("never seen"))
     both = [models.score(m, new).select(*[f"p_{c}" for c in CLASSES]).collect() for m in (model, wide)]
     assert [tuple(r) for r in both[0]] == [pytest.approx(tuple(r), rel=1e-6) for r in both[1]]
 

@@ -266,7 +266,7 @@ def boosted_classifier(spark, sf):
 @query("linear_classifier", None)
 def linear_classifier(spark, sf):
     train, valid = _split(spark, sf)
-    return mt.evaluate(score(fit(train, linear_model(epochs=5), slots=2**10), valid), _CLASSES)
+    return mt.evaluate(score(fit(train, linear_model()), valid), _CLASSES)
 
 
 @query("tree_classifier", None)
