@@ -39,6 +39,12 @@ def test_linear_queries_train_at_the_settings_of_the_library(spark, monkeypatch,
     assert (estimator.getMaxIter(), slots) == (100, 2**15)
 
 
+def test_tree_query_trains_at_the_settings_of_the_library(spark, monkeypatch):
+    """Before, it grew 2 rounds of depth 3 on 2^4 slots."""
+    estimator, slots = trained_by(spark, monkeypatch, learning.tree_classifier)
+    assert (estimator.getMaxIter(), estimator.getMaxDepth(), slots) == (50, 6, 2**15)
+
+
 def test_empty_slots_change_no_linear_model(spark, monkeypatch):
     data = rows(spark).coalesce(1)
     model = models.fit(data, models.linear_model(epochs=4), slots=64)
